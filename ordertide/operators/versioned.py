@@ -20,6 +20,7 @@ commit) and read on the driver.  Single writer per table.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -76,6 +77,7 @@ class VersionedTable:
         self.partition_by = list(partition_by)
         self.data_path = f"{self.path}/data"
         self.ledger_path = f"{self.path}/_ledger"
+        self.schema_path = f"{self.path}/_schema.json"
 
     # -- ledger ---------------------------------------------------------
     def history(self) -> DataFrame:
@@ -120,13 +122,21 @@ class VersionedTable:
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of the table as of ``version`` (latest by default) (V2)."""
         live = self.live_commits(version)
-        if not live:
-            raise ValueError(f"{self.name}: table has no data")
-        df = self.spark.read.parquet(self.data_path)
-        return df.filter(F.col(COMMIT_COL).isin(live)).drop(COMMIT_COL)
-
-    def schema(self) -> T.StructType:
-        return self.read().schema
+        schema = self.schema()
+        if schema is None:
+            raise ValueError(f"{self.name}: table has no commits")
+        stored = T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())])
+        if not fs.exists(self.spark, self.data_path):
+            df = self.spark.createDataFrame([], stored)
+        else:
+            # The stored schema spares a footer scan and keeps empty commits readable.
+            df = self.spark.read.schema(stored).parquet(self.data_path)
+        return df.filter(F.col(COMMIT_COL).isin(live)).drop(COMMIT_COL).select(*schema.names)
+
+    def schema(self) -> T.StructType | None:
+        """The table's columns (set by its first commit)."""
+        text = fs.read_text(self.spark, self.schema_path)
+        return T.StructType.fromJson(json.loads(text)) if text else None
 
     # -- write ----------------------------------------------------------
     def commit(self, df: DataFrame, mode: str = "append", commit_id: str | None = None) -> int:
@@ -137,6 +147,10 @@ class VersionedTable:
         """
         op = {"append": "APPEND", "overwrite": "OVERWRITE"}[mode]
         commit_id = commit_id or f"c-{uuid.uuid4().hex[:16]}"
+        if self.schema() is None:
+            fs.write_text(self.spark, self.schema_path, json.dumps(df.schema.jsonValue()))
+        else:
+            df = df.select(*self.schema().names)
         ledger = self._ledger()
         existing = [r for r in ledger if r["commit_id"] == commit_id]
         obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
@@ -158,6 +172,8 @@ class VersionedTable:
         """Schema-enforced append (K3): names and types must match the table
         (order and nullability aside); columns are aligned by name."""
         target = self.schema()
+        if target is None:
+            return self.commit(df, "append", commit_id)
         diffs = schema_differences(df.schema, target)
         if diffs:
             raise SchemaMismatch(f"{self.name}: schema differs: {diffs}")

@@ -16,6 +16,7 @@ Phases
 
 from __future__ import annotations
 
+import datetime as _dt
 import hashlib
 import json
 import pathlib
@@ -98,6 +99,7 @@ class Workspace:
     def _build_tables(self, d: str) -> None:
         spark = self.spark
         paths = self.raw_paths()
+        fs.write_text(spark, f"{d}/_built_on", _dt.datetime.now(_dt.timezone.utc).date().isoformat())
         ingest.write_raw_batches(spark, paths, f"{d}/raw_batched")
         raw = spark.read.parquet(f"{d}/raw_batched")
         normalize.sales_reps(raw).write.mode("overwrite").parquet(f"{d}/sales_reps")
@@ -112,6 +114,10 @@ class Workspace:
     def tables_dir(self) -> str:
         return self._phase("tables", self._build_tables)
 
+    def built_on(self) -> str:
+        """UTC date on which the batch tables were ingested."""
+        return fs.read_text(self.spark, f"{self.tables_dir()}/_built_on").strip()
+
     def raw_batched(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.tables_dir()}/raw_batched")
 

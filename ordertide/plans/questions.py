@@ -60,12 +60,19 @@ def price_stats(
     )
 
 
-def profit_by_rep(line_items: DataFrame, products: DataFrame, orders: DataFrame, sales_reps: DataFrame) -> DataFrame:
+def profit_by_rep(
+    line_items: DataFrame, products: DataFrame, orders: DataFrame, sales_reps: DataFrame, exact: bool = True
+) -> DataFrame:
     """A3: total profit per rep, ``(sold - price) * quantity`` summed.
 
     Grouped by rep id as well as the names (two reps may share a name).
+    With ``exact`` (default) the catalogue price is taken as a cents decimal
+    like the sold price, so the sum is exact and independent of how rows are
+    partitioned; otherwise decimal - double gives a double (order-dependent
+    rounding in the last bits).
     """
-    profit = (F.col("li.product_sold_price") - F.col("p.price")) * F.col("li.product_quantity")
+    price = F.col("p.price").cast("decimal(10,2)") if exact else F.col("p.price")
+    profit = (F.col("li.product_sold_price") - price) * F.col("li.product_quantity")
     return (
         _four_way(line_items, products, orders, sales_reps)
         .select(

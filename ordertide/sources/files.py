@@ -36,6 +36,10 @@ def read_fixed_width(
     return lines.select(*cols, *extra)
 
 
+# A null marker that never occurs in text files.
+VERBATIM_NULL = "\u0001"
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -61,6 +65,10 @@ def read_delimited(
     reader = (
         spark.read.option("header", True)
         .option("sep", sep)
+        # Keep field text verbatim: by default the reader already turns an
+        # empty field into NULL, hiding blanks from the quality checks.  NULL
+        # mapping is the cleaner's job (blank and literal "null" alike).
+        .option("nullValue", VERBATIM_NULL)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("enforceSchema", True)
