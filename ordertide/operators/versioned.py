@@ -154,9 +154,15 @@ class VersionedTable:
         ledger = self._ledger()
         existing = [r for r in ledger if r["commit_id"] == commit_id]
         obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
+        out = df.withColumn(COMMIT_COL, F.lit(commit_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
+        if self.partition_by:
+            # Rebalance on the partition columns: AQE packs small partition
+            # values into one task and splits a large (or skewed) one across
+            # several, so each value gets a few well-sized files instead of
+            # one small file per task and value.
+            out = out.hint("rebalance", *self.partition_by)
         (
-            df.withColumn(COMMIT_COL, F.lit(commit_id))
-            .observe(obs, F.count(F.lit(1)).alias("rows"))
+            out
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(COMMIT_COL, *self.partition_by)

@@ -55,6 +55,13 @@ class Workspace:
         self.root = root
 
     # -- construction ------------------------------------------------------
+    @classmethod
+    def fresh(cls, spark: SparkSession, sf_dir: str, label: str = "run") -> "Workspace":
+        """A new, empty workspace (benchmarks: every phase is really built)."""
+        configure(spark)
+        root = f"{shared_dir(spark)}/ordertide/{label}-{uuid.uuid4().hex[:12]}"
+        return cls(spark, sf_dir.rstrip("/"), root)
+
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
         configure(spark)
