@@ -77,3 +77,25 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, i
         status = fs.getFileStatus(hpath)
         out.append((p, int(summary.getLength()), int(status.getModificationTime())))
     return out
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file only if it does not exist; False if it does.
+
+    The create is atomic on HDFS and local file systems, so two writers
+    racing for the same name cannot both succeed.
+    """
+    hpath, fs = _path(spark, path)
+    jvm = spark.sparkContext._jvm
+    try:
+        out = fs.create(hpath, False)
+    except Exception as e:  # noqa: BLE001 - FileAlreadyExistsException through py4j
+        if fs.exists(hpath) or "FileAlreadyExists" in str(e):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    del jvm
+    return True

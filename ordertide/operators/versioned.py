@@ -5,8 +5,10 @@ Plain Spark has no time travel on Parquet tables (``VERSION AS OF`` raises
 
 * ``data/``    Parquet partitioned by ``_commit`` (then the table's own
   partition columns), written with dynamic partition overwrite, and
-* ``_ledger/`` one Parquet row per commit:
-  ``(table, version, op, commit_id, restored_from, rows, committed_at)``.
+* ``_ledger/`` one small JSON file per version, ``<version>.json``:
+  ``(table, version, op, commit_id, restored_from, rows, committed_at)``,
+  created with an exclusive create so a second writer racing for the same
+  version fails instead of overwriting.
 
 The live set of commits at version *n*: APPEND adds its commit, OVERWRITE
 replaces the set, RESTORE *m* takes the set at *m*.  Reads filter on
@@ -14,7 +16,9 @@ replaces the set, RESTORE *m* takes the set at *m*.  Reads filter on
 Data is written before its ledger row, and a replayed ``commit_id`` rewrites
 only its own partition and adds no second ledger row, so a re-run micro-batch
 or task retry is exactly-once.  The ledger is metadata-sized (one row per
-commit) and read on the driver.  Single writer per table.
+commit), read with one Spark JSON scan and then kept by the writer, so a
+long-running stream does not re-read its whole history every micro-batch.
+Single writer per table (a concurrent one is detected, not merged).
 """
 
 from __future__ import annotations
@@ -78,6 +82,8 @@ class VersionedTable:
         self.data_path = f"{self.path}/data"
         self.ledger_path = f"{self.path}/_ledger"
         self.schema_path = f"{self.path}/_schema.json"
+        self._cache: list | None = None
+        self._schema: T.StructType | None = None
 
     # -- ledger ---------------------------------------------------------
     def history(self) -> DataFrame:
@@ -87,10 +93,18 @@ class VersionedTable:
     def _ledger_df(self) -> DataFrame:
         if not fs.exists(self.spark, self.ledger_path):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
+        return self.spark.read.schema(LEDGER_SCHEMA).json(self.ledger_path)
 
     def _ledger(self) -> list:
-        return sorted(self._ledger_df().collect(), key=lambda r: r["version"])
+        if self._cache is None:
+            rows = [r.asDict() for r in self._ledger_df().collect()]
+            self._cache = sorted(rows, key=lambda r: r["version"])
+        return self._cache
+
+    def refresh(self) -> None:
+        """Forget the cached ledger (another process may have committed)."""
+        self._cache = None
+        self._schema = None
 
     def current_version(self) -> int:
         rows = self._ledger()
@@ -135,8 +149,10 @@ class VersionedTable:
 
     def schema(self) -> T.StructType | None:
         """The table's columns (set by its first commit)."""
-        text = fs.read_text(self.spark, self.schema_path)
-        return T.StructType.fromJson(json.loads(text)) if text else None
+        if self._schema is None:
+            text = fs.read_text(self.spark, self.schema_path)
+            self._schema = T.StructType.fromJson(json.loads(text)) if text else None
+        return self._schema
 
     # -- write ----------------------------------------------------------
     def commit(self, df: DataFrame, mode: str = "append", commit_id: str | None = None) -> int:
@@ -149,6 +165,7 @@ class VersionedTable:
         commit_id = commit_id or f"c-{uuid.uuid4().hex[:16]}"
         if self.schema() is None:
             fs.write_text(self.spark, self.schema_path, json.dumps(df.schema.jsonValue()))
+            self._schema = df.schema
         else:
             df = df.select(*self.schema().names)
         ledger = self._ledger()
@@ -196,6 +213,17 @@ class VersionedTable:
         return sum(1 for r in self._ledger() if r["op"] == "RESTORE")
 
     def _append_ledger(self, version, op, commit_id, restored_from, rows) -> None:
-        row = (self.name, int(version), op, commit_id, restored_from, rows,
-               _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-        self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.ledger_path)
+        row = {
+            "table": self.name,
+            "version": int(version),
+            "op": op,
+            "commit_id": commit_id,
+            "restored_from": restored_from,
+            "rows": rows,
+            "committed_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="milliseconds") + "Z",
+        }
+        if not fs.create_exclusive(self.spark, f"{self.ledger_path}/{int(version):020d}.json", json.dumps(row)):
+            self.refresh()
+            raise RuntimeError(f"{self.name}: version {version} was committed by another writer")
+        if self._cache is not None:
+            self._cache.append(row)

@@ -422,9 +422,11 @@ def dq_cleanliness(spark, sf_dir):
     raw dataset (after): injected defects are found, and none survive."""
     w = ws(spark, sf_dir)
     paths = w.raw_paths()
-    before = ingest.read_all_batches(spark, paths, clean=False).filter(
-        source_of("ingest_file_name") != "fixed_width"
-    ).withColumn("dataset", F.concat(F.lit("raw:"), source_of("ingest_file_name")))
+    before = (
+        ingest.read_batch(spark, "tab_separated", paths["tab_separated"], clean=False)
+        .unionByName(ingest.read_batch(spark, "comma_separated", paths["comma_separated"], clean=False))
+        .withColumn("dataset", F.concat(F.lit("raw:"), source_of("ingest_file_name")))
+    )
     after = w.raw_batched().withColumn("dataset", F.lit("ingested"))
     cols = RAW_ORDER_COLUMNS
     return dq.string_hygiene(before.select("dataset", *cols), cols, by=["dataset"]).unionByName(
@@ -551,28 +553,26 @@ def dq_result_diff(spark, sf_dir):
 
 
 def _expected_counts(spark, sf_dir) -> DataFrame:
-    """The manifest: expected counts computed straight from the source tables."""
+    """The manifest: expected counts computed straight from the source tables.
+
+    One aggregate over the enriched orders: an order has line items exactly
+    when its rep (the supplier of its first line) was found, batch orders
+    without items never reach a file, and streamed orders always do.
+    """
     from ordertide.plans.fixtures import enriched_orders, table
 
     eo = enriched_orders(spark, sf_dir)
-    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    batch_orders = eo.filter(F.col("route") != STREAM_ROUTE).join(items, "o_orderkey", "left_semi")
-    stream_orders_ = eo.filter(F.col("route") == STREAM_ROUTE)
-    part = table(spark, sf_dir, "part")
-    li = table(spark, sf_dir, "lineitem")
-    parts = [
-        batch_orders.unionByName(stream_orders_).agg(F.count(F.lit(1)).alias("expected")).select(
-            F.lit("orders").alias("table_name"), "expected"),
-        li.agg(F.count(F.lit(1)).alias("expected")).select(F.lit("line_items").alias("table_name"), "expected"),
-        part.filter(F.col("p_size") > 25).agg(F.count(F.lit(1)).alias("expected")).select(
-            F.lit("products").alias("table_name"), "expected"),
-        eo.filter(F.col("route") != STREAM_ROUTE).join(items, "o_orderkey", "left_semi").agg(
-            F.count_distinct("s_suppkey").alias("expected")).select(F.lit("sales_reps").alias("table_name"), "expected"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    batch = (F.col("route") != STREAM_ROUTE) & F.col("s_suppkey").isNotNull()
+    orders_and_reps = eo.agg(
+        F.count_if(batch | (F.col("route") == STREAM_ROUTE)).cast("bigint").alias("orders"),
+        F.count_distinct(F.when(batch, F.col("s_suppkey"))).cast("bigint").alias("sales_reps"),
+    ).unpivot([], ["orders", "sales_reps"], "table_name", "expected")
+    items = table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).cast("bigint").alias("expected")).select(
+        F.lit("line_items").alias("table_name"), "expected")
+    products = table(spark, sf_dir, "part").agg(
+        F.count_if(F.col("p_size") > 25).cast("bigint").alias("expected")).select(
+        F.lit("products").alias("table_name"), "expected")
+    return orders_and_reps.unionByName(items).unionByName(products)
 
 
 def dq_count_reconcile(spark, sf_dir):
