@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -35,6 +36,11 @@ from pyspark.sql import types as T
 from ordertide import fs
 
 COMMIT_COL = "_commit"
+# Commit ids are folder names (partition values): keep them path-safe.
+_COMMIT_ID = re.compile(r"[A-Za-z0-9_-]{1,128}")
+# Ledgers up to this many versions are read on the driver file by file;
+# longer ones with one parallel JSON scan.
+DIRECT_LEDGER_FILES = 64
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -97,7 +103,12 @@ class VersionedTable:
 
     def _ledger(self) -> list:
         if self._cache is None:
-            rows = [r.asDict() for r in self._ledger_df().collect()]
+            names = [n for n in fs.list_names(self.spark, self.ledger_path) if n.endswith(".json")]
+            if len(names) <= DIRECT_LEDGER_FILES:
+                # A handful of tiny files: read them on the driver, no job.
+                rows = [json.loads(fs.read_text(self.spark, f"{self.ledger_path}/{n}")) for n in names]
+            else:
+                rows = [r.asDict() for r in self._ledger_df().collect()]
             self._cache = sorted(rows, key=lambda r: r["version"])
         return self._cache
 
@@ -140,12 +151,14 @@ class VersionedTable:
         if schema is None:
             raise ValueError(f"{self.name}: table has no commits")
         stored = T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())])
-        if not fs.exists(self.spark, self.data_path):
-            df = self.spark.createDataFrame([], stored)
-        else:
-            # The stored schema spares a footer scan and keeps empty commits readable.
-            df = self.spark.read.schema(stored).parquet(self.data_path)
-        return df.filter(F.col(COMMIT_COL).isin(live)).drop(COMMIT_COL).select(*schema.names)
+        rows = {r["commit_id"]: r["rows"] for r in self._ledger() if r["commit_id"]}
+        dirs = [f"{self.data_path}/{COMMIT_COL}={c}" for c in live if rows.get(c)]
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        # Only the live commits' folders are listed (not every commit ever
+        # written), and the stored schema spares a footer scan.
+        df = self.spark.read.schema(stored).option("basePath", self.data_path).parquet(*dirs)
+        return df.select(*schema.names)
 
     def schema(self) -> T.StructType | None:
         """The table's columns (set by its first commit)."""
@@ -163,6 +176,8 @@ class VersionedTable:
         """
         op = {"append": "APPEND", "overwrite": "OVERWRITE"}[mode]
         commit_id = commit_id or f"c-{uuid.uuid4().hex[:16]}"
+        if not _COMMIT_ID.fullmatch(commit_id):
+            raise ValueError(f"commit id {commit_id!r}: use letters, digits, '-' and '_' only")
         if self.schema() is None:
             fs.write_text(self.spark, self.schema_path, json.dumps(df.schema.jsonValue()))
             self._schema = df.schema

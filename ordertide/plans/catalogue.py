@@ -638,14 +638,36 @@ def file_inventory_q(spark, sf_dir):
 
 
 def catalog_objects(spark, sf_dir):
-    """Views registered, one cached; listed from the catalog."""
+    """A database with the products table (managed
+    overwrite) and the orders month-partitioned, views for the rest, one view
+    cached; listed from the catalog."""
+    from ordertide.operators import catalog
+
     w = ws(spark, sf_dir)
-    w.register_views()
-    spark.catalog.cacheTable("sales_reps")
-    names = ["orders", "line_items", "sales_reps", "products"]
-    rows = [(t.name, t.tableType, bool(t.isTemporary), spark.catalog.isCached(t.name))
-            for t in spark.catalog.listTables() if t.name in names]
-    return spark.createDataFrame(rows, "name string, table_type string, is_temporary boolean, is_cached boolean")
+    db = f"ordertide_{w.root.rsplit('/', 1)[-1]}".replace("-", "_")
+    previous = spark.catalog.currentDatabase()
+    catalog.use_database(spark, db)
+    try:
+        catalog.drop_table(spark, f"`{db}`.products")
+        catalog.save_table(w.products(), f"`{db}`.products", _scratch(w, "catalog-products"))
+        catalog.drop_table(spark, f"`{db}`.orders")
+        catalog.save_table(w.orders(), f"`{db}`.orders", _scratch(w, "catalog-orders"), ["submitted_yyyy_mm"])
+        w.register_views()
+        catalog.cache_view(spark, w.sales_reps(), "sales_reps")
+        described = {r.col_name for r in catalog.describe(spark, f"`{db}`.orders").collect()}
+        assert "submitted_yyyy_mm" in described
+        listed = {r.tableName: bool(r.isTemporary) for r in catalog.list_tables(spark, db).collect()}
+        names = ["orders", "line_items", "sales_reps", "products"]
+        rows = []
+        for t in spark.catalog.listTables(db):
+            if t.name in names:
+                rows.append((t.name, t.tableType, bool(t.isTemporary), listed.get(t.name), spark.catalog.isCached(
+                    t.name if t.isTemporary else f"`{db}`.{t.name}")))
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
+    return spark.createDataFrame(
+        rows, "name string, table_type string, is_temporary boolean, in_show_tables boolean, is_cached boolean"
+    )
 
 
 QUERIES = {

@@ -53,6 +53,8 @@ class Workspace:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.root = root
+        self._tables: dict[str, VersionedTable] = {}
+        self._done: dict[str, str] = {}
 
     # -- construction ------------------------------------------------------
     @classmethod
@@ -80,12 +82,16 @@ class Workspace:
     def _phase(self, name: str, build) -> str:
         marker = f"{self.root}/{name}.ok"
         with _LOCK:
+            if name in self._done:
+                return self._done[name]
             done = fs.read_text(self.spark, marker)
             if done:
-                return done.strip()
+                self._done[name] = done.strip()
+                return self._done[name]
             folder = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
             build(folder)
             fs.write_text(self.spark, marker, folder)
+            self._done[name] = folder
             return folder
 
     # -- phase 1: raw files --------------------------------------------------
@@ -128,11 +134,19 @@ class Workspace:
     def raw_batched(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.tables_dir()}/raw_batched")
 
+    def _versioned(self, name: str, partition_by: list[str]) -> VersionedTable:
+        # One instance per table: every writer in this process shares its
+        # cached ledger (single writer per table).
+        with _LOCK:
+            if name not in self._tables:
+                self._tables[name] = VersionedTable(self.spark, f"{self.tables_dir()}/{name}", name, partition_by)
+            return self._tables[name]
+
     def orders_table(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.tables_dir()}/orders", "orders", partition_by=["submitted_yyyy_mm"])
+        return self._versioned("orders", ["submitted_yyyy_mm"])
 
     def line_items_table(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.tables_dir()}/line_items", "line_items")
+        return self._versioned("line_items", [])
 
     def sales_reps(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.tables_dir()}/sales_reps")
