@@ -36,32 +36,19 @@ def string_hygiene(df: DataFrame, columns: Sequence[str] | None = None, by: Sequ
     """Untrimmed, blank and literal-``null`` values per string column (D3).
 
     ``(*by, column_name, untrimmed, blank, null_literal)``; NULLs count as
-    none of them.  One aggregate pass for every column and rule.
+    none of them.  One scan: the columns are stacked into
+    ``(column_name, value)`` rows (an in-stage Expand) and aggregated with
+    three buffers per group, which stays inside whole-stage codegen where a
+    57-buffer wide aggregate does not.
     """
     cols = [c for c in (columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
             if c not in by]
-    aggs = []
-    for c in cols:
-        v = F.col(c)
-        aggs += [
-            _count_if(v != F.trim(v)).alias(f"{c}\u0001untrimmed"),
-            _count_if(F.trim(v) == "").alias(f"{c}\u0001blank"),
-            _count_if(F.lower(F.trim(v)) == "null").alias(f"{c}\u0001null_literal"),
-        ]
-    wide = df.groupBy(*by).agg(*aggs)
-    packed = wide.select(
-        *by,
-        *[
-            F.struct(
-                F.col(f"`{c}\u0001untrimmed`").alias("untrimmed"),
-                F.col(f"`{c}\u0001blank`").alias("blank"),
-                F.col(f"`{c}\u0001null_literal`").alias("null_literal"),
-            ).alias(c)
-            for c in cols
-        ],
-    )
-    return packed.unpivot(list(by), cols, "column_name", "v").select(
-        *by, "column_name", "v.untrimmed", "v.blank", "v.null_literal"
+    long = df.select(*by, *cols).unpivot(list(by), cols, "column_name", "v")
+    v = F.col("v")
+    return long.groupBy(*by, "column_name").agg(
+        _count_if(v != F.trim(v)).alias("untrimmed"),
+        _count_if(F.trim(v) == "").alias("blank"),
+        _count_if(F.lower(F.trim(v)) == "null").alias("null_literal"),
     )
 
 
@@ -100,6 +87,20 @@ def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(columns), "column_name", "v").select("column_name", "v.min", "v.max")
 
 
+def scalar_row(values: Mapping[str, DataFrame]) -> DataFrame:
+    """Put several one-row, one-column aggregates side by side in one row.
+
+    The aggregates are unioned with a label and folded by a conditional
+    aggregate, instead of joining one-row frames without a condition
+    (a cartesian product in the plan).
+    """
+    labelled = None
+    for name, df in values.items():
+        part = df.select(F.lit(name).alias("k"), F.col(df.columns[0]).cast("bigint").alias("v"))
+        labelled = part if labelled is None else labelled.unionByName(part)
+    return labelled.agg(*[F.max(F.when(F.col("k") == name, F.col("v"))).alias(name) for name in values])
+
+
 # -- structural -------------------------------------------------------------------
 def schema_check(spark: SparkSession, actual: T.StructType, expected: T.StructType, keep_order: bool = False) -> DataFrame:
     """One row per differing column (D1); empty when the schemas conform.

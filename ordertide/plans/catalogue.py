@@ -306,17 +306,20 @@ def stream_replay(spark, sf_dir):
 def stream_reconcile(spark, sf_dir):
     """Base rows + new documents = table rows, for both tables."""
     w = ws(spark, sf_dir)
+    w.streamed()
     docs = _stream_docs(spark, sf_dir)
     out = None
     for name, table, new in (
         ("orders", w.orders_table(), flatten_orders(docs)),
         ("line_items", w.line_items_table(), explode_line_items(docs)),
     ):
-        w.streamed()
-        base = table.read(0).agg(F.count(F.lit(1)).alias("base_rows"))
-        fresh = new.agg(F.count(F.lit(1)).alias("new_rows"))
-        actual = table.read().agg(F.count(F.lit(1)).alias("actual_rows"))
-        row = base.join(fresh).join(actual).select(
+        row = dq.scalar_row(
+            {
+                "base_rows": table.read(0).agg(F.count(F.lit(1))),
+                "new_rows": new.agg(F.count(F.lit(1))),
+                "actual_rows": table.read().agg(F.count(F.lit(1))),
+            }
+        ).select(
             F.lit(name).alias("table_name"),
             "base_rows",
             "new_rows",
@@ -535,9 +538,12 @@ def dq_schema(spark, sf_dir):
 def dq_partitions(spark, sf_dir):
     """Month partitions present, and any month missing in their range."""
     o = ws(spark, sf_dir).orders()
-    missing = dq.missing_months(o).agg(F.count(F.lit(1)).alias("missing_months"))
-    present = o.agg(F.count_distinct("submitted_yyyy_mm").cast("bigint").alias("present_months"))
-    return present.join(missing)
+    return dq.scalar_row(
+        {
+            "present_months": o.agg(F.count_distinct("submitted_yyyy_mm")),
+            "missing_months": dq.missing_months(o).agg(F.count(F.lit(1))),
+        }
+    )
 
 
 def dq_result_diff(spark, sf_dir):
@@ -549,7 +555,9 @@ def dq_result_diff(spark, sf_dir):
     )
     via_api = questions.orders_per_state(w.orders())
     diff = dq.multiset_diff(via_sql, via_api)
-    return via_api.agg(F.count(F.lit(1)).alias("rows")).join(diff.agg(F.count(F.lit(1)).alias("differing_rows")))
+    return dq.scalar_row(
+        {"rows": via_api.agg(F.count(F.lit(1))), "differing_rows": diff.agg(F.count(F.lit(1)))}
+    )
 
 
 def _expected_counts(spark, sf_dir) -> DataFrame:
@@ -592,22 +600,60 @@ def dq_xml_count(spark, sf_dir):
     )
 
 
+def _route_year_ok(source: Column, year: Column) -> Column:
+    ok = F.lit(False)
+    first = 0
+    for name, last in ROUTES:
+        ok = F.when(source == name, year.between(first, last)).otherwise(ok)
+        first = last + 1
+    return ok
+
+
+def _raw_checks(raw: DataFrame) -> DataFrame:
+    """Hygiene, value lengths and file year of the raw dataset in ONE scan.
+
+    Violations are counted per row (a sum of flags) and summed, so the
+    aggregate keeps a handful of buffers however many columns are checked.
+    """
+    def flags(conds):
+        total = F.lit(0)
+        for c in conds:
+            total = total + F.coalesce(c, F.lit(False)).cast("int")
+        return total
+
+    hygiene = flags(
+        cond
+        for c in RAW_ORDER_COLUMNS
+        for cond in (F.col(c) != F.trim(c), F.trim(c) == "", F.lower(F.trim(c)) == "null")
+    )
+    lengths = flags(~F.length(c).isin(*ls) for c, ls in EXPECTED_LENGTHS.items())
+    checked = flags(F.col(c).isNotNull() for c in EXPECTED_LENGTHS)
+    year_bad = ~_route_year_ok(source_of("ingest_file_name"), F.year(epoch_to_timestamp("submitted_at")))
+    agg = raw.agg(
+        F.sum(hygiene).alias("hygiene"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(lengths).alias("lengths"),
+        F.sum(checked).alias("checked"),
+        F.count_if(year_bad).alias("year_bad"),
+    )
+    rows = [
+        F.struct(*dq.check("ingest", "clean_strings", F.col("hygiene"), F.col("rows") * len(RAW_ORDER_COLUMNS) * 3)),
+        F.struct(*dq.check("ingest", "value_lengths", F.col("lengths"), F.col("checked"))),
+        F.struct(*dq.check("ingest", "file_year", F.col("year_bad"), F.col("rows"))),
+    ]
+    return agg.select(F.inline(F.array(*rows)))
+
+
 def check_results(spark, sf_dir) -> DataFrame:
     """All suites of checks as one results table."""
     w = ws(spark, sf_dir)
-    raw = w.raw_batched()
-    hygiene = dq.string_hygiene(raw.select(*RAW_ORDER_COLUMNS), RAW_ORDER_COLUMNS)
-    lengths = dq.length_violations(raw, EXPECTED_LENGTHS)
-    years = dq_file_year(spark, sf_dir)
     reconcile = dq_count_reconcile(spark, sf_dir)
     nulls = dq.null_profile(w.orders(), ["submitted_at", "order_id", "customer_id", "submitted_yyyy_mm"])
     xml = dq_xml_count(spark, sf_dir)
     partitions = dq_partitions(spark, sf_dir)
     adj = dq.value_range(w.products(), ["color_adj", "size_adj"])
     parts = [
-        hygiene.agg(*dq.check("ingest", "clean_strings", F.sum(F.col("untrimmed") + F.col("blank") + F.col("null_literal")), F.count(F.lit(1)))),
-        lengths.agg(*dq.check("ingest", "value_lengths", F.sum("violations"), F.sum("checked"))),
-        years.agg(*dq.check("ingest", "file_year", F.sum("violations"), F.sum("total"))),
+        _raw_checks(w.raw_batched()),
         nulls.agg(*dq.check("normalize", "non_null_keys", F.sum("nulls"), F.count(F.lit(1)))),
         partitions.agg(*dq.check("normalize", "month_partitions", F.sum("missing_months"), F.sum("present_months"))),
         reconcile.agg(*dq.check("normalize", "row_counts", F.count_if(~F.col("ok")), F.count(F.lit(1)))),
