@@ -24,9 +24,14 @@ def _col(c: str | Column) -> Column:
 
 
 def clean_string(c: str | Column) -> Column:
-    """Trim; blank and the literal ``null`` become SQL NULL (NULL stays NULL)."""
-    trimmed = F.trim(_col(c))
-    return F.when(~trimmed.isin(*NULL_TOKENS), trimmed)
+    """Trim; blank and the literal ``null`` become SQL NULL (NULL stays NULL).
+
+    Written as nested ``nullif`` over one ``trim`` (cheaper in generated
+    code than a ``CASE`` re-evaluating the trimmed value)."""
+    out = F.trim(_col(c))
+    for token in NULL_TOKENS:
+        out = F.nullif(out, F.lit(token))
+    return out
 
 
 def clean_all(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -610,10 +610,11 @@ def _route_year_ok(source: Column, year: Column) -> Column:
 
 
 def _raw_checks(raw: DataFrame) -> DataFrame:
-    """Hygiene, value lengths and file year of the raw dataset in ONE scan.
+    """Hygiene, value lengths and file year of the raw dataset.
 
-    Violations are counted per row (a sum of flags) and summed, so the
-    aggregate keeps a handful of buffers however many columns are checked.
+    Hygiene is the stacked per-column aggregate (all columns, one scan);
+    lengths and file year are flags summed in one narrow aggregate over the
+    seven columns they need.
     """
     def flags(conds):
         total = F.lit(0)
@@ -621,27 +622,30 @@ def _raw_checks(raw: DataFrame) -> DataFrame:
             total = total + F.coalesce(c, F.lit(False)).cast("int")
         return total
 
-    hygiene = flags(
-        cond
-        for c in RAW_ORDER_COLUMNS
-        for cond in (F.col(c) != F.trim(c), F.trim(c) == "", F.lower(F.trim(c)) == "null")
+    hygiene = dq.string_hygiene(raw, RAW_ORDER_COLUMNS).agg(
+        *dq.check(
+            "ingest", "clean_strings",
+            F.sum(F.col("untrimmed") + F.col("blank") + F.col("null_literal")),
+            F.count(F.lit(1)),
+        )
     )
     lengths = flags(~F.length(c).isin(*ls) for c, ls in EXPECTED_LENGTHS.items())
     checked = flags(F.col(c).isNotNull() for c in EXPECTED_LENGTHS)
     year_bad = ~_route_year_ok(source_of("ingest_file_name"), F.year(epoch_to_timestamp("submitted_at")))
-    agg = raw.agg(
-        F.sum(hygiene).alias("hygiene"),
+    narrow = raw.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(lengths).alias("lengths"),
         F.sum(checked).alias("checked"),
         F.count_if(year_bad).alias("year_bad"),
+    ).select(
+        F.inline(
+            F.array(
+                F.struct(*dq.check("ingest", "value_lengths", F.col("lengths"), F.col("checked"))),
+                F.struct(*dq.check("ingest", "file_year", F.col("year_bad"), F.col("rows"))),
+            )
+        )
     )
-    rows = [
-        F.struct(*dq.check("ingest", "clean_strings", F.col("hygiene"), F.col("rows") * len(RAW_ORDER_COLUMNS) * 3)),
-        F.struct(*dq.check("ingest", "value_lengths", F.col("lengths"), F.col("checked"))),
-        F.struct(*dq.check("ingest", "file_year", F.col("year_bad"), F.col("rows"))),
-    ]
-    return agg.select(F.inline(F.array(*rows)))
+    return hygiene.unionByName(narrow)
 
 
 def check_results(spark, sf_dir) -> DataFrame:
@@ -679,7 +683,21 @@ def dq_final_gate(spark, sf_dir):
 
 # -- inventory and catalog ------------------------------------------------------------------------
 def file_inventory_q(spark, sf_dir):
-    paths = ws(spark, sf_dir).raw_paths()
+    """Files and bytes of every raw input, the stream checkpoint and
+    the tables' data folders (listing only; contents are never read)."""
+    w = ws(spark, sf_dir)
+    w.streamed()
+    tables = w.tables_dir()
+    paths = dict(w.raw_paths())
+    paths.update(
+        {
+            "checkpoint": f"{tables}/checkpoints",
+            "orders_data": w.orders_table().data_path,
+            "line_items_data": w.line_items_table().data_path,
+            "sales_reps_data": f"{tables}/sales_reps",
+            "products_data": f"{tables}/products",
+        }
+    )
     return file_inventory(spark, paths)
 
 
