@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertide.plans.jobs import run_concurrently
 from ordertide.schemas import FIXED_WIDTH_LAYOUT, RAW_ORDER_COLUMNS
 
 # Order year -> file route.  Years after the last batch route
@@ -223,24 +224,36 @@ def write_fixtures(spark: SparkSession, sf_dir: str, root: str, stream_files: in
         "products_xml": f"{root}/raw/products",
     }
     rows = raw_order_rows(spark, sf_dir).persist()
-    try:
+
+    def fixed_width() -> None:
         fixed_width_lines(rows.filter(F.col("route") == "fixed_width")).write.mode("overwrite").text(
             paths["fixed_width"]
         )
+
+    def tab_separated() -> None:
         rows.filter(F.col("route") == "tab_separated").select(RAW_ORDER_COLUMNS).write.mode("overwrite").option(
             "header", True
         ).option("sep", "\t").option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(paths["tab_separated"])
+
+    def comma_separated() -> None:
         rows.filter(F.col("route") == "comma_separated").select(
             [F.col(c).alias(camel(c)) for c in RAW_ORDER_COLUMNS]
         ).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(paths["comma_separated"])
+
+    def documents() -> None:
+        order_documents(spark, sf_dir).repartition(stream_files).write.mode("overwrite").json(paths["stream"])
+
+    def products() -> None:
+        product_rows(spark, sf_dir).write.mode("overwrite").format("xml").option("rootTag", "products").option(
+            "rowTag", "product"
+        ).save(paths["products_xml"])
+
+    try:
+        run_concurrently(fixed_width, tab_separated, comma_separated, documents, products)
     finally:
         rows.unpersist()
-    order_documents(spark, sf_dir).repartition(stream_files).write.mode("overwrite").json(paths["stream"])
-    product_rows(spark, sf_dir).write.mode("overwrite").format("xml").option("rootTag", "products").option(
-        "rowTag", "product"
-    ).save(paths["products_xml"])
     return paths

@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ordertide.functions.clean import month_key, try_cast, with_lineage
 from ordertide.operators.versioned import VersionedTable
+from ordertide.plans.jobs import run_concurrently
 from ordertide.schemas import LINE_ITEMS_SCHEMA, ORDERS_JSON_SCHEMA, ORDERS_SCHEMA
 from ordertide.sources.files import stream_orders_json
 
@@ -95,8 +96,11 @@ class OrderStream:
             if self.coalesce_to:
                 orders_rows = orders_rows.coalesce(self.coalesce_to)
                 item_rows = item_rows.coalesce(self.coalesce_to)
-            self.orders.append_conforming(orders_rows, commit_id)
-            self.line_items.append_conforming(item_rows, commit_id)
+            # Both tables from the same cached batch, committed side by side.
+            run_concurrently(
+                lambda: self.orders.append_conforming(orders_rows, commit_id),
+                lambda: self.line_items.append_conforming(item_rows, commit_id),
+            )
         finally:
             batch.unpersist()
 
