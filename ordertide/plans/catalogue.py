@@ -657,6 +657,7 @@ def check_results(spark, sf_dir) -> DataFrame:
     partitions = dq_partitions(spark, sf_dir)
     adj = dq.value_range(w.products(), ["color_adj", "size_adj"])
     parts = [
+        _install_checks(spark, w),
         _raw_checks(w.raw_batched()),
         nulls.agg(*dq.check("normalize", "non_null_keys", F.sum("nulls"), F.count(F.lit(1)))),
         partitions.agg(*dq.check("normalize", "month_partitions", F.sum("missing_months"), F.sum("present_months"))),
@@ -664,13 +665,60 @@ def check_results(spark, sf_dir) -> DataFrame:
         xml.agg(*dq.check("products", "xml_count", F.sum(F.col("xml_rows") - F.col("priced") - F.col("unpriced")), F.sum("xml_rows"))),
         adj.agg(*dq.check("products", "adj_range", F.count_if(~((F.col("min") >= 0.9) & (F.col("max") <= 1.1))), F.count(F.lit(1)))),
     ]
+    parts += [_stream_checks(spark, sf_dir, w), _question_checks(spark, sf_dir)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-STAGES = ["ingest", "normalize", "products"]
+def _install_checks(spark, w: Workspace) -> DataFrame:
+    """Every raw input folder holds files."""
+    inv = file_inventory(spark, w.raw_paths())
+    return inv.agg(*dq.check("install", "raw_files", F.count_if(F.col("files") == 0), F.count(F.lit(1))))
+
+
+# The reference's bound on micro-batches of one stream run.
+MAX_TRIGGERS = 100
+
+
+def _stream_checks(spark, sf_dir, w: Workspace) -> DataFrame:
+    """One micro-batch per file (>= files, < 100), each with rows;
+    T9: base + new = table for both tables."""
+    w.streamed()
+    stream = w.order_stream()
+    batches = stream.batch_commits()
+    files = file_inventory(spark, {"stream": w.raw_paths()["stream"]})
+    counts = dq.scalar_row(
+        {
+            "batches": batches.agg(F.count(F.lit(1))),
+            "empty": batches.agg(F.count_if(F.col("order_rows") <= 0)),
+            "files": files.agg(F.max("files")),
+        }
+    )
+    bad = F.when(
+        (F.col("batches") >= F.col("files")) & (F.col("batches") < MAX_TRIGGERS) & (F.col("empty") == 0), 0
+    ).otherwise(1)
+    triggers = counts.select(*dq.check("stream", "trigger_count", bad, F.col("batches")))
+    reconcile = stream_reconcile(spark, sf_dir).agg(
+        *dq.check("stream", "reconcile", F.count_if(~F.col("ok")), F.count(F.lit(1)))
+    )
+    return triggers.unionByName(reconcile)
+
+
+def _question_checks(spark, sf_dir) -> DataFrame:
+    """Q1 by SQL equals Q1 by the API; Q2 answered; Q3 exactly one row."""
+    q1 = dq_result_diff(spark, sf_dir).select(*dq.check("questions", "q1_equal", F.col("differing_rows"), F.col("rows")))
+    q2 = price_stats(spark, sf_dir).agg(
+        *dq.check("questions", "q2_answered", F.count_if(F.col("avg_price").isNull()), F.count(F.lit(1)))
+    )
+    q3 = top_rep_by_profit(spark, sf_dir).agg(
+        *dq.check("questions", "q3_one_row", F.abs(F.count(F.lit(1)) - 1), F.count(F.lit(1)))
+    )
+    return q1.unionByName(q2).unionByName(q3)
+
+
+STAGES = ["install", "ingest", "normalize", "products", "stream", "questions"]
 
 
 def dq_stage_rollup(spark, sf_dir):

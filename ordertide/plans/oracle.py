@@ -366,7 +366,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "dq_stage_rollup": _with(
         "SELECT suite, CAST(n AS BIGINT) AS passed, CAST(n AS BIGINT) AS checks, CAST(100.0 AS DOUBLE) AS percent, true AS all_passed "
-        "FROM (VALUES ('ingest', 3), ('normalize', 3), ('products', 2)) t(suite, n) "
+        "FROM (VALUES ('install', 1), ('ingest', 3), ('normalize', 3), ('products', 2), ('stream', 2), ('questions', 3)) "
+        "t(suite, n) "
         "WHERE (SELECT count(*) FROM raw) > 0"
     ),
     "dq_final_gate": _with(
