@@ -117,12 +117,20 @@ def _attention() -> Column:
     )
 
 
-def raw_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every batch line item as the 19 raw string columns plus ``route``."""
+def raw_order_rows(
+    spark: SparkSession, sf_dir: str, orders: DataFrame | None = None, route: str | None = None
+) -> DataFrame:
+    """Every batch line item as the 19 raw string columns plus ``route``.
+
+    ``orders`` may be a materialized :func:`enriched_orders`; with ``route``
+    only that file's orders are joined (the filter sits on the order side,
+    so the line items of other years are dropped at the join).
+    """
     lineitem = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
     )
-    orders = enriched_orders(spark, sf_dir).filter(F.col("route") != STREAM_ROUTE)
+    orders = enriched_orders(spark, sf_dir) if orders is None else orders
+    orders = orders.filter(F.col("route") == route) if route else orders.filter(F.col("route") != STREAM_ROUTE)
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     s = lambda c: F.col(c).cast("string")
     return joined.select(
@@ -149,13 +157,13 @@ def raw_order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_documents(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Streamed orders as nested documents, one per order.
 
     The items of an order are gathered with a partial aggregate on the order
     key; the document format itself holds one order per document.
     """
-    orders = enriched_orders(spark, sf_dir).filter(F.col("route") == STREAM_ROUTE)
+    orders = (enriched_orders(spark, sf_dir) if orders is None else orders).filter(F.col("route") == STREAM_ROUTE)
     lineitem = table(spark, sf_dir, "lineitem")
     items = lineitem.groupBy("l_orderkey").agg(
         F.collect_list(
@@ -223,37 +231,41 @@ def write_fixtures(spark: SparkSession, sf_dir: str, root: str, stream_files: in
         "stream": f"{root}/raw/orders/stream",
         "products_xml": f"{root}/raw/products",
     }
-    rows = raw_order_rows(spark, sf_dir).persist()
+    # The order-grain join (customer, nations, rep) is materialized once with
+    # a reliable checkpoint in the shared folder: lineage is cut, a lost
+    # executor does not recompute it, and each file below joins the line
+    # items to its own orders only.  Nothing line-item sized is cached.
+    orders = enriched_orders(spark, sf_dir).checkpoint(eager=True)
+
+    def rows(route: str) -> DataFrame:
+        return raw_order_rows(spark, sf_dir, orders, route)
 
     def fixed_width() -> None:
-        fixed_width_lines(rows.filter(F.col("route") == "fixed_width")).write.mode("overwrite").text(
+        fixed_width_lines(rows("fixed_width")).write.mode("overwrite").text(
             paths["fixed_width"]
         )
 
     def tab_separated() -> None:
-        rows.filter(F.col("route") == "tab_separated").select(RAW_ORDER_COLUMNS).write.mode("overwrite").option(
+        rows("tab_separated").select(RAW_ORDER_COLUMNS).write.mode("overwrite").option(
             "header", True
         ).option("sep", "\t").option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(paths["tab_separated"])
 
     def comma_separated() -> None:
-        rows.filter(F.col("route") == "comma_separated").select(
+        rows("comma_separated").select(
             [F.col(c).alias(camel(c)) for c in RAW_ORDER_COLUMNS]
         ).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(paths["comma_separated"])
 
     def documents() -> None:
-        order_documents(spark, sf_dir).repartition(stream_files).write.mode("overwrite").json(paths["stream"])
+        order_documents(spark, sf_dir, orders).repartition(stream_files).write.mode("overwrite").json(paths["stream"])
 
     def products() -> None:
         product_rows(spark, sf_dir).write.mode("overwrite").format("xml").option("rootTag", "products").option(
             "rowTag", "product"
         ).save(paths["products_xml"])
 
-    try:
-        run_concurrently(fixed_width, tab_separated, comma_separated, documents, products)
-    finally:
-        rows.unpersist()
+    run_concurrently(fixed_width, tab_separated, comma_separated, documents, products)
     return paths

@@ -60,6 +60,9 @@ def shared_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="ordertide-")
         sc.setCheckpointDir(root)
         _LOCAL_ROOTS[id(sc)] = root
+    elif not sc.getCheckpointDir():
+        # Named in the configuration but not applied to this context yet.
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
