@@ -58,13 +58,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(hpath))
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a path we own (used to drop a single stale partition)."""
-    hpath, fs = _path(spark, path)
-    if fs.exists(hpath):
-        fs.delete(hpath, True)
-
-
 def fingerprint(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
     """``(path, total bytes, latest modification time)`` per path (recursive)."""
     out = []
@@ -86,7 +79,6 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     racing for the same name cannot both succeed.
     """
     hpath, fs = _path(spark, path)
-    jvm = spark.sparkContext._jvm
     try:
         out = fs.create(hpath, False)
     except Exception as e:  # noqa: BLE001 - FileAlreadyExistsException through py4j
@@ -97,5 +89,4 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    del jvm
     return True

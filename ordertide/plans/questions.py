@@ -70,19 +70,34 @@ def profit_by_rep(
     like the sold price, so the sum is exact and independent of how rows are
     partitioned; otherwise decimal - double gives a double (order-dependent
     rounding in the last bits).
+
+    The profit is first summed per order (partial aggregation right after
+    the product join), so the shuffle join with ``orders`` moves one row per
+    order instead of one per line item; with exact sums this is the same
+    answer.  Each order row then contributes its order's total, as in the
+    plain four-way join.
     """
+    li = line_items.alias("li")
+    p = products.alias("p")
     price = F.col("p.price").cast("decimal(10,2)") if exact else F.col("p.price")
     profit = (F.col("li.product_sold_price") - price) * F.col("li.product_quantity")
+    per_order = (
+        li.join(p, F.col("li.product_id") == F.col("p.product_id"))
+        .groupBy(F.col("li.order_id").alias("order_id"))
+        .agg(F.sum(profit).alias("order_profit"))
+        .alias("po")
+    )
+    o = orders.alias("o")
+    r = sales_reps.alias("r")
     return (
-        _four_way(line_items, products, orders, sales_reps)
-        .select(
+        per_order.join(o, F.col("po.order_id") == F.col("o.order_id"))
+        .join(r, F.col("o.sales_rep_id") == F.col("r.sales_rep_id"))
+        .groupBy(
             F.col("r.sales_rep_id").alias("sales_rep_id"),
             F.col("r.sales_rep_first_name").alias("sales_rep_first_name"),
             F.col("r.sales_rep_last_name").alias("sales_rep_last_name"),
-            profit.alias("total_profit"),
         )
-        .groupBy("sales_rep_id", "sales_rep_first_name", "sales_rep_last_name")
-        .agg(F.sum("total_profit").alias("sum(total_profit)"))
+        .agg(F.sum("po.order_profit").alias("sum(total_profit)"))
     )
 
 
