@@ -776,6 +776,10 @@ def catalog_objects(spark, sf_dir):
                 rows.append((t.name, t.tableType, bool(t.isTemporary), listed.get(t.name), spark.catalog.isCached(
                     t.name if t.isTemporary else f"`{db}`.{t.name}")))
     finally:
+        # The facts are collected above; release the cache so later queries
+        # plan against the files again.
+        if spark.catalog.tableExists("sales_reps") and spark.catalog.isCached("sales_reps"):
+            spark.catalog.uncacheTable("sales_reps")
         spark.catalog.setCurrentDatabase(previous)
     return spark.createDataFrame(
         rows, "name string, table_type string, is_temporary boolean, in_show_tables boolean, is_cached boolean"

@@ -144,14 +144,12 @@ def file_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     listed = frames[0]
     for f in frames[1:]:
         listed = listed.unionByName(f)
-    names = spark.createDataFrame([(n,) for n in paths], "source string")
-    counts = listed.groupBy("source").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-    )
-    return names.join(counts, "source", "left").select(
-        "source",
-        F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
-        F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),
+    # Every named folder contributes a zero row, so empty ones still show up
+    # (a union and a sum, no join).
+    zeros = spark.createDataFrame([(n, 0, 0) for n in paths], "source string, files bigint, bytes bigint")
+    files = listed.select("source", F.lit(1).cast("bigint").alias("files"), F.col("length").cast("bigint").alias("bytes"))
+    return zeros.unionByName(files).groupBy("source").agg(
+        F.sum("files").cast("bigint").alias("files"), F.sum("bytes").cast("bigint").alias("bytes")
     )
 
 
