@@ -19,7 +19,7 @@ from ordertide.operators import quality as dq
 from ordertide.operators.versioned import SchemaMismatch, VersionedTable
 from ordertide.plans import ingest, normalize, questions
 from ordertide.plans.fixtures import ROUTES, STREAM_ROUTE
-from ordertide.plans.pipeline import Workspace
+from ordertide.plans.workspace import Workspace
 from ordertide.schemas import (
     LINE_ITEMS_SCHEMA,
     ORDERS_SCHEMA,

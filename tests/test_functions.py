@@ -53,7 +53,7 @@ def test_month_key(spark):
 
 
 def test_vectorized_and_native_ssn_agree_on_raw(spark, sf_dir):
-    from ordertide.plans.pipeline import Workspace
+    from ordertide.plans.workspace import Workspace
 
     raw = Workspace.get(spark, sf_dir).raw_batched()
     diff = raw.select(

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from ordertide.functions.clean import with_lineage
 from ordertide.operators.versioned import VersionedTable
 from ordertide.sources.files import read_orders_json
-from ordertide.plans.pipeline import Workspace
+from ordertide.plans.workspace import Workspace
 from ordertide.streaming.orders import OrderStream, explode_line_items, flatten_orders
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordertide.operators import catalog
 from ordertide.operators.versioned import VersionedTable
-from ordertide.plans.pipeline import Workspace
+from ordertide.plans.workspace import Workspace
 from ordertide.sources.files import preview
 from ordertide.streaming.orders import OrderStream
 
