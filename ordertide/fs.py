@@ -59,16 +59,23 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def fingerprint(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
-    """``(path, total bytes, latest modification time)`` per path (recursive)."""
+    """``(path, bytes, latest modification time)`` per path.
+
+    Only the path itself and the entries directly under it are stat-ed (no
+    recursive listing), which identifies a table's files cheaply even on an
+    object store; writers replace files, so sizes and times change.
+    """
     out = []
     for p in paths:
         hpath, fs = _path(spark, p)
         if not fs.exists(hpath):
             out.append((p, -1, -1))
             continue
-        summary = fs.getContentSummary(hpath)
         status = fs.getFileStatus(hpath)
-        out.append((p, int(summary.getLength()), int(status.getModificationTime())))
+        entries = [status] if not status.isDirectory() else list(fs.listStatus(hpath))
+        size = sum(int(e.getLen()) for e in entries)
+        mtime = max([int(status.getModificationTime())] + [int(e.getModificationTime()) for e in entries])
+        out.append((p, size, mtime))
     return out
 
 
