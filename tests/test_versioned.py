@@ -56,3 +56,17 @@ def test_partition_pruning_on_commit(spark, tmp_path):
     t.commit(_df(spark, [1]), "overwrite")
     plan = t.read().filter(F.col("m") == "2020-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "_commit" in plan
+
+
+def test_racing_writer_is_detected(spark, tmp_path):
+    path = str(tmp_path / "t")
+    a = VersionedTable(spark, path, "t")
+    a.commit(_df(spark, [1]), "overwrite", "base")
+    b = VersionedTable(spark, path, "t")
+    b._ledger()  # b has now seen version 0
+    a.commit(_df(spark, [2]), "append", "from-a")  # version 1 by a
+    with pytest.raises(RuntimeError):
+        b.commit(_df(spark, [3]), "append", "from-b")  # b also claims version 1
+    b.refresh()
+    assert sorted(r.id for r in b.read().collect()) == [1, 2]  # a's commit stands, b's is not live
+    assert b.commit(_df(spark, [3]), "append", "from-b") == 2  # after refreshing, b commits on top
