@@ -125,6 +125,23 @@ def missing_months(df: DataFrame, month_col: str = "submitted_yyyy_mm") -> DataF
     return expected.join(present, "month", "left_anti")
 
 
+def month_coverage(df: DataFrame, month_col: str = "submitted_yyyy_mm") -> DataFrame:
+    """Present and missing months in one scan (D10): ``(present_months, missing_months)``.
+
+    The distinct months are gathered with ``collect_set`` - bounded by the
+    calendar (12 per year), combined map-side - and compared with the
+    ``sequence`` of months between the first and the last one.
+    """
+    months = df.agg(F.collect_set(month_col).alias("m"))
+    first = F.to_date(F.concat(F.array_min("m"), F.lit("-01")))
+    last = F.to_date(F.concat(F.array_max("m"), F.lit("-01")))
+    expected = F.transform(F.sequence(first, last, F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyy-MM"))
+    return months.select(
+        F.size("m").cast("bigint").alias("present_months"),
+        F.coalesce(F.size(F.array_except(expected, F.col("m"))), F.lit(0)).cast("bigint").alias("missing_months"),
+    )
+
+
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs between two DataFrames.
 

@@ -539,12 +539,7 @@ def dq_schema(spark, sf_dir):
 def dq_partitions(spark, sf_dir):
     """Month partitions present, and any month missing in their range."""
     o = ws(spark, sf_dir).orders()
-    return dq.scalar_row(
-        {
-            "present_months": o.agg(F.count_distinct("submitted_yyyy_mm")),
-            "missing_months": dq.missing_months(o).agg(F.count(F.lit(1))),
-        }
-    )
+    return dq.month_coverage(o)
 
 
 def dq_result_diff(spark, sf_dir):

@@ -90,3 +90,9 @@ def test_schema_check_ignores_nullability_and_order(spark):
     assert dq.schema_check(spark, a, b, keep_order=True).count() == 2
     c = T.StructType([T.StructField("x", T.LongType()), T.StructField("z", T.StringType())])
     assert sorted(r.column_name for r in dq.schema_check(spark, a, c).collect()) == ["x", "y", "z"]
+
+
+def test_month_coverage_one_scan(spark):
+    df = spark.createDataFrame([("2019-11",), ("2020-02",), ("2020-02",)], "submitted_yyyy_mm string")
+    r = dq.month_coverage(df).first()
+    assert (r.present_months, r.missing_months) == (2, 2)
