@@ -6,11 +6,12 @@ against brute force, an exact round trip or held-out accuracy.
 
 from __future__ import annotations
 
-from ordertide.llm import op1_mixing, op3_exact_dedup
+from ordertide.llm import op1_mixing, op3_exact_dedup, op9_near_dedup
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
     "op3_exact_dedup": op3_exact_dedup.op3_exact_dedup,
+    "op9_near_dedup": op9_near_dedup.op9_near_dedup,
 }
 
 ORACLE_SQL = {
