@@ -6,12 +6,13 @@ against brute force, an exact round trip or held-out accuracy.
 
 from __future__ import annotations
 
-from ordertide.llm import op1_mixing, op2_html, op3_exact_dedup, op5_packing, op6_spotsigs, op7_toxicity, op9_near_dedup
+from ordertide.llm import op1_mixing, op2_html, op3_exact_dedup, op4_pii, op5_packing, op6_spotsigs, op7_toxicity, op9_near_dedup
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
     "op2_html": op2_html.op2_html,
     "op3_exact_dedup": op3_exact_dedup.op3_exact_dedup,
+    "op4_pii": op4_pii.op4_pii,
     "op5_packing": op5_packing.op5_packing,
     "op6_spotsigs": op6_spotsigs.op6_spotsigs,
     "op7_toxicity": op7_toxicity.op7_toxicity,
