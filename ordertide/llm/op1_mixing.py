@@ -48,7 +48,11 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_r
     whole = Window.partitionBy()
     s = s.withColumn("total", F.sum("source_size").over(whole).cast("double"))
     s = s.withColumn("level", (F.col("total") - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(onward))
-    s = s.withColumn("open_level", F.min(F.when(F.col("level") * F.col("weight") < F.col("most"), F.col("level"))).over(whole))
+    s = s.withColumn("turn", F.row_number().over(rising))
+    # The first source that the level of its turn leaves below its limit: it
+    # and all after it stay at that level times their weight.
+    s = s.withColumn("open", F.min(F.when(F.col("level") * F.col("weight") < F.col("most"), F.col("turn"))).over(whole))
+    s = s.withColumn("open_level", F.max(F.when(F.col("turn") == F.col("open"), F.col("level"))).over(whole))
     target = F.when(F.col("open_level").isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("open_level") * F.col("weight")))
     s = s.withColumn("target", target)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -82,15 +86,15 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int =
     columns of ``docs``.  Rows that share a doc_id keep their own copies (they
     are matched by their place among the rows of that doc_id)."""
     plan = plan_mix(docs, weights, max_repeat, seed)
-    nth, size = C.fresh(docs.columns, "_nth"), C.fresh(docs.columns, "_size")
+    nth, size, doc, place, times, copy = (C.fresh(docs.columns, c) for c in ("_nth", "_size", "_doc", "_place", "_times", "_copy"))
     same_id = Window.partitionBy("doc_id")
     left = docs.withColumn(size, C.word_count(F.col("text")))
     left = left.withColumn(nth, F.row_number().over(same_id.orderBy("source", size)))
-    right = plan.withColumn("_m", F.row_number().over(same_id.orderBy("source", "size", "copies")))
-    right = right.filter("copies > 0").select(F.col("doc_id").alias("_d"), "_m", F.col("copies").alias("_copies"))
-    both = left.join(right, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col(nth) == F.col("_m")))
-    once = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
-    return both.select(*[F.col(c) for c in docs.columns], once).drop("_copy")
+    right = plan.withColumn(place, F.row_number().over(same_id.orderBy("source", "size", "copies")))
+    right = right.filter("copies > 0").select(F.col("doc_id").alias(doc), place, F.col("copies").alias(times))
+    both = left.join(right, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(nth) == F.col(place)))
+    once = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(copy)
+    return both.select(*[F.col(c) for c in docs.columns], once).drop(copy)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +115,12 @@ WITH d AS (
   SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE)
       - coalesce(sum(most) OVER (ORDER BY most / weight, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
       / sum(weight) OVER (ORDER BY most / weight, ord ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w
+), n AS (
+  SELECT *, row_number() OVER (ORDER BY most / weight, ord) AS turn FROM l
+), f AS (
+  SELECT *, min(CASE WHEN level * weight < most THEN turn END) OVER () AS open_turn FROM n
 ), m AS (
-  SELECT *, min(CASE WHEN level * weight < most THEN level END) OVER () AS open_level FROM l
+  SELECT *, max(CASE WHEN turn = open_turn THEN level END) OVER () AS open_level FROM f
 ), g AS (
   SELECT source, source_size, CASE WHEN open_level IS NULL THEN most ELSE least(most, open_level * weight) END AS target,
     CAST((ord * 7919 + {SEED} * 104729) % 1000003 AS DOUBLE) / 1000003 AS offs FROM m
