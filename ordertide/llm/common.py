@@ -107,11 +107,12 @@ def flag_maybe(df: DataFrame, column: str, keys: DataFrame, key: str, bits: int
     The bitmap is broadcast: 16 bytes times at most 2^(bits-6) rows, a bound
     that does not depend on the data (1 MB at the default).
     """
-    s = _slot(F.col(column), bits)
-    marked = df.withColumn("_slot", s)
-    out = marked.join(F.broadcast(key_bitmap(keys, key, bits)), F.shiftright(F.col("_slot"), 6) == F.col("_word"), "left")
-    hit = F.getbit(F.coalesce(F.col("_bits"), F.lit(0).cast("long")), F.col("_slot").bitwiseAND(F.lit(63)).cast("int")) == 1
-    return out.withColumn(flag, hit).drop("_slot", "_word", "_bits")
+    slot, word, set_bits = (fresh([*df.columns, flag], c) for c in ("_slot", "_word", "_bits"))
+    bitmap = key_bitmap(keys, key, bits).withColumnsRenamed({"_word": word, "_bits": set_bits})
+    marked = df.withColumn(slot, _slot(F.col(column), bits))
+    out = marked.join(F.broadcast(bitmap), F.shiftright(F.col(slot), 6) == F.col(word), "left")
+    hit = F.getbit(F.coalesce(F.col(set_bits), F.lit(0).cast("long")), F.col(slot).bitwiseAND(F.lit(63)).cast("int")) == 1
+    return out.withColumn(flag, hit).drop(slot, word, set_bits)
 
 
 def without_ids(docs: DataFrame, column: str, dropped: DataFrame, key: str) -> DataFrame:
@@ -123,9 +124,10 @@ def without_ids(docs: DataFrame, column: str, dropped: DataFrame, key: str) -> D
     flag = fresh(docs.columns, "_maybe")
     seen = flag_maybe(docs, column, dropped, key, flag=flag)
     sure = seen.filter(~F.col(flag)).select(*docs.columns)
-    gone = dropped.select(F.col(key).alias("_gone_key")).distinct()
+    name = fresh(docs.columns, "_gone")
+    gone = dropped.select(F.col(key).alias(name)).distinct()
     unsure = seen.filter(F.col(flag)).select(*docs.columns)
-    return sure.unionByName(unsure.join(gone, F.col(column) == F.col("_gone_key"), "left_anti"))
+    return sure.unionByName(unsure.join(gone, F.col(column) == F.col(name), "left_anti"))
 
 
 def components(links: DataFrame, left: str, right: str, max_rounds: int = 200) -> DataFrame:

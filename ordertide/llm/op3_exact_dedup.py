@@ -145,14 +145,14 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     left = C.without_ids(named, "doc_id", gone, "doc_id")
     # Rows that repeat under one doc_id are rare; only they are shuffled.
     again = groups.filter("group_size > 1 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    flag, nth, sha = (C.fresh(docs.columns, c) for c in ("_maybe", "_nth", "_sha"))
+    flag, nth, sha, named_sha = (C.fresh(docs.columns, c) for c in ("_maybe", "_nth", "_sha", "_named_sha"))
     seen = C.flag_maybe(left, "doc_id", again, "doc_id", flag=flag)
     digest = F.sha2(C.ascii_lower(F.col("text")), 256)
     first = F.row_number().over(Window.partitionBy("doc_id", sha).orderBy("doc_id"))
     some = seen.filter(F.col(flag)).withColumn(sha, digest).withColumn(nth, first).filter(F.col(nth) == 1)
     bare = docs.filter(F.col("doc_id").isNull()).withColumn(sha, digest)
-    has_id = groups.filter("doc_id IS NULL AND keep_id IS NOT NULL").select(F.col("text_sha256").alias("_named_sha")).distinct()
-    bare = bare.join(has_id, F.col(sha) == F.col("_named_sha"), "left_anti").withColumn(nth, first).filter(F.col(nth) == 1)
+    has_id = groups.filter("doc_id IS NULL AND keep_id IS NOT NULL").select(F.col("text_sha256").alias(named_sha)).distinct()
+    bare = bare.join(has_id, F.col(sha) == F.col(named_sha), "left_anti").withColumn(nth, first).filter(F.col(nth) == 1)
     out = seen.filter(~F.col(flag)).select(*docs.columns)
     return out.unionByName(some.select(*docs.columns)).unionByName(bare.select(*docs.columns))
 

@@ -6,7 +6,18 @@ against brute force, an exact round trip or held-out accuracy.
 
 from __future__ import annotations
 
-from ordertide.llm import op1_mixing, op2_html, op3_exact_dedup, op4_pii, op5_packing, op6_spotsigs, op7_toxicity, op9_near_dedup
+from ordertide.llm import (
+    op1_mixing,
+    op2_html,
+    op3_exact_dedup,
+    op4_pii,
+    op5_packing,
+    op6_spotsigs,
+    op7_toxicity,
+    op8_token_counts,
+    op9_near_dedup,
+    op10_lm_scoring,
+)
 
 QUERIES = {
     "op1_mixing": op1_mixing.op1_mixing,
@@ -16,7 +27,9 @@ QUERIES = {
     "op5_packing": op5_packing.op5_packing,
     "op6_spotsigs": op6_spotsigs.op6_spotsigs,
     "op7_toxicity": op7_toxicity.op7_toxicity,
+    "op8_token_counts": op8_token_counts.op8_token_counts,
     "op9_near_dedup": op9_near_dedup.op9_near_dedup,
+    "op10_lm_scoring": op10_lm_scoring.op10_lm_scoring,
 }
 
 ORACLE_SQL = {
