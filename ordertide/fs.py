@@ -58,42 +58,27 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(hpath))
 
 
-def fingerprint(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
-    """``(path, bytes, latest modification time)`` per path.
-
-    Only the path itself and the entries directly under it are stat-ed (no
-    recursive listing), which identifies a table's files cheaply even on an
-    object store; writers replace files, so sizes and times change.
-    """
+def fingerprint(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int, int]]:
+    """``(path, files, bytes, latest modification time)`` per path, over all
+    files below it, so a file changed inside a partition folder shows."""
     out = []
     for p in paths:
         hpath, fs = _path(spark, p)
         if not fs.exists(hpath):
-            out.append((p, -1, -1))
+            out.append((p, -1, -1, -1))
             continue
-        status = fs.getFileStatus(hpath)
-        entries = [status] if not status.isDirectory() else list(fs.listStatus(hpath))
-        size = sum(int(e.getLen()) for e in entries)
-        mtime = max([int(status.getModificationTime())] + [int(e.getModificationTime()) for e in entries])
-        out.append((p, size, mtime))
+        files = size = mtime = 0
+        listed = fs.listFiles(hpath, True)
+        while listed.hasNext():
+            entry = listed.next()
+            files += 1
+            size += int(entry.getLen())
+            mtime = max(mtime, int(entry.getModificationTime()))
+        out.append((p, files, size, mtime))
     return out
 
 
-def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file only if it does not exist; False if it does.
-
-    The create is atomic on HDFS and local file systems, so two writers
-    racing for the same name cannot both succeed.
-    """
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own scratch files."""
     hpath, fs = _path(spark, path)
-    try:
-        out = fs.create(hpath, False)
-    except Exception as e:  # noqa: BLE001 - FileAlreadyExistsException through py4j
-        if fs.exists(hpath) or "FileAlreadyExists" in str(e):
-            return False
-        raise
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    return True
+    fs.delete(hpath, True)

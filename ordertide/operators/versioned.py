@@ -1,24 +1,21 @@
-"""Versioned tables on plain Parquet (V1-V4, K3).
+"""Commit-tagged Parquet tables (K3, K6/K7; S5 re-aimed).
 
-Plain Spark has no time travel on Parquet tables (``VERSION AS OF`` raises
-``UNSUPPORTED_FEATURE.TIME_TRAVEL``).  A versioned table here is
+A table is
 
-* ``data/``    Parquet partitioned by ``_commit`` (then the table's own
+* ``data/``     Parquet partitioned by ``_commit`` (then the table's own
   partition columns), written with dynamic partition overwrite, and
-* ``_ledger/`` one small JSON file per version, ``<version>.json``:
-  ``(table, version, op, commit_id, restored_from, rows, committed_at)``,
-  created with an exclusive create so a second writer racing for the same
-  version fails instead of overwriting.
-
-The live set of commits at version *n*: APPEND adds its commit, OVERWRITE
-replaces the set, RESTORE *m* takes the set at *m*.  Reads filter on
-``_commit`` so Spark prunes partitions; no data is rewritten by a restore.
-Data is written before its ledger row, and a replayed ``commit_id`` rewrites
-only its own partition and adds no second ledger row, so a re-run micro-batch
-or task retry is exactly-once.  The ledger is metadata-sized (one row per
-commit), read with one Spark JSON scan and then kept by the writer, so a
-long-running stream does not re-read its whole history every micro-batch.
-Single writer per table (a concurrent one is detected, not merged).
+* ``_commits/`` a plain JSON table with one row per version: ``(version, op,
+  commit_id, parent, restored_from, committed_at)``.
+
+A version's rows are those of the commits on its chain of parents: an append
+continues the version before it, an overwrite starts a new chain, a restore
+continues the restored version.  Data is written before its commits row, and a
+replayed ``commit_id`` rewrites only its own partition and adds no second row,
+so a re-run micro-batch is exactly-once whatever either run held.  Which rows
+are visible never depends on a recorded count.
+
+This is bookkeeping for one writer per table, not a transaction log: racing
+writers are neither merged nor detected.
 """
 
 from __future__ import annotations
@@ -29,7 +26,7 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,21 +35,8 @@ from ordertide import fs
 COMMIT_COL = "_commit"
 # Commit ids are folder names (partition values): keep them path-safe.
 _COMMIT_ID = re.compile(r"[A-Za-z0-9_-]{1,128}")
-# Ledgers up to this many versions are read on the driver file by file;
-# longer ones with one parallel JSON scan.
-DIRECT_LEDGER_FILES = 64
-
-LEDGER_SCHEMA = T.StructType(
-    [
-        T.StructField("table", T.StringType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("op", T.StringType()),
-        T.StructField("commit_id", T.StringType()),
-        T.StructField("restored_from", T.LongType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("committed_at", T.TimestampType()),
-    ]
-)
+
+COMMITS_SCHEMA = "version bigint, op string, commit_id string, parent bigint, restored_from bigint, committed_at timestamp"
 
 
 class SchemaMismatch(ValueError):
@@ -86,79 +70,74 @@ class VersionedTable:
         self.name = name
         self.partition_by = list(partition_by)
         self.data_path = f"{self.path}/data"
-        self.ledger_path = f"{self.path}/_ledger"
+        self.commits_path = f"{self.path}/_commits"
         self.schema_path = f"{self.path}/_schema.json"
-        self._cache: list | None = None
+        self._known: dict[int, dict] | None = None
         self._schema: T.StructType | None = None
 
-    # -- ledger ---------------------------------------------------------
+    # -- commits ----------------------------------------------------------
+    def _commits_df(self) -> DataFrame:
+        if not fs.exists(self.spark, self.commits_path):
+            return self.spark.createDataFrame([], COMMITS_SCHEMA)
+        return self.spark.read.schema(COMMITS_SCHEMA).json(self.commits_path)
+
+    def _commits(self) -> dict[int, dict]:
+        """Commits by version (a row per commit, kept by the writer)."""
+        if self._known is None:
+            self._known = {r["version"]: r.asDict() for r in self._commits_df().collect()}
+        return self._known
+
+    def commit_counts(self) -> DataFrame:
+        """Rows of every commit that has any, counted in the data."""
+        if self.schema() is None:
+            return self.spark.createDataFrame([], "commit_id string, rows bigint")
+        return self._data().groupBy(F.col(COMMIT_COL).alias("commit_id")).agg(F.count(F.lit(1)).alias("rows"))
+
     def history(self) -> DataFrame:
-        """All commits, newest first (V3)."""
-        return self._ledger_df().orderBy(F.col("version").desc())
-
-    def _ledger_df(self) -> DataFrame:
-        if not fs.exists(self.spark, self.ledger_path):
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).json(self.ledger_path)
-
-    def _ledger(self) -> list:
-        if self._cache is None:
-            names = [n for n in fs.list_names(self.spark, self.ledger_path) if n.endswith(".json")]
-            if len(names) <= DIRECT_LEDGER_FILES:
-                # A handful of tiny files: read them on the driver, no job.
-                rows = [json.loads(fs.read_text(self.spark, f"{self.ledger_path}/{n}")) for n in names]
-            else:
-                rows = [r.asDict() for r in self._ledger_df().collect()]
-            self._cache = sorted(rows, key=lambda r: r["version"])
-        return self._cache
-
-    def refresh(self) -> None:
-        """Forget the cached ledger (another process may have committed)."""
-        self._cache = None
-        self._schema = None
+        """All commits with their rows, newest first."""
+        out = self._commits_df().join(self.commit_counts(), "commit_id", "left")
+        rows = F.when(F.col("op") != "RESTORE", F.coalesce("rows", F.lit(0)))
+        return out.select("version", "op", "commit_id", "restored_from", rows.alias("rows"), "committed_at").orderBy(F.col("version").desc())
 
     def current_version(self) -> int:
-        rows = self._ledger()
-        return rows[-1]["version"] if rows else -1
+        return max(self._commits(), default=-1)
 
     def live_commits(self, version: int | None = None) -> list[str]:
-        rows = self._ledger()
-        if not rows:
-            return []
+        """Commit ids of a version, oldest first: its chain of parents."""
+        commits = self._commits()
         if version is None:
-            version = rows[-1]["version"]
-        if version < 0 or version > rows[-1]["version"]:
-            raise ValueError(f"{self.name}: no version {version} (latest {rows[-1]['version']})")
-        states: dict[int, list[str]] = {}
-        live: list[str] = []
-        for r in rows:
-            if r["op"] == "APPEND":
-                live = live + [r["commit_id"]]
-            elif r["op"] == "OVERWRITE":
-                live = [r["commit_id"]]
-            elif r["op"] == "RESTORE":
-                live = list(states[r["restored_from"]])
-            states[r["version"]] = live
-            if r["version"] == version:
-                break
-        return states[version]
+            version = self.current_version()
+            if version < 0:
+                return []
+        if version not in commits:
+            raise ValueError(f"{self.name}: no version {version} (latest {self.current_version()})")
+        live = []
+        while version >= 0:
+            row = commits[version]
+            if row["commit_id"]:
+                live.append(row["commit_id"])
+            version = row["parent"]
+        return live[::-1]
 
     # -- read -----------------------------------------------------------
+    def _data(self) -> DataFrame:
+        # The stored schema spares a footer scan.
+        stored = T.StructType(self.schema().fields + [T.StructField(COMMIT_COL, T.StringType())])
+        return self.spark.read.schema(stored).parquet(self.data_path)
+
     def read(self, version: int | None = None) -> DataFrame:
-        """Rows of the table as of ``version`` (latest by default) (V2)."""
+        """Rows of the table as of ``version`` (latest by default)."""
         live = self.live_commits(version)
         schema = self.schema()
         if schema is None:
             raise ValueError(f"{self.name}: table has no commits")
-        stored = T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())])
-        rows = {r["commit_id"]: r["rows"] for r in self._ledger() if r["commit_id"]}
-        dirs = [f"{self.data_path}/{COMMIT_COL}={c}" for c in live if rows.get(c)]
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        # Only the live commits' folders are listed (not every commit ever
-        # written), and the stored schema spares a footer scan.
-        df = self.spark.read.schema(stored).option("basePath", self.data_path).parquet(*dirs)
-        return df.select(*schema.names)
+        # A partition filter: folders of other commits are not read.
+        return self._data().filter(F.col(COMMIT_COL).isin(live)).select(*schema.names)
+
+    def written_schema(self) -> T.StructType:
+        """Columns found in the footers of the files themselves."""
+        found = self.spark.read.option("mergeSchema", True).parquet(self.data_path).schema
+        return T.StructType([f for f in found.fields if f.name != COMMIT_COL])
 
     def schema(self) -> T.StructType | None:
         """The table's columns (set by its first commit)."""
@@ -169,10 +148,10 @@ class VersionedTable:
 
     # -- write ----------------------------------------------------------
     def commit(self, df: DataFrame, mode: str = "append", commit_id: str | None = None) -> int:
-        """Write ``df`` as one commit; returns its version (V1).
+        """Write ``df`` as one commit; returns its version.
 
-        Replaying a ``commit_id`` already in the ledger rewrites its partition
-        and returns the existing version without a second ledger row.
+        Replaying a ``commit_id`` that is already recorded rewrites its
+        partition and returns the existing version.
         """
         op = {"append": "APPEND", "overwrite": "OVERWRITE"}[mode]
         commit_id = commit_id or f"c-{uuid.uuid4().hex[:16]}"
@@ -183,10 +162,7 @@ class VersionedTable:
             self._schema = df.schema
         else:
             df = df.select(*self.schema().names)
-        ledger = self._ledger()
-        existing = [r for r in ledger if r["commit_id"] == commit_id]
-        obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
-        out = df.withColumn(COMMIT_COL, F.lit(commit_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = df.withColumn(COMMIT_COL, F.lit(commit_id))
         if self.partition_by:
             # Rebalance on the partition columns: AQE packs small partition
             # values into one task and splits a large (or skewed) one across
@@ -194,17 +170,16 @@ class VersionedTable:
             # one small file per task and value.
             out = out.hint("rebalance", *self.partition_by)
         (
-            out
-            .write.mode("overwrite")
+            out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(COMMIT_COL, *self.partition_by)
             .parquet(self.data_path)
         )
-        if existing:
-            return existing[0]["version"]
-        version = (ledger[-1]["version"] + 1) if ledger else 0
-        self._append_ledger(version, op, commit_id, None, int(obs.get.get("rows", 0)))
-        return version
+        for version, row in self._commits().items():
+            if row["commit_id"] == commit_id:
+                return version
+        current = self.current_version()
+        return self._record(op, commit_id, current if op == "APPEND" else -1, None)
 
     def append_conforming(self, df: DataFrame, commit_id: str | None = None) -> int:
         """Schema-enforced append (K3): names and types must match the table
@@ -218,27 +193,17 @@ class VersionedTable:
         return self.commit(df.select(*target.names), "append", commit_id)
 
     def restore(self, version: int) -> int:
-        """Make ``version`` current again by a RESTORE ledger row (V4)."""
+        """Make ``version`` current again; no data is written."""
         self.live_commits(version)  # validates the version
-        new_version = self.current_version() + 1
-        self._append_ledger(new_version, "RESTORE", None, version, None)
-        return new_version
+        return self._record("RESTORE", None, version, version)
 
     def restore_count(self) -> int:
-        return sum(1 for r in self._ledger() if r["op"] == "RESTORE")
-
-    def _append_ledger(self, version, op, commit_id, restored_from, rows) -> None:
-        row = {
-            "table": self.name,
-            "version": int(version),
-            "op": op,
-            "commit_id": commit_id,
-            "restored_from": restored_from,
-            "rows": rows,
-            "committed_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="milliseconds") + "Z",
-        }
-        if not fs.create_exclusive(self.spark, f"{self.ledger_path}/{int(version):020d}.json", json.dumps(row)):
-            self.refresh()
-            raise RuntimeError(f"{self.name}: version {version} was committed by another writer")
-        if self._cache is not None:
-            self._cache.append(row)
+        return sum(r["op"] == "RESTORE" for r in self._commits().values())
+
+    def _record(self, op: str, commit_id: str | None, parent: int, restored_from: int | None) -> int:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="milliseconds") + "Z"
+        row = {"version": self.current_version() + 1, "op": op, "commit_id": commit_id, "parent": parent}
+        row |= {"restored_from": restored_from, "committed_at": now}
+        fs.write_text(self.spark, f"{self.commits_path}/{row['version']:020d}.json", json.dumps(row))
+        self._commits()[row["version"]] = row
+        return row["version"]

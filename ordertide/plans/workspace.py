@@ -70,15 +70,14 @@ class Workspace:
         configure(spark)
         sf_dir = sf_dir.rstrip("/")
         base = shared_dir(spark)
-        key = (id(spark), base, sf_dir)
+        # Fingerprinted at every call: changed tables get a new workspace.
+        prints = fs.fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES])
+        digest = hashlib.sha1(json.dumps([sf_dir, prints, _code_version()]).encode()).hexdigest()[:16]
+        key = (spark.sparkContext.applicationId, base, digest)
         with _LOCK:
-            ws = _CACHE.get(key)
-            if ws is None:
-                prints = fs.fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES])
-                digest = hashlib.sha1(json.dumps([sf_dir, prints, _code_version()]).encode()).hexdigest()[:16]
-                ws = cls(spark, sf_dir, f"{base}/ordertide/{digest}")
-                _CACHE[key] = ws
-            return ws
+            if key not in _CACHE:
+                _CACHE[key] = cls(spark, sf_dir, f"{base}/ordertide/{digest}")
+            return _CACHE[key]
 
     def _phase(self, name: str, build) -> str:
         marker = f"{self.root}/{name}.ok"
@@ -168,7 +167,7 @@ class Workspace:
         return self.spark.read.parquet(f"{self.tables_dir()}/products")
 
     # -- phase 3: stream -----------------------------------------------------
-    def order_stream(self, max_files_per_trigger: int | None = 1) -> OrderStream:
+    def order_stream(self, max_files_per_trigger: int | None = None) -> OrderStream:
         return OrderStream(
             self.spark,
             self.raw_paths()["stream"],
@@ -182,6 +181,11 @@ class Workspace:
         """Run the order stream once (all files present now)."""
         return self._phase("stream", lambda d: self.order_stream().run_available())
 
+    def checked(self, run) -> str:
+        """Folder of the persisted check results; ``run(folder)`` writes them
+        the first time."""
+        return self._phase("checks", run)
+
     # -- final tables ----------------------------------------------------------
     def orders(self, version: int | None = None) -> DataFrame:
         if version is None:
@@ -193,9 +197,10 @@ class Workspace:
             self.streamed()
         return self.line_items_table().read(version)
 
-    def register_views(self) -> None:
-        """Temp views ``orders``, ``line_items``, ``sales_reps``, ``products``."""
-        self.orders().createOrReplaceTempView("orders")
-        self.line_items().createOrReplaceTempView("line_items")
-        self.sales_reps().createOrReplaceTempView("sales_reps")
-        self.products().createOrReplaceTempView("products")
+    def register_views(self, prefix: str = "ordertide_") -> list[str]:
+        """Temp views of the four tables under prefixed names; returns them.
+        The caller drops them after use."""
+        tables = {"orders": self.orders(), "line_items": self.line_items(), "sales_reps": self.sales_reps(), "products": self.products()}
+        for name, df in tables.items():
+            df.createOrReplaceTempView(f"{prefix}{name}")
+        return [f"{prefix}{name}" for name in tables]

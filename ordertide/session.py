@@ -46,8 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
     storage every executor can reach; ``DataFrame.checkpoint()`` uses it too).
-    Only when it is unset, as in local tests, a fresh local folder is created
-    once per context and registered with ``setCheckpointDir``.
+    Only when it is unset on a ``local[...]`` master, as in tests, a fresh
+    local folder is created once per context and registered with
+    ``setCheckpointDir``; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -57,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
         # setCheckpointDir(d) stores d/<uuid>; its parent is the shared root.
         root = sc.getCheckpointDir().rstrip("/").rsplit("/", 1)[0]
     if not root:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ordertide-")
         sc.setCheckpointDir(root)
         _LOCAL_ROOTS[id(sc)] = root

@@ -5,9 +5,11 @@ same micro-batch (``foreachBatch``): the batch is persisted, flattened into
 orders rows and exploded into line-item rows, and each is committed to its
 versioned table with the commit id ``<query>-g<generation>-b<batchId>``.  A
 replayed batch id rewrites only its own partition (exactly-once); the
-checkpoint lives under ``checkpoints/<query>/g<generation>`` and a table
-restore raises the generation, so a restored table is streamed again from
-the start instead of being silently skipped.
+checkpoint lives under ``checkpoints/<query>/g<generation>`` and a restore of
+either table raises the generation, so restored tables are streamed again from
+the start instead of being silently skipped.  The two tables are a pair: a new
+generation only starts when neither holds batches of this stream; otherwise
+documents would be loaded twice or missed, and the start is refused.
 
 ``toTable`` into a Parquet table that already holds batch rows would hide
 those rows behind the sink's ``_spark_metadata`` log; writing through the
@@ -67,6 +69,14 @@ def explode_line_items(docs: DataFrame) -> DataFrame:
     ).select(LINE_ITEMS_SCHEMA.names)
 
 
+class RestoreConflict(RuntimeError):
+    """The tables were restored to states the stream can't continue from."""
+
+
+class StreamTimeout(RuntimeError):
+    """The stream was stopped before it had read all documents."""
+
+
 @dataclass
 class OrderStream:
     spark: SparkSession
@@ -79,7 +89,19 @@ class OrderStream:
     coalesce_to: int | None = None
 
     def generation(self) -> int:
-        return self.orders.restore_count()
+        return self.orders.restore_count() + self.line_items.restore_count()
+
+    def _check_pair(self) -> None:
+        """Batches that are live must be of the current generation, and the
+        same ones in both tables."""
+        mine = f"{self.query_name}-g"
+        live = [[c for c in t.live_commits() if c.startswith(mine)] for t in (self.orders, self.line_items)]
+        old = [c for commits in live for c in commits if not c.startswith(self.commit_prefix())]
+        if old:
+            raise RestoreConflict(
+                f"{self.query_name}: a restored table still holds streamed batches ({old[0]}, ...); "
+                "restore both tables to a version before the stream"
+            )
 
     def checkpoint(self) -> str:
         return f"{self.checkpoint_root}/{self.query_name}/g{self.generation()}"
@@ -105,6 +127,7 @@ class OrderStream:
             batch.unpersist()
 
     def start(self, available_now: bool = True, processing_time: str = "1 second") -> StreamingQuery:
+        self._check_pair()
         stream = with_lineage(
             stream_orders_json(self.spark, self.source_path, ORDERS_JSON_SCHEMA, self.max_files_per_trigger)
         )
@@ -116,27 +139,31 @@ class OrderStream:
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
         return writer.start()
 
-    def run_available(self, timeout_s: int = 1800) -> StreamingQuery:
-        """Process everything present now, then stop (tests, scheduled runs)."""
+    def run_available(self, timeout_s: float | None = None) -> StreamingQuery:
+        """Process everything present now, then stop (tests, scheduled runs).
+
+        With ``timeout_s`` a run that takes longer is stopped and raises; its
+        finished batches stay, and the next run goes on from its checkpoint.
+        """
         query = self.start(available_now=True)
         try:
-            query.awaitTermination(timeout_s)
+            ended = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
             if query.exception() is not None:
                 raise query.exception()
+            if timeout_s is not None and not ended:
+                raise StreamTimeout(f"{self.query_name}: not finished after {timeout_s} s")
         finally:
             if query.isActive:
                 query.stop()
         return query
 
     def batch_commits(self) -> DataFrame:
-        """Rows committed per micro-batch of the current generation (T7),
-        from the ledgers rather than an in-memory progress list."""
+        """Rows of every micro-batch (T7), counted in the two tables' data
+        rather than kept in an in-memory progress list."""
         prefix = f"{self.query_name}-g"
 
         def per_table(t: VersionedTable, label: str) -> DataFrame:
-            return t._ledger_df().filter(F.col("commit_id").startswith(prefix)).select(
-                "commit_id", F.col("rows").alias(label)
-            )
+            return t.commit_counts().filter(F.col("commit_id").startswith(prefix)).withColumnRenamed("rows", label)
 
         o = per_table(self.orders, "order_rows")
         li = per_table(self.line_items, "line_item_rows")

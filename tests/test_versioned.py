@@ -58,15 +58,30 @@ def test_partition_pruning_on_commit(spark, tmp_path):
     assert "PartitionFilters" in plan and "_commit" in plan
 
 
-def test_racing_writer_is_detected(spark, tmp_path):
+def test_replay_after_an_empty_run_is_visible(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), "t")
+    t.commit(_df(spark, [1, 2]), "overwrite", "base")
+    t.commit(_df(spark, []), "append", "q-b0")
+    assert t.read().count() == 2
+    t.commit(_df(spark, [3, 4]), "append", "q-b0")
+    assert sorted(r.id for r in t.read().collect()) == [1, 2, 3, 4]
+    assert {r.commit_id: r.rows for r in t.history().collect()} == {"base": 2, "q-b0": 2}
+
+
+def test_a_new_instance_reads_the_same_versions(spark, tmp_path):
     path = str(tmp_path / "t")
-    a = VersionedTable(spark, path, "t")
-    a.commit(_df(spark, [1]), "overwrite", "base")
-    b = VersionedTable(spark, path, "t")
-    b._ledger()  # b has now seen version 0
-    a.commit(_df(spark, [2]), "append", "from-a")  # version 1 by a
-    with pytest.raises(RuntimeError):
-        b.commit(_df(spark, [3]), "append", "from-b")  # b also claims version 1
-    b.refresh()
-    assert sorted(r.id for r in b.read().collect()) == [1, 2]  # a's commit stands, b's is not live
-    assert b.commit(_df(spark, [3]), "append", "from-b") == 2  # after refreshing, b commits on top
+    t = VersionedTable(spark, path, "t")
+    for k in range(3):
+        t.commit(_df(spark, [k]), "append")
+    t.restore(1)
+    again = VersionedTable(spark, path, "t")
+    assert again.current_version() == 3 and again.live_commits() == t.live_commits()
+    assert sorted(r.id for r in again.read().collect()) == [0, 1]
+
+
+def test_written_schema_comes_from_the_files(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), "t")
+    t.commit(_df(spark, [1]), "overwrite")
+    assert t.written_schema().simpleString() == "struct<id:bigint,m:string>"
+    _df(spark, [2]).withColumn("drift", F.lit(1)).write.parquet(f"{t.data_path}/_commit=other")
+    assert "drift" in t.written_schema().names
