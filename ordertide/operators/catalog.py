@@ -39,6 +39,15 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def save_managed(df: DataFrame, name: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """Overwrite (or append to) a managed table (K4/K5): its files live in the
+    session's warehouse folder and go when it is dropped."""
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode(mode).format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+
+
 def cache_view(spark: SparkSession, df: DataFrame, name: str) -> None:
     """Register a temporary view and cache it (K8/K9); filled lazily by the
     first action, spilling to disk when it does not fit in memory."""

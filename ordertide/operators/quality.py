@@ -14,6 +14,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ordertide.operators.versioned import schema_differences
 
@@ -125,23 +126,56 @@ def missing_months(df: DataFrame, month_col: str = "submitted_yyyy_mm") -> DataF
     return expected.join(present, "month", "left_anti")
 
 
-def month_coverage(df: DataFrame, month_col: str = "submitted_yyyy_mm") -> DataFrame:
+def month_coverage(df: DataFrame, month_col: str = "submitted_yyyy_mm", expected: Sequence[str] | None = None) -> DataFrame:
     """Present and missing months in one scan (D10): ``(present_months, missing_months)``.
 
-    The distinct months are gathered with ``collect_set`` - bounded by the
-    calendar (12 per year), combined map-side - and compared with the
-    ``sequence`` of months between the first and the last one.
+    ``expected`` lists the months that must be there, so a missing first or
+    last month shows; without it the months between the first and the last
+    present one are expected.  The distinct months are gathered with
+    ``collect_set`` - bounded by the calendar (12 per year), combined map-side.
     """
     months = df.agg(F.collect_set(month_col).alias("m"))
-    first = F.to_date(F.concat(F.array_min("m"), F.lit("-01")))
-    last = F.to_date(F.concat(F.array_max("m"), F.lit("-01")))
-    expected = F.transform(F.sequence(first, last, F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyy-MM"))
+    if expected is not None:
+        wanted = F.array(*[F.lit(m) for m in expected])
+    else:
+        first = F.to_date(F.concat(F.array_min("m"), F.lit("-01")))
+        last = F.to_date(F.concat(F.array_max("m"), F.lit("-01")))
+        wanted = F.transform(F.sequence(first, last, F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyy-MM"))
     return months.select(
         F.size("m").cast("bigint").alias("present_months"),
-        F.coalesce(F.size(F.array_except(expected, F.col("m"))), F.lit(0)).cast("bigint").alias("missing_months"),
+        F.coalesce(F.size(F.array_except(wanted, F.col("m"))), F.lit(0)).cast("bigint").alias("missing_months"),
     )
 
 
+def tolerant_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance: float) -> DataFrame:
+    """Keys whose other, numeric columns differ by more than ``tolerance``, or
+    that only one side has (D12).  Keys must be unique on either side."""
+    keys = list(keys)
+    values = [c for c in left.columns if c not in keys]
+    r = right.select(*keys, *[F.col(c).alias(f"{c}_right") for c in values], F.lit(True).alias("_in_right"))
+    both = left.withColumn("_in_left", F.lit(True)).join(r, keys, "full")
+    bad = F.col("_in_left").isNull() | F.col("_in_right").isNull()
+    for c in values:
+        a, b = F.col(c), F.col(f"{c}_right")
+        bad = bad | F.coalesce(F.abs(a - b) > tolerance, a.isNull() != b.isNull())
+    return both.filter(bad).drop("_in_left", "_in_right")
+
+
+def disorder(df: DataFrame, column: str, ascending: bool = True) -> DataFrame:
+    """One row: places where ``column`` of an ordered result breaks its order
+    (D12, O1).  Rows are numbered as they come; the comparison with the row
+    before is a join on that number, so no window gathers the result."""
+    at = df.select(F.monotonically_increasing_id().alias("at"), F.col(column).alias("v"), F.spark_partition_id().alias("p"))
+    before = at.select((F.col("at") + 1).alias("at"), F.col("v").alias("last"))
+    wrong = F.col("v") < F.col("last") if ascending else F.col("v") > F.col("last")
+    inside = at.join(before, "at").agg(F.count_if(wrong).alias("n"))
+    # Between tasks: the first value of one against the last of the task before.
+    edges = at.groupBy("p").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    order = Window.orderBy("p" if ascending else F.col("p").desc())
+    across = edges.withColumn("prev", F.lag("hi").over(order)).agg(F.count_if(F.col("lo") < F.col("prev")).alias("n"))
+    return inside.unionByName(across).agg(F.sum("n").cast("bigint").alias("out_of_order"))
+
+
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs between two DataFrames.
 

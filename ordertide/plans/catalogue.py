@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide.functions.clean import clean_all, epoch_to_timestamp, remove_hyphen_vectorized, ssn_format_error, ssn_to_long, try_cast
+from ordertide import fs
 from ordertide.operators import quality as dq
 from ordertide.operators.versioned import SchemaMismatch, VersionedTable
-from ordertide.plans import ingest, normalize, questions
+from ordertide.plans import defects, gate, ingest, normalize, questions
 from ordertide.plans.fixtures import ROUTES, STREAM_ROUTE
-from ordertide.plans.jobs import run_concurrently
+from ordertide.plans.gate import EXPECTED_LENGTHS, EXPECTED_MONTHS, source_of
 from ordertide.plans.workspace import Workspace
 from ordertide.schemas import (
     LINE_ITEMS_SCHEMA,
@@ -38,12 +39,6 @@ MONTH_RANGE = ("1997-01", "1997-06")
 MONTH_STATE = "AC"
 
 
-def source_of(path: Column | str) -> Column:
-    """Source folder of a file path (the file-name part is a Spark part file)."""
-    p = F.col(path) if isinstance(path, str) else path
-    return F.element_at(F.split(p, "/"), -2)
-
-
 def ws(spark: SparkSession, sf_dir: str) -> Workspace:
     return Workspace.get(spark, sf_dir)
 
@@ -268,9 +263,15 @@ def stream_line_items(spark, sf_dir):
 
 
 def stream_batch_rows(spark, sf_dir):
+    """Rows over all micro-batches; how they split into batches varies."""
     w = ws(spark, sf_dir)
     w.streamed()
-    return w.order_stream().batch_commits()
+    return w.order_stream().batch_commits().agg(
+        F.sum("order_rows").cast("bigint").alias("order_rows"),
+        F.sum("line_item_rows").cast("bigint").alias("line_item_rows"),
+        (F.count(F.lit(1)) >= 1).alias("has_batches"),
+        (F.min("order_rows") > 0).alias("no_empty_batch"),
+    )
 
 
 def _orders_by_source(o: DataFrame) -> DataFrame:
@@ -289,6 +290,13 @@ def _scratch(w: Workspace, name: str) -> str:
     return f"{w.root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _settled(w: Workspace, df: DataFrame, folder: str) -> DataFrame:
+    """Materialise a query's result and remove the scratch copy it came from."""
+    out = df.checkpoint(eager=True)
+    fs.remove(w.spark, folder)
+    return out
+
+
 def stream_replay(spark, sf_dir):
     """Feed the same micro-batch id twice to the batch writer: one copy lands."""
     from ordertide.streaming.orders import OrderStream
@@ -301,7 +309,7 @@ def stream_replay(spark, sf_dir):
     docs = _stream_docs(spark, sf_dir)
     s._process(docs, 0)
     s._process(docs, 0)
-    return _orders_out(o.read())
+    return _settled(w, _orders_out(o.read()), base)
 
 
 def stream_reconcile(spark, sf_dir):
@@ -335,9 +343,7 @@ def stream_reconcile(spark, sf_dir):
 def snapshot_history(spark, sf_dir):
     w = ws(spark, sf_dir)
     w.streamed()
-    return w.orders_table().history().groupBy("op").agg(
-        F.count(F.lit(1)).alias("commits"), F.sum("rows").cast("bigint").alias("rows")
-    )
+    return w.orders_table().history().groupBy("op").agg(F.sum("rows").cast("bigint").alias("rows"))
 
 
 def snapshot_as_of(spark, sf_dir):
@@ -349,17 +355,20 @@ def snapshot_as_of(spark, sf_dir):
 def snapshot_restore(spark, sf_dir):
     """Batch items, then streamed items appended, then restored to version 0."""
     w = ws(spark, sf_dir)
-    t = VersionedTable(spark, _scratch(w, "restore"), "line_items")
+    base = _scratch(w, "restore")
+    t = VersionedTable(spark, base, "line_items")
     t.commit(w.line_items(version=0), "overwrite")
     t.commit(explode_line_items(_stream_docs(spark, sf_dir)), "append")
     t.restore(0)
-    return t.read().groupBy(source_of("ingest_file_name").alias("source")).agg(F.count(F.lit(1)).alias("rows"))
+    rows = t.read().groupBy(source_of("ingest_file_name").alias("source")).agg(F.count(F.lit(1)).alias("rows"))
+    return _settled(w, rows, base)
 
 
 def schema_enforced_append(spark, sf_dir):
     """Appends must conform by name and type; a mismatch is refused."""
     w = ws(spark, sf_dir)
-    t = VersionedTable(spark, _scratch(w, "conform"), "products")
+    base = _scratch(w, "conform")
+    t = VersionedTable(spark, base, "products")
     products = w.products()
     t.commit(products, "overwrite")
     bad = products.withColumn("price", F.col("price").cast("string"))
@@ -370,7 +379,8 @@ def schema_enforced_append(spark, sf_dir):
     else:
         raise AssertionError("a non-conforming append was accepted")
     t.append_conforming(products.select(*reversed(products.columns)))
-    return t.read().groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"), F.max("price").alias("price"))
+    copies = t.read().groupBy("product_id").agg(F.count(F.lit(1)).alias("copies"), F.max("price").alias("price"))
+    return _settled(w, copies, base)
 
 
 # -- business questions -------------------------------------------------------------------------
@@ -422,15 +432,13 @@ def join_using(spark, sf_dir):
 
 # -- data quality ---------------------------------------------------------------------------------
 def dq_cleanliness(spark, sf_dir):
-    """D3 on the raw delimited files (before cleaning) and on the cleaned
-    raw dataset (after): injected defects are found, and none survive."""
+    """D3 on the raw files of all three formats (before cleaning) and on the
+    cleaned raw dataset (after): injected defects and the padding of
+    fixed-width fields are found, and none survive."""
     w = ws(spark, sf_dir)
     paths = w.raw_paths()
-    before = (
-        ingest.read_batch(spark, "tab_separated", paths["tab_separated"], clean=False)
-        .unionByName(ingest.read_batch(spark, "comma_separated", paths["comma_separated"], clean=False))
-        .withColumn("dataset", F.concat(F.lit("raw:"), source_of("ingest_file_name")))
-    )
+    before = ingest.read_all_batches(spark, paths, clean=False)
+    before = before.withColumn("dataset", F.concat(F.lit("raw:"), source_of("ingest_file_name")))
     after = w.raw_batched().withColumn("dataset", F.lit("ingested"))
     cols = RAW_ORDER_COLUMNS
     return dq.string_hygiene(before.select("dataset", *cols), cols, by=["dataset"]).unionByName(
@@ -438,18 +446,6 @@ def dq_cleanliness(spark, sf_dir):
     )
 
 
-# Expected value lengths in the raw dataset (ours are numbers,
-# so the ids are not fixed-length; the epochs of 1995-2000 have 9 digits).
-EXPECTED_LENGTHS = {
-    "submitted_at": [9],
-    "sales_rep_ssn": [9, 11],
-    "sales_rep_state": [2],
-    "sales_rep_zip": [5],
-    "shipping_address_state": [2],
-    "shipping_address_zip": [5],
-}
-
-
 def dq_lengths(spark, sf_dir):
     return dq.length_violations(ws(spark, sf_dir).raw_batched(), EXPECTED_LENGTHS)
 
@@ -517,45 +513,53 @@ def dq_cast_failures(spark, sf_dir):
 
 
 def dq_schema(spark, sf_dir):
-    """D1 for every table: columns expected and differences found."""
+    """D1 for every table: columns expected, differences found in the footers
+    of its files, and rows."""
     w = ws(spark, sf_dir)
+    w.streamed()
     tables = {
-        "sales_reps": (w.sales_reps(), SALES_REPS_SCHEMA),
-        "orders": (w.orders(), ORDERS_SCHEMA),
-        "line_items": (w.line_items(), LINE_ITEMS_SCHEMA),
-        "products": (w.products(), PRODUCTS_SCHEMA),
+        "sales_reps": (w.sales_reps(), w.sales_reps().schema, SALES_REPS_SCHEMA),
+        "orders": (w.orders(), w.orders_table().written_schema(), ORDERS_SCHEMA),
+        "line_items": (w.line_items(), w.line_items_table().written_schema(), LINE_ITEMS_SCHEMA),
+        "products": (w.products(), w.products().schema, PRODUCTS_SCHEMA),
     }
     out = None
-    for name, (df, expected) in tables.items():
-        diffs = dq.schema_check(spark, df.schema, expected)
-        row = diffs.agg(F.count(F.lit(1)).alias("differences")).select(
-            F.lit(name).alias("table_name"), F.lit(len(expected.fields)).cast("bigint").alias("columns"),
-            "differences",
+    for name, (df, found, expected) in tables.items():
+        diffs = dq.schema_check(spark, found, expected).agg(F.count(F.lit(1)).alias("differences"))
+        row = dq.scalar_row({"differences": diffs, "rows": df.agg(F.count(F.lit(1)))}).select(
+            F.lit(name).alias("table_name"), F.lit(len(expected.fields)).cast("bigint").alias("columns"), "differences", "rows"
         )
         out = row if out is None else out.unionByName(row)
     return out
 
 
 def dq_partitions(spark, sf_dir):
-    """Month partitions present, and any month missing in their range."""
-    o = ws(spark, sf_dir).orders()
-    return dq.month_coverage(o)
+    """Month partitions present, and expected months that are missing."""
+    return dq.month_coverage(ws(spark, sf_dir).orders(), expected=gate.months_between(*EXPECTED_MONTHS))
 
 
 def dq_result_diff(spark, sf_dir):
-    """Q1 by SQL text on the views against Q1 by the DataFrame API."""
+    """Q1 by SQL text on the views against Q1 from the source tables."""
     w = ws(spark, sf_dir)
-    w.register_views()
+    names = w.register_views()
     via_sql = spark.sql(
-        "SELECT shipping_address_state, count(1) AS count FROM orders GROUP BY shipping_address_state"
+        f"SELECT shipping_address_state, count(1) AS count FROM {names[0]} GROUP BY shipping_address_state"
     )
-    via_api = questions.orders_per_state(w.orders())
-    diff = dq.multiset_diff(via_sql, via_api)
+    for name in names:  # the plan above is resolved; the names aren't needed any more
+        spark.catalog.dropTempView(name)
+    expected = gate.expected_orders_per_state(spark, sf_dir)
+    diff = dq.multiset_diff(via_sql, expected)
     return dq.scalar_row(
-        {"rows": via_api.agg(F.count(F.lit(1))), "differing_rows": diff.agg(F.count(F.lit(1)))}
+        {"rows": via_sql.agg(F.count(F.lit(1))), "differing_rows": diff.agg(F.count(F.lit(1)))}
     )
 
 
+def dq_result_order(spark, sf_dir):
+    """Q1 comes in descending order of its count."""
+    q1 = questions.orders_per_state(ws(spark, sf_dir).orders())
+    return dq.disorder(q1, "count", ascending=False)
+
+
 def _expected_counts(spark, sf_dir) -> DataFrame:
     """The manifest: expected counts computed straight from the source tables.
 
@@ -586,7 +590,7 @@ def dq_count_reconcile(spark, sf_dir):
 
 
 def dq_xml_count(spark, sf_dir):
-    """XML rows = priced products + products not yet for sale."""
+    """XML rows, priced products and products not yet for sale."""
     w = ws(spark, sf_dir)
     xml = normalize.products(read_products_xml(spark, w.raw_paths()["products_xml"]), priced_only=False)
     return xml.agg(
@@ -596,130 +600,21 @@ def dq_xml_count(spark, sf_dir):
     )
 
 
-def _route_year_ok(source: Column, year: Column) -> Column:
-    ok = F.lit(False)
-    first = 0
-    for name, last in ROUTES:
-        ok = F.when(source == name, year.between(first, last)).otherwise(ok)
-        first = last + 1
-    return ok
-
-
-def _raw_checks(raw: DataFrame) -> DataFrame:
-    """Hygiene, value lengths and file year of the raw dataset.
-
-    Hygiene is the stacked per-column aggregate (all columns, one scan);
-    lengths and file year are flags summed in one narrow aggregate over the
-    seven columns they need.
-    """
-    def flags(conds):
-        total = F.lit(0)
-        for c in conds:
-            total = total + F.coalesce(c, F.lit(False)).cast("int")
-        return total
-
-    hygiene = dq.string_hygiene(raw, RAW_ORDER_COLUMNS).agg(
-        *dq.check(
-            "ingest", "clean_strings",
-            F.sum(F.col("untrimmed") + F.col("blank") + F.col("null_literal")),
-            F.count(F.lit(1)),
-        )
-    )
-    lengths = flags(~F.length(c).isin(*ls) for c, ls in EXPECTED_LENGTHS.items())
-    checked = flags(F.col(c).isNotNull() for c in EXPECTED_LENGTHS)
-    year_bad = ~_route_year_ok(source_of("ingest_file_name"), F.year(epoch_to_timestamp("submitted_at")))
-    narrow = raw.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(lengths).alias("lengths"),
-        F.sum(checked).alias("checked"),
-        F.count_if(year_bad).alias("year_bad"),
-    ).select(
-        F.inline(
-            F.array(
-                F.struct(*dq.check("ingest", "value_lengths", F.col("lengths"), F.col("checked"))),
-                F.struct(*dq.check("ingest", "file_year", F.col("year_bad"), F.col("rows"))),
-            )
-        )
-    )
-    return hygiene.unionByName(narrow)
-
-
 def check_results(spark, sf_dir) -> DataFrame:
-    """All suites of checks as one results table
-    ``(suite, check_id, status, violations, total)``."""
+    """All stages' check rows ``(suite, check_id, status, violations, total)``,
+    run once per workspace and persisted; later calls only read them."""
     w = ws(spark, sf_dir)
-    reconcile = dq_count_reconcile(spark, sf_dir)
-    nulls = dq.null_profile(w.orders(), ["submitted_at", "order_id", "customer_id", "submitted_yyyy_mm"])
-    xml = dq_xml_count(spark, sf_dir)
-    partitions = dq_partitions(spark, sf_dir)
-    adj = dq.value_range(w.products(), ["color_adj", "size_adj"])
-    parts = [
-        _install_checks(spark, w),
-        _raw_checks(w.raw_batched()),
-        nulls.agg(*dq.check("normalize", "non_null_keys", F.sum("nulls"), F.count(F.lit(1)))),
-        partitions.agg(*dq.check("normalize", "month_partitions", F.sum("missing_months"), F.sum("present_months"))),
-        reconcile.agg(*dq.check("normalize", "row_counts", F.count_if(~F.col("ok")), F.count(F.lit(1)))),
-        xml.agg(*dq.check("products", "xml_count", F.sum(F.col("xml_rows") - F.col("priced") - F.col("unpriced")), F.sum("xml_rows"))),
-        adj.agg(*dq.check("products", "adj_range", F.count_if(~((F.col("min") >= 0.9) & (F.col("max") <= 1.1))), F.count(F.lit(1)))),
-    ]
-    parts += [_stream_checks(spark, sf_dir, w), _question_checks(spark, sf_dir)]
-    # Each group is its own job, all submitted side by side; a group returns
-    # only its check rows (a fixed handful), so the results table is built
-    # from metadata-sized values - the data never leaves the executors.
-    rows = run_concurrently(*[(lambda df=df: df.select(*RESULT_COLUMNS).collect()) for df in parts])
-    return spark.createDataFrame([tuple(r) for group in rows for r in group], dq.RESULT_SCHEMA)
-
-
-RESULT_COLUMNS = ["suite", "check_id", "status", "violations", "total"]
-
-
-def _install_checks(spark, w: Workspace) -> DataFrame:
-    """Every raw input folder holds files."""
-    inv = file_inventory(spark, w.raw_paths())
-    return inv.agg(*dq.check("install", "raw_files", F.count_if(F.col("files") == 0), F.count(F.lit(1))))
-
-
-# The reference's bound on micro-batches of one stream run.
-MAX_TRIGGERS = 100
-
-
-def _stream_checks(spark, sf_dir, w: Workspace) -> DataFrame:
-    """One micro-batch per file (>= files, < 100), each with rows;
-    T9: base + new = table for both tables."""
-    w.streamed()
-    stream = w.order_stream()
-    batches = stream.batch_commits()
-    files = file_inventory(spark, {"stream": w.raw_paths()["stream"]})
-    counts = dq.scalar_row(
-        {
-            "batches": batches.agg(F.count(F.lit(1))),
-            "empty": batches.agg(F.count_if(F.col("order_rows") <= 0)),
-            "files": files.agg(F.max("files")),
-        }
-    )
-    bad = F.when(
-        (F.col("batches") >= F.col("files")) & (F.col("batches") < MAX_TRIGGERS) & (F.col("empty") == 0), 0
-    ).otherwise(1)
-    triggers = counts.select(*dq.check("stream", "trigger_count", bad, F.col("batches")))
-    reconcile = stream_reconcile(spark, sf_dir).agg(
-        *dq.check("stream", "reconcile", F.count_if(~F.col("ok")), F.count(F.lit(1)))
-    )
-    return triggers.unionByName(reconcile)
 
+    def run(folder: str) -> None:
+        gate.write_results(
+            w, folder, price_stats(spark, sf_dir), top_rep_by_profit(spark, sf_dir), questions.orders_per_state(w.orders()), stream_reconcile(spark, sf_dir)
+        )
 
-def _question_checks(spark, sf_dir) -> DataFrame:
-    """Q1 by SQL equals Q1 by the API; Q2 answered; Q3 exactly one row."""
-    q1 = dq_result_diff(spark, sf_dir).select(*dq.check("questions", "q1_equal", F.col("differing_rows"), F.col("rows")))
-    q2 = price_stats(spark, sf_dir).agg(
-        *dq.check("questions", "q2_answered", F.count_if(F.col("avg_price").isNull()), F.count(F.lit(1)))
-    )
-    q3 = top_rep_by_profit(spark, sf_dir).agg(
-        *dq.check("questions", "q3_one_row", F.abs(F.count(F.lit(1)) - 1), F.count(F.lit(1)))
-    )
-    return q1.unionByName(q2).unionByName(q3)
+    return gate.read_results(spark, w.checked(run))
 
 
-STAGES = ["install", "ingest", "normalize", "products", "stream", "questions"]
+def dq_check_results(spark, sf_dir):
+    return check_results(spark, sf_dir)
 
 
 def dq_stage_rollup(spark, sf_dir):
@@ -727,7 +622,53 @@ def dq_stage_rollup(spark, sf_dir):
 
 
 def dq_final_gate(spark, sf_dir):
-    return dq.final_gate(check_results(spark, sf_dir), STAGES)
+    return dq.final_gate(check_results(spark, sf_dir), gate.STAGES)
+
+
+# -- the same checks on data with injected defects ---------------------------------------------
+def dq_lengths_defects(spark, sf_dir):
+    return defects.lengths(ws(spark, sf_dir).raw_batched())
+
+
+def dq_file_year_defects(spark, sf_dir):
+    return defects.file_years(ws(spark, sf_dir).raw_batched())
+
+
+def dq_cast_failures_defects(spark, sf_dir):
+    return defects.cast_failures(ws(spark, sf_dir).raw_batched())
+
+
+def dq_non_null_defects(spark, sf_dir):
+    return defects.null_profile(ws(spark, sf_dir).orders())
+
+
+def dq_partitions_defects(spark, sf_dir):
+    return defects.months(ws(spark, sf_dir).orders())
+
+
+def dq_schema_defects(spark, sf_dir):
+    return defects.schemas(ws(spark, sf_dir))
+
+
+def dq_result_diff_defects(spark, sf_dir):
+    return defects.result_differences(questions.orders_per_state(ws(spark, sf_dir).orders()))
+
+
+def _defect_rows(spark, sf_dir):
+    return defects.check_rows(ws(spark, sf_dir), gate.expected_counts(spark, sf_dir))
+
+
+def dq_check_results_defects(spark, sf_dir):
+    return _defect_rows(spark, sf_dir).select("suite", "check_id", "status", "violations", "total")
+
+
+def dq_stage_rollup_defects(spark, sf_dir):
+    return dq.stage_rollup(_defect_rows(spark, sf_dir))
+
+
+def dq_final_gate_defects(spark, sf_dir):
+    """Two stages with failing checks, the other four without results."""
+    return dq.final_gate(_defect_rows(spark, sf_dir), gate.STAGES)
 
 
 # -- inventory and catalog ------------------------------------------------------------------------
@@ -747,43 +688,50 @@ def file_inventory_q(spark, sf_dir):
             "products_data": f"{tables}/products",
         }
     )
-    return file_inventory(spark, paths)
+    found = file_inventory(spark, paths)
+    return found.select("source", (F.col("files") > 0).alias("has_files"), (F.col("bytes") >= F.col("files")).alias("has_bytes"))
 
 
 def catalog_objects(spark, sf_dir):
-    """A database with the products table (managed
-    overwrite) and the orders month-partitioned, views for the rest, one view
-    cached; listed from the catalog."""
+    """A database with two managed tables (one partitioned
+    by month), a view, a cached view; listed from the catalog, with the
+    tables' rows.  Everything created here is dropped again."""
     from ordertide.operators import catalog
 
     w = ws(spark, sf_dir)
-    db = f"ordertide_{w.root.rsplit('/', 1)[-1]}".replace("-", "_")
+    db = f"ordertide_{uuid.uuid4().hex[:12]}"
     previous = spark.catalog.currentDatabase()
+    view = f"{db}_reps"
     catalog.use_database(spark, db)
     try:
-        catalog.drop_table(spark, f"`{db}`.products")
-        catalog.save_table(w.products(), f"`{db}`.products", _scratch(w, "catalog-products"))
-        catalog.drop_table(spark, f"`{db}`.orders")
-        catalog.save_table(w.orders(), f"`{db}`.orders", _scratch(w, "catalog-orders"), ["submitted_yyyy_mm"])
-        w.register_views()
-        catalog.cache_view(spark, w.sales_reps(), "sales_reps")
-        described = {r.col_name for r in catalog.describe(spark, f"`{db}`.orders").collect()}
-        assert "submitted_yyyy_mm" in described
-        listed = {r.tableName: bool(r.isTemporary) for r in catalog.list_tables(spark, db).collect()}
-        names = ["orders", "line_items", "sales_reps", "products"]
-        rows = []
-        for t in spark.catalog.listTables(db):
-            if t.name in names:
-                rows.append((t.name, t.tableType, bool(t.isTemporary), listed.get(t.name), spark.catalog.isCached(
-                    t.name if t.isTemporary else f"`{db}`.{t.name}")))
+        catalog.save_managed(w.products().select("product_id", "price"), f"`{db}`.products")
+        monthly = w.orders().groupBy("submitted_yyyy_mm").agg(F.count(F.lit(1)).alias("orders"))
+        catalog.save_managed(monthly, f"`{db}`.orders_by_month", ["submitted_yyyy_mm"])
+        catalog.cache_view(spark, w.sales_reps().select("sales_rep_id"), view)
+        described = {r.col_name for r in catalog.describe(spark, f"`{db}`.orders_by_month").collect()}
+        listed = {r.tableName for r in catalog.list_tables(spark, db).collect()}
+        rows = [
+            (
+                t.name.replace(view, "reps_view"),
+                t.tableType,
+                bool(t.isTemporary),
+                t.name in listed,
+                spark.catalog.isCached(t.name if t.isTemporary else f"`{db}`.{t.name}"),
+                "submitted_yyyy_mm" in described,
+                spark.table(t.name if t.isTemporary else f"`{db}`.{t.name}").count(),
+            )
+            for t in spark.catalog.listTables(db)
+            if t.name in ("products", "orders_by_month", view)
+        ]
     finally:
-        # The facts are collected above; release the cache so later queries
-        # plan against the files again.
-        if spark.catalog.tableExists("sales_reps") and spark.catalog.isCached("sales_reps"):
-            spark.catalog.uncacheTable("sales_reps")
+        if spark.catalog.tableExists(view):
+            spark.catalog.uncacheTable(view)
+            spark.catalog.dropTempView(view)
         spark.catalog.setCurrentDatabase(previous)
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
     return spark.createDataFrame(
-        rows, "name string, table_type string, is_temporary boolean, in_show_tables boolean, is_cached boolean"
+        rows,
+        "name string, table_type string, is_temporary boolean, in_show_tables boolean, is_cached boolean, month_described boolean, rows bigint",
     )
 
 
@@ -837,6 +785,18 @@ QUERIES = {
     "dq_result_diff": dq_result_diff,
     "dq_count_reconcile": dq_count_reconcile,
     "dq_xml_count": dq_xml_count,
+    "dq_result_order": dq_result_order,
+    "dq_check_results": dq_check_results,
+    "dq_lengths_defects": dq_lengths_defects,
+    "dq_file_year_defects": dq_file_year_defects,
+    "dq_cast_failures_defects": dq_cast_failures_defects,
+    "dq_non_null_defects": dq_non_null_defects,
+    "dq_partitions_defects": dq_partitions_defects,
+    "dq_schema_defects": dq_schema_defects,
+    "dq_result_diff_defects": dq_result_diff_defects,
+    "dq_check_results_defects": dq_check_results_defects,
+    "dq_stage_rollup_defects": dq_stage_rollup_defects,
+    "dq_final_gate_defects": dq_final_gate_defects,
     "dq_stage_rollup": dq_stage_rollup,
     "dq_final_gate": dq_final_gate,
     "file_inventory": file_inventory_q,

@@ -9,9 +9,32 @@ money, BIGINT counts.
 
 from __future__ import annotations
 
-from ordertide.plans.catalogue import EXPECTED_LENGTHS, MONTH_RANGE, MONTH_STATE, Q2_COLOR, Q2_STATE, STAGES
-from ordertide.plans.fixtures import DIRTY_MODULUS, ROUTES
-from ordertide.schemas import ORDERS_SCHEMA, RAW_ORDER_COLUMNS
+# Fixed values, restated here on purpose: the expectations must not come from
+# the code they check.
+ROUTES = [("fixed_width", 1996), ("tab_separated", 1998), ("comma_separated", 2000)]
+DIRTY_MODULUS = 7
+MONTH_RANGE, MONTH_STATE = ("1997-01", "1997-06"), "AC"
+Q2_COLOR, Q2_STATE = "red", "AA"
+RAW_ORDER_COLUMNS = (
+    "submitted_at order_id customer_id sales_rep_id sales_rep_ssn sales_rep_first_name sales_rep_last_name sales_rep_address sales_rep_city "
+    "sales_rep_state sales_rep_zip shipping_address_attention shipping_address_address shipping_address_city shipping_address_state "
+    "shipping_address_zip product_id product_quantity product_sold_price"
+).split()
+# Width of each raw column in the fixed-width files.
+WIDTHS = {'submitted_at': 15, 'order_id': 40, 'customer_id': 40, 'sales_rep_id': 40, 'sales_rep_ssn': 15, 'sales_rep_first_name': 15, 'sales_rep_last_name': 15, 'sales_rep_address': 40, 'sales_rep_city': 20, 'sales_rep_state': 2, 'sales_rep_zip': 5, 'shipping_address_attention': 30, 'shipping_address_address': 40, 'shipping_address_city': 20, 'shipping_address_state': 2, 'shipping_address_zip': 5, 'product_id': 40, 'product_quantity': 5, 'product_sold_price': 20}
+ORDERS_COLUMNS = (
+    "submitted_at submitted_yyyy_mm order_id customer_id sales_rep_id shipping_address_attention shipping_address_address "
+    "shipping_address_city shipping_address_state shipping_address_zip ingest_file_name ingested_at"
+).split()
+EXPECTED_LENGTHS = {
+    "submitted_at": [9],
+    "sales_rep_ssn": [9, 11],
+    "sales_rep_state": [2],
+    "sales_rep_zip": [5],
+    "shipping_address_state": [2],
+    "shipping_address_zip": [5],
+}
+EXPECTED_MONTHS = 80  # 1995-01 to 2001-08
 
 
 def _route_case(year_expr: str) -> str:
@@ -163,21 +186,23 @@ def _null_profile_sql() -> str:
 
 
 def _cleanliness_sql() -> str:
+    """Injected defects in the delimited files; in the fixed-width files also
+    the padding of every value shorter than its field."""
     k = f"o_orderkey % {DIRTY_MODULUS}"
     parts = []
     for c in RAW_ORDER_COLUMNS:
-        if c == "shipping_address_attention":
-            dirty = (
-                f"CAST(count(*) FILTER (WHERE {k} = 2) AS BIGINT) AS untrimmed, "
-                f"CAST(count(*) FILTER (WHERE {k} = 0) AS BIGINT) AS blank, "
-                f"CAST(count(*) FILTER (WHERE {k} = 1) AS BIGINT) AS null_literal"
+        attention = c == "shipping_address_attention"
+        blank, null = (f"{k} = 0", f"{k} = 1") if attention else (f"{c} IS NULL", "false")
+        # As written: the cleaned value in the raw CTE lost its defects.
+        written = f"(CASE WHEN {k} = 0 THEN 0 WHEN {k} = 1 THEN 4 ELSE length({c}) + CASE WHEN {k} = 2 THEN 4 ELSE 0 END END)"
+        written = written if attention else f"length(coalesce({c}, ''))"
+        padded = f"{written} < {WIDTHS[c]}" + (f" OR {k} = 2" if attention else "")
+        for where, untrimmed in (("= 'fixed_width'", padded), ("<> 'fixed_width'", f"{k} = 2" if attention else "false")):
+            parts.append(
+                f"SELECT 'raw:' || source AS dataset, '{c}' AS column_name, CAST(count(*) FILTER (WHERE {untrimmed}) AS BIGINT) AS untrimmed, "
+                f"CAST(count(*) FILTER (WHERE {blank}) AS BIGINT) AS blank, CAST(count(*) FILTER (WHERE {null}) AS BIGINT) AS null_literal "
+                f"FROM raw WHERE source {where} GROUP BY source"
             )
-        else:
-            dirty = "CAST(0 AS BIGINT) AS untrimmed, CAST(0 AS BIGINT) AS blank, CAST(0 AS BIGINT) AS null_literal"
-        parts.append(
-            f"SELECT 'raw:' || source AS dataset, '{c}' AS column_name, {dirty} FROM raw "
-            f"WHERE source <> 'fixed_width' GROUP BY source"
-        )
         parts.append(
             f"SELECT 'ingested' AS dataset, '{c}' AS column_name, CAST(0 AS BIGINT) AS untrimmed, "
             f"CAST(0 AS BIGINT) AS blank, CAST(0 AS BIGINT) AS null_literal"
@@ -203,7 +228,7 @@ def _non_null_sql() -> str:
     parts = [
         f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {exprs.get(c, c)} IS NULL) AS BIGINT) AS nulls "
         f"FROM orders_final"
-        for c in ORDERS_SCHEMA.names
+        for c in ORDERS_COLUMNS
     ]
     return _with(" UNION ALL ".join(parts))
 
@@ -242,6 +267,64 @@ def _month_index(m: str) -> str:
     return f"(CAST(substr({m}, 1, 4) AS INTEGER) * 12 + CAST(substr({m}, 6, 2) AS INTEGER))"
 
 
+_KEPT = "submitted_yyyy_mm NOT IN ('1995-01', '1998-03', '2001-08')"
+
+
+def _row(suite: str, check: str, violations: str, total: str, source: str = "") -> str:
+    return f"SELECT '{suite}' AS suite, '{check}' AS check_id, CAST({violations} AS BIGINT) AS violations, CAST({total} AS BIGINT) AS total {source}"
+
+
+# What every check of the gate must report on the data as it is.
+_CHECK_ROWS = " UNION ALL ".join(
+    [
+        _row("install", "raw_files", "0", "5"),
+        _row("ingest", "clean_strings", "0", str(len(RAW_ORDER_COLUMNS))),
+        _row("ingest", "value_lengths", "0", f"sum({' + '.join(f'({c} IS NOT NULL)::INT' for c in EXPECTED_LENGTHS)})", "FROM raw"),
+        _row("ingest", "file_year", "0", "count(*)", "FROM raw"),
+        _row("ingest", "ingest_date", "0", "count(*)", "FROM raw"),
+        _row("normalize", "non_null_keys", "0", "4 * count(*)", "FROM orders_final"),
+        _row("normalize", "month_partitions", f"{EXPECTED_MONTHS} - count(DISTINCT submitted_yyyy_mm)", str(EXPECTED_MONTHS), "FROM orders_final"),
+        _row("normalize", "row_counts", "0", "3"),
+        _row("normalize", "flag_count", "0", "1"),
+        _row("normalize", "schema_sales_reps", "0", "11"),
+        _row("normalize", "schema_orders", "0", "12"),
+        _row("normalize", "schema_line_items", "0", "6"),
+        _row("products", "adj_range", "0", "2"),
+        _row("products", "xml_count", "0", "count(*)", "FROM part"),
+        _row("products", "schema_products", "0", "9"),
+        _row("stream", "trigger_count", "0", "1"),
+        _row("stream", "reconcile", "0", "2"),
+        _row("questions", "q1_equal", "0", "count(DISTINCT shipping_address_state)", "FROM orders_final"),
+        _row("questions", "q2_answered", "0", "1"),
+        _row("questions", "q3_one_row", "0", "1"),
+    ]
+)
+
+# The same of two stages on the data with injected defects.
+_DEFECT_ROWS = (
+    ", defect_counts AS ("
+    + " UNION ALL ".join(
+        [
+            _row("ingest", "clean_strings", "count(*) FILTER (WHERE o_orderkey % 23 = 0)", str(len(RAW_ORDER_COLUMNS)), "FROM raw"),
+            _row(
+                "ingest",
+                "value_lengths",
+                "count(*) FILTER (WHERE o_orderkey % 11 = 0) + count(*) FILTER (WHERE o_orderkey % 13 = 0)",
+                f"sum({' + '.join(f'({c} IS NOT NULL)::INT' for c in EXPECTED_LENGTHS)})",
+                "FROM raw",
+            ),
+            _row("ingest", "file_year", "count(*) FILTER (WHERE o_orderkey % 13 = 0)", "count(*)", "FROM raw"),
+            _row("ingest", "ingest_date", "0", "count(*)", "FROM raw"),
+            _row("normalize", "non_null_keys", "count(*) FILTER (WHERE CAST(order_id AS BIGINT) % 19 = 0)", "4 * count(*)", f"FROM orders_final WHERE {_KEPT}"),
+            _row("normalize", "month_partitions", f"{EXPECTED_MONTHS} - count(DISTINCT submitted_yyyy_mm)", str(EXPECTED_MONTHS), f"FROM orders_final WHERE {_KEPT}"),
+            _row("normalize", "row_counts", "1", "3"),
+            _row("normalize", "flag_count", "0", "1"),
+        ]
+    )
+    + "), defect_rows AS (SELECT suite, check_id, CASE WHEN violations = 0 THEN 'passed' ELSE 'failed' END AS status, violations, total FROM defect_counts)"
+)
+
+
 ORACLE_SQL: dict[str, str] = {
     "fixed_width_ingest": _with(f"SELECT {_RAW_COLS}, source FROM raw WHERE source = 'fixed_width'"),
     "tsv_ingest": _with(f"SELECT {_RAW_COLS}, source FROM raw WHERE source = 'tab_separated'"),
@@ -306,8 +389,8 @@ ORACLE_SQL: dict[str, str] = {
         "FROM (SELECT count(*) AS n FROM items_batch) b, (SELECT count(*) AS n FROM items_stream) s"
     ),
     "snapshot_history": _with(
-        "SELECT 'OVERWRITE' AS op, CAST(1 AS BIGINT) AS commits, CAST(count(*) AS BIGINT) AS rows FROM orders_batch "
-        "UNION ALL SELECT 'APPEND', CAST(8 AS BIGINT), CAST(count(*) AS BIGINT) FROM orders_stream"
+        "SELECT 'OVERWRITE' AS op, CAST(count(*) AS BIGINT) AS rows FROM orders_batch "
+        "UNION ALL SELECT 'APPEND', CAST(count(*) AS BIGINT) FROM orders_stream"
     ),
     "snapshot_as_of": _with("SELECT submitted_yyyy_mm, count(*) AS orders FROM orders_batch GROUP BY 1"),
     "snapshot_restore": _with("SELECT source, count(*) AS rows FROM items_batch GROUP BY source"),
@@ -342,14 +425,13 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "dq_cast_failures": _cast_failures_sql(),
     "dq_schema": _with(
-        "SELECT t.table_name, t.columns, CAST(0 AS BIGINT) AS differences FROM (VALUES "
-        "('sales_reps', 11::BIGINT), ('orders', 12::BIGINT), ('line_items', 6::BIGINT), ('products', 9::BIGINT)) "
-        "t(table_name, columns) WHERE (SELECT count(*) FROM raw) >= 0"
+        "SELECT 'sales_reps' AS table_name, CAST(11 AS BIGINT) AS columns, CAST(0 AS BIGINT) AS differences, count(*) AS rows FROM reps "
+        "UNION ALL SELECT 'orders', 12, 0, count(*) FROM orders_final UNION ALL SELECT 'line_items', 6, 0, count(*) FROM items_final "
+        "UNION ALL SELECT 'products', 9, 0, count(*) FROM products"
     ),
     "dq_partitions": _with(
         "SELECT CAST(count(DISTINCT submitted_yyyy_mm) AS BIGINT) AS present_months, "
-        f"CAST(max({_month_index('submitted_yyyy_mm')}) - min({_month_index('submitted_yyyy_mm')}) + 1 "
-        "- count(DISTINCT submitted_yyyy_mm) AS BIGINT) AS missing_months FROM orders_final"
+        f"CAST({EXPECTED_MONTHS} - count(DISTINCT submitted_yyyy_mm) AS BIGINT) AS missing_months FROM orders_final"
     ),
     "dq_result_diff": _with(
         "SELECT count(DISTINCT shipping_address_state) AS rows, CAST(0 AS BIGINT) AS differing_rows FROM orders_final"
@@ -364,14 +446,87 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT count(*) AS xml_rows, count(price) AS priced, CAST(count(*) FILTER (WHERE price IS NULL) AS BIGINT) "
         "AS unpriced FROM products_all"
     ),
+    "dq_result_order": _with("SELECT CAST(0 AS BIGINT) AS out_of_order FROM (SELECT count(*) AS n FROM orders_final) WHERE n >= 0"),
+    "stream_batch_rows": _with(
+        "SELECT o.n AS order_rows, i.n AS line_item_rows, true AS has_batches, true AS no_empty_batch "
+        "FROM (SELECT count(*) AS n FROM orders_stream) o, (SELECT count(*) AS n FROM items_stream) i"
+    ),
+    "file_inventory": _with(
+        "SELECT source, n > 0 AS has_files, n > 0 AS has_bytes FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS source, count(*) AS n FROM {of}"
+            for name, of in (
+                ("fixed_width", "raw WHERE source = 'fixed_width'"),
+                ("tab_separated", "raw WHERE source = 'tab_separated'"),
+                ("comma_separated", "raw WHERE source = 'comma_separated'"),
+                ("stream", "sdoc"),
+                ("products_xml", "part"),
+                ("checkpoint", "sdoc"),
+                ("orders_data", "orders_final"),
+                ("line_items_data", "items_final"),
+                ("sales_reps_data", "reps"),
+                ("products_data", "products"),
+            )
+        )
+        + ")"
+    ),
+    "catalog_objects": _with(
+        "SELECT 'products' AS name, 'MANAGED' AS table_type, false AS is_temporary, true AS in_show_tables, false AS is_cached, "
+        "true AS month_described, count(*) AS rows FROM products "
+        "UNION ALL SELECT 'orders_by_month', 'MANAGED', false, true, false, true, count(DISTINCT submitted_yyyy_mm) FROM orders_final "
+        "UNION ALL SELECT 'reps_view', 'TEMPORARY', true, true, true, true, count(*) FROM reps"
+    ),
+    "dq_lengths_defects": _with(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE length({c}) NOT IN ({', '.join(map(str, ls))})"
+            + {"sales_rep_zip": " OR o_orderkey % 11 = 0", "submitted_at": " OR o_orderkey % 13 = 0"}.get(c, "")
+            + f") AS BIGINT) AS violations, CAST(count({c}) AS BIGINT) AS checked FROM raw"
+            for c, ls in EXPECTED_LENGTHS.items()
+        )
+    ),
+    "dq_file_year_defects": _with(
+        "SELECT source, count(*) AS total, CAST(count(*) FILTER (WHERE o_orderkey % 13 = 0) AS BIGINT) AS violations FROM raw GROUP BY source"
+    ),
+    "dq_cast_failures_defects": _with(
+        "SELECT 'product_quantity' AS column_name, 'int' AS target_type, CAST(count(*) FILTER (WHERE o_orderkey % 17 = 0) AS BIGINT) AS failures FROM raw "
+        "UNION ALL SELECT 'sales_rep_zip', 'int', CAST(0 AS BIGINT)"
+    ),
+    "dq_non_null_defects": _with(
+        "SELECT * FROM (SELECT 'order_id' AS column_name, CAST(0 AS BIGINT) AS nulls UNION ALL SELECT 'submitted_yyyy_mm', 0 "
+        f"UNION ALL SELECT 'customer_id', CAST(count(*) FILTER (WHERE CAST(order_id AS BIGINT) % 19 = 0) AS BIGINT) FROM orders_final WHERE {_KEPT})"
+    ),
+    "dq_partitions_defects": _with(
+        "SELECT CAST(count(DISTINCT submitted_yyyy_mm) AS BIGINT) AS present_months, "
+        f"CAST({EXPECTED_MONTHS} - count(DISTINCT submitted_yyyy_mm) AS BIGINT) AS missing_months FROM orders_final WHERE {_KEPT}"
+    ),
+    "dq_schema_defects": _with(
+        "SELECT 'sales_reps' AS table_name, CAST(2 AS BIGINT) AS differences, count(*) AS rows FROM reps "
+        "UNION ALL SELECT 'orders', 1, count(*) FROM orders_final UNION ALL SELECT 'line_items', 1, count(*) FROM items_final "
+        "UNION ALL SELECT 'products', 1, count(*) FROM products"
+    ),
+    "dq_result_diff_defects": _with(
+        "SELECT CAST(2 * count(DISTINCT CASE WHEN shipping_address_state = 'AA' THEN 1 END) AS BIGINT) AS changed_rows, "
+        "CAST(0 AS BIGINT) AS outside_tolerance, count(DISTINCT shipping_address_state) AS unequal_without_tolerance FROM orders_final"
+    ),
+    "dq_check_results_defects": _with(_DEFECT_ROWS + " SELECT * FROM defect_rows"),
+    "dq_stage_rollup_defects": _with(
+        _DEFECT_ROWS + " SELECT suite, CAST(count(*) FILTER (WHERE status = 'passed') AS BIGINT) AS passed, count(*) AS checks, "
+        "round(count(*) FILTER (WHERE status = 'passed') * 100.0 / count(*), 1) AS percent, bool_and(status = 'passed') AS all_passed "
+        "FROM defect_rows GROUP BY suite"
+    ),
+    "dq_final_gate_defects": _with(
+        _DEFECT_ROWS + " SELECT CAST(6 AS BIGINT) AS stages, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS stages_passed, false AS passed "
+        "FROM (SELECT suite, bool_and(status = 'passed') AS ok FROM defect_rows GROUP BY suite)"
+    ),
+    "dq_check_results": _with(
+        "SELECT suite, check_id, CASE WHEN violations = 0 THEN 'passed' ELSE 'failed' END AS status, violations, total FROM ("
+        + _CHECK_ROWS
+        + ")"
+    ),
     "dq_stage_rollup": _with(
-        "SELECT suite, CAST(n AS BIGINT) AS passed, CAST(n AS BIGINT) AS checks, CAST(100.0 AS DOUBLE) AS percent, true AS all_passed "
-        "FROM (VALUES ('install', 1), ('ingest', 3), ('normalize', 3), ('products', 2), ('stream', 2), ('questions', 3)) "
-        "t(suite, n) "
-        "WHERE (SELECT count(*) FROM raw) > 0"
+        "SELECT suite, count(*) AS passed, count(*) AS checks, CAST(100.0 AS DOUBLE) AS percent, true AS all_passed FROM (" + _CHECK_ROWS + ") GROUP BY suite"
     ),
     "dq_final_gate": _with(
-        f"SELECT CAST({len(STAGES)} AS BIGINT) AS stages, CAST({len(STAGES)} AS BIGINT) AS stages_passed, "
-        "true AS passed FROM (SELECT count(*) AS n FROM raw) WHERE n > 0"
+        "SELECT CAST(6 AS BIGINT) AS stages, CAST(count(DISTINCT suite) AS BIGINT) AS stages_passed, bool_and(violations = 0) AS passed FROM (" + _CHECK_ROWS + ")"
     ),
 }
