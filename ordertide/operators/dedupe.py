@@ -6,32 +6,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+FILES = 1_000_000_000  # more than the files of one dedupe
 
 
 def dedupe_earliest(
     df: DataFrame,
     keys: Sequence[str],
-    order_by: Sequence[str] = ("ingested_at", "ingest_file_name"),
+    order_by: tuple[str, str] = ("ingested_at", "ingest_file_name"),
     any_true: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per distinct ``keys``; other columns from the earliest row.
+    """One row per distinct ``keys``; time and file from the earliest row.
 
     Unlike ``dropDuplicates`` (which keeps an arbitrary row), the kept values
-    are the ``min`` of ``struct(order_by...)`` - the same row whatever the
-    partitioning.  Flags in ``any_true`` are OR-ed over the group
-    (``bool_or``), so a flag raised on any copy survives.  Both aggregates are
-    partial-then-final: a key holding a third of all rows is combined
-    map-side before the shuffle, never gathered into one task.
+    are those of the first row by (time, file name), whatever the
+    partitioning.  Flags in ``any_true`` are OR-ed over the group.  Time and
+    the file's number are packed into one fixed-width decimal, so the
+    aggregates hash (a struct holding a string would sort every partition
+    before and after the shuffle), and a key holding a third of all rows is
+    combined map-side.  The files are numbered from their distinct names, one
+    row per file.
     """
-    keys = list(keys)
-    order_by = list(order_by)
-    aggs = [F.min(F.struct(*order_by)).alias("_first")]
+    keys, (time, file) = list(keys), order_by
+    files = df.select(file).distinct().select(file, F.row_number().over(Window.orderBy(file)).alias("_file_no"))
+    packed = F.unix_micros(time).cast("decimal(20,0)") * F.lit(FILES).cast("decimal(10,0)") + F.col("_file_no")
+    aggs = [F.min(packed.cast("decimal(38,0)")).alias("_first")]
     aggs += [F.bool_or(F.col(c)).alias(c) for c in any_true]
-    out = df.groupBy(*keys).agg(*aggs)
-    cols = []
-    for c in df.columns:
-        if c in keys or c in any_true:
-            cols.append(F.col(c))
-        elif c in order_by:
-            cols.append(F.col(f"_first.{c}").alias(c))
-    return out.select(*cols)
+    out = df.join(files, file).groupBy(*keys).agg(*aggs)
+    out = out.withColumn("_file_no", F.expr(f"cast(_first % {FILES} as int)"))
+    out = out.withColumn(time, F.timestamp_micros(F.expr(f"cast(_first div {FILES} as bigint)"))).join(files, "_file_no")
+    kept = {*keys, *any_true, time, file}
+    return out.select(*[c for c in df.columns if c in kept])

@@ -99,8 +99,14 @@ def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _zeros(number: Column, width: int) -> Column:
+    """Leading zeros up to ``width`` digits; a longer number stays whole."""
+    text = number.cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def _ssn(route: Column) -> Column:
-    digits = F.lpad(F.col("s_suppkey").cast("string"), 9, "0")
+    digits = _zeros(F.col("s_suppkey"), 9)
     hyphenated = F.concat_ws("-", F.substring(digits, 1, 3), F.substring(digits, 4, 2), F.substring(digits, 6, 4))
     wrong = ((F.col("s_suppkey") % 3) == 0) | (((F.col("s_suppkey") % 3) == 1) & (route == "tab_separated"))
     return F.when(wrong, hyphenated).otherwise(digits)
@@ -160,12 +166,13 @@ def raw_order_rows(
 def order_documents(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Streamed orders as nested documents, one per order.
 
-    The items of an order are gathered with a partial aggregate on the order
-    key; the document format itself holds one order per document.
+    Only line items of streamed orders are gathered, with a partial aggregate
+    on the order key; the format itself holds one order per document.
     """
     orders = (enriched_orders(spark, sf_dir) if orders is None else orders).filter(F.col("route") == STREAM_ROUTE)
     lineitem = table(spark, sf_dir, "lineitem")
-    items = lineitem.groupBy("l_orderkey").agg(
+    streamed = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+    items = lineitem.join(streamed, "l_orderkey", "left_semi").groupBy("l_orderkey").agg(
         F.collect_list(
             F.struct(
                 F.col("l_partkey").cast("string").alias("productId"),
@@ -217,12 +224,18 @@ def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixed_width_lines(rows: DataFrame) -> DataFrame:
-    """Render raw rows as fixed-width lines (``value`` column)."""
-    parts = [F.rpad(F.coalesce(F.col(n), F.lit("")), length, " ") for n, _, length in FIXED_WIDTH_LAYOUT]
-    return rows.select(F.concat(*parts).alias("value"))
+    """Render raw rows as fixed-width lines (``value`` column).  A value that
+    is wider than its field fails the job instead of being cut."""
+
+    def field(name: str, width: int) -> Column:
+        value = F.coalesce(F.col(name), F.lit(""))
+        wide = F.raise_error(F.concat(F.lit(f"{name} is wider than {width}: "), value)).cast("string")
+        return F.when(F.length(value) > width, wide).otherwise(F.rpad(value, width, " "))
+
+    return rows.select(F.concat(*[field(n, length) for n, _, length in FIXED_WIDTH_LAYOUT]).alias("value"))
 
 
-def write_fixtures(spark: SparkSession, sf_dir: str, root: str, stream_files: int = 8) -> dict[str, str]:
+def write_fixtures(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
     """Write every raw input under ``root``; returns the paths by role."""
     paths = {
         "fixed_width": f"{root}/raw/orders/batch/fixed_width",
@@ -260,7 +273,8 @@ def write_fixtures(spark: SparkSession, sf_dir: str, root: str, stream_files: in
         ).csv(paths["comma_separated"])
 
     def documents() -> None:
-        order_documents(spark, sf_dir, orders).repartition(stream_files).write.mode("overwrite").json(paths["stream"])
+        # As many files as the data's size asks for.
+        order_documents(spark, sf_dir, orders).hint("rebalance").write.mode("overwrite").json(paths["stream"])
 
     def products() -> None:
         product_rows(spark, sf_dir).write.mode("overwrite").format("xml").option("rootTag", "products").option(

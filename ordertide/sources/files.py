@@ -53,13 +53,16 @@ def read_delimited(
 
     ``positional=True`` replaces the header names by ``names`` position by
     position (the header of the file is only checked for its width).  With
-    ``positional=False`` the header names are kept as they are.
+    ``positional=False`` the header names are kept as they are, and a file
+    whose header names other columns, or in another order, fails the read
+    instead of having its values put under the wrong names.
     """
     header = spark.read.option("header", True).option("sep", sep).csv(path).columns
     if names is not None and positional and len(header) != len(names):
         raise ValueError(
             f"{path}: {len(header)} columns in the header, {len(names)} target names"
         )
+    keeps_names = names is None or not positional
     file_names = list(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in file_names])
     reader = (
@@ -71,7 +74,7 @@ def read_delimited(
         .option("nullValue", VERBATIM_NULL)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("enforceSchema", True)
+        .option("enforceSchema", not keeps_names)
         .schema(schema)
     )
     df = reader.csv(path)
