@@ -23,6 +23,7 @@ def test_hot_key_dedupe_is_combined_before_the_shuffle(spark):
     plan = _plan(out)
     # bool_or is planned as max; both run partially before the exchange
     assert "partial_min" in plan and "partial_max" in plan
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
     hot = out.filter(F.col("k") == "hot").first()
     assert hot.ingested_at == dt.datetime(2020, 1, 1) and hot.ingest_file_name == "f0" and hot.flag is True
     assert out.count() == 1 + (n - n // 3)

@@ -65,3 +65,30 @@ def test_fixed_width_slices_and_cleans(spark, tmp_path):
     assert row.submitted_at == "sub" and row.product_sold_price == "pro"
     assert row.sales_rep_city is None and row.product_id is None
     assert row.ingest_file_name.endswith("one.txt") and row.ingested_at is not None
+
+
+def test_swapped_headers_fail_the_read(spark, tmp_path):
+    """Columns of files with different headers are never mixed up."""
+    from ordertide.sources.files import read_delimited
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.tsv").write_text("x\ty\n1\t2\n")
+    same = read_delimited(spark, str(tmp_path / "t"), sep="\t", names=None)
+    assert [(r.x, r.y) for r in same.collect()] == [("1", "2")]
+    (tmp_path / "t" / "b.tsv").write_text("y\tx\n3\t4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path / "t"), sep="\t", names=None).collect()
+
+
+def test_values_wider_than_their_field_fail(spark):
+    from pyspark.sql import functions as F
+
+    from ordertide.plans.fixtures import _zeros, fixed_width_lines
+    from ordertide.schemas import FIXED_WIDTH_LAYOUT
+
+    fit = spark.range(1).select(*[F.lit("7").alias(n) for n, _, _ in FIXED_WIDTH_LAYOUT])
+    assert len(fixed_width_lines(fit).first().value) == sum(w for _, _, w in FIXED_WIDTH_LAYOUT)
+    with pytest.raises(Exception, match="wider than"):
+        fixed_width_lines(fit.withColumn(FIXED_WIDTH_LAYOUT[0][0], F.lit("7" * 500))).collect()
+    long = spark.range(1).select(_zeros(F.lit(1234567890), 9).alias("a"), _zeros(F.lit(12), 5).alias("b")).first()
+    assert tuple(long) == ("1234567890", "00012")
