@@ -48,7 +48,9 @@ ANCHORS = (
     """
 ).split()
 
-SEGMENTS, PIECES = 64, 64  # doc_id blocks: quantile segments, each cut evenly
+SEGMENTS = 64  # quantile segments of the doc_ids
+PIECES, MOST_PIECES = 64, 16_384  # even cuts of a segment, at least and at most
+BLOCK_ROWS = 20_000  # rows of a block, on average, from which segments are cut finer
 
 
 def _let(value: Column, body) -> Column:
@@ -98,19 +100,22 @@ def as_text(sigs: Column) -> Column:
     return F.array_join(F.transform(sigs, lambda s: F.lower(F.hex(s.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))), " ")
 
 
-def with_next(docs: DataFrame, segments: int = SEGMENTS, pieces: int = PIECES) -> DataFrame:
+def with_next(docs: DataFrame, segments: int = SEGMENTS, pieces: int | None = None) -> DataFrame:
     """(doc_id, text, next): every row's text and that of the next document in
     descending doc_id order; after the last comes the first.
 
     Rows are dealt to blocks of neighbouring ids: quantile segments of the
     ids (approximate, at most ``segments`` numbers reach the driver), each cut
-    evenly into ``pieces``.  A block sees the first row of the block after it
-    as a guest, so no task holds more than a block and texts move once.
+    evenly into ``pieces`` (by default as many as keep blocks at some
+    ``BLOCK_ROWS``).  A block sees the first row of the block after it as a
+    guest, so no task holds more than a block and texts move once.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [k / segments for k in range(segments + 1)]
-    edges = rows.agg(F.percentile_approx("doc_id", F.array(*[F.lit(s) for s in shares]), F.lit(10_000)).alias("e")).first()["e"] or [0]
-    edges = sorted(set(edges))
+    quantiles = F.percentile_approx("doc_id", F.array(*[F.lit(s) for s in shares]), F.lit(10_000))
+    found = rows.agg(quantiles.alias("edges"), F.count(F.lit(1)).alias("n")).first()
+    edges = sorted(set(found["edges"] or [0]))
+    pieces = pieces or min(max(PIECES, -(-found["n"] // (segments * BLOCK_ROWS))), MOST_PIECES)
     # The smallest ids are in no case below the first edge by much; they share its block.
     block = F.lit(-1).cast("long")
     for k, low in enumerate(edges):
@@ -124,7 +129,7 @@ def with_next(docs: DataFrame, segments: int = SEGMENTS, pieces: int = PIECES) -
     down = Window.orderBy(F.col("block").desc())  # one row per block
     heads = blocks.withColumn("host", F.lag("block").over(down)).withColumn("last", F.min("block").over(Window.partitionBy()))
     heads = C.cut(heads.select("block", "head", F.coalesce("host", "last").alias("host")))
-    # At most segments * (pieces + 1) + 2 rows, whatever the number of documents.
+    # At most SEGMENTS * (MOST_PIECES + 1) + 2 rows of three numbers.
     placed = rows.withColumn("block", block).join(F.broadcast(heads.withColumnRenamed("block", "_b")), F.col("block") == F.col("_b"), "left")
     first = F.col("doc_id").eqNullSafe(F.col("head"))
     homes = F.when(first, F.array(F.struct(F.col("block").alias("at"), F.lit(0).alias("guest")), F.struct(F.col("host").alias("at"), F.lit(1).alias("guest"))))
