@@ -8,7 +8,7 @@ Nothing here moves an unbounded set through the driver or one task:
                     whatever the number of keys, used to skip rows before a
                     shuffle (false positives only cost a little extra work);
 * ``components``    connected components by minimum-label spreading with
-                    pointer jumping, the lineage cut by ``checkpoint()``.
+                    pointer jumping, the lineage cut by written tables.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ordertide import fs
 from ordertide.session import shared_dir
 
 # Words of a text: runs of anything but ASCII white space.
@@ -140,23 +141,31 @@ def components(links: DataFrame, left: str, right: str, max_rounds: int = 200) -
     links costs one row per task.  Raises if the labels have not settled
     after ``max_rounds``.
     """
+    spark = links.sparkSession
+    folder = scratch(spark, "components")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        # A written table: a checkpoint would carry the constraints of the
+        # plan it cuts into the next round, and they double every round.
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     a, b = F.col(left).alias("src"), F.col(right).alias("dst")
     edges = links.select(a, b).unionByName(links.select(b.alias("src"), a.alias("dst"))).filter("src <> dst").distinct()
-    edges = cut(edges)
-    labels = cut(edges.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("component")))
-    for _ in range(max_rounds):
+    edges = kept(edges, "edges")
+    first = edges.groupBy("src").agg(F.min("dst").alias("low"))
+    labels = kept(first.select(F.col("src").alias("node"), F.least("low", "src").alias("component"), F.lit(True).alias("moved")), "labels0")
+    for done in range(1, max_rounds + 1):
         near = edges.join(labels, F.col("dst") == F.col("node")).groupBy("src").agg(F.min("component").alias("best"))
         spread = labels.join(near, F.col("node") == F.col("src"), "left").select(
             "node", "component", F.least("component", F.coalesce("best", "component")).alias("lower")
         )
         up = labels.select(F.col("node").alias("_up"), F.col("component").alias("_jump"))
-        stepped = cut(
-            spread.join(up, F.col("lower") == F.col("_up"), "left").select(
-                "node", "component", F.least("lower", F.coalesce("_jump", "lower")).alias("next")
-            )
-        )
-        changed = stepped.filter("next <> component").limit(1).count()
-        labels = stepped.select("node", F.col("next").alias("component"))
-        if not changed:
-            return labels
+        lowest = F.least("lower", F.coalesce("_jump", "lower"))
+        jumped = spread.join(up, F.col("lower") == F.col("_up"), "left")
+        labels = kept(jumped.select("node", lowest.alias("component"), (lowest != F.col("component")).alias("moved")), f"labels{done}")
+        fs.remove(spark, f"{folder}/labels{done - 1}")
+        if labels.filter("moved").isEmpty():
+            fs.remove(spark, f"{folder}/edges")
+            return labels.select("node", "component")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
