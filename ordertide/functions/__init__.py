@@ -5,7 +5,7 @@ from ordertide.functions.clean import (  # noqa: F401
     clean_string,
     epoch_to_timestamp,
     month_key,
-    remove_hyphen_vectorized,
+    ssn_to_long_in_pandas,
     ssn_format_error,
     ssn_to_long,
     try_cast,

@@ -88,15 +88,17 @@ def ssn_to_long(c: str | Column) -> Column:
     return try_cast(F.translate(_col(c), "-", ""), "bigint")
 
 
-@F.pandas_udf(T.StringType())
-def _remove_hyphen(s: pd.Series) -> pd.Series:
-    return s.str.replace("-", "", regex=False)
+@F.pandas_udf(T.LongType())
+def _plain_number(texts: pd.Series) -> pd.Series:
+    """Digits of hyphenated numbers as integers; anything else is missing."""
+    plain = texts.str.translate({ord("-"): None})
+    return pd.Series([int(t) if isinstance(t, str) and t.isdecimal() else None for t in plain], dtype="Int64")
 
 
-def remove_hyphen_vectorized(c: str | Column) -> Column:
-    """Vectorized (Arrow batch) variant of the hyphen removal.
+def ssn_to_long_in_pandas(c: str | Column) -> Column:
+    """:func:`ssn_to_long` over Arrow batches.
 
-    Kept for parity with pipelines that clean SSNs in pandas; the default
-    :func:`ssn_to_long` stays in the JVM and inside whole-stage codegen.
+    Only for pipelines that ask for pandas; the default stays in the JVM and
+    inside whole-stage codegen.
     """
-    return try_cast(_remove_hyphen(_col(c)), "bigint")
+    return _plain_number(_col(c))

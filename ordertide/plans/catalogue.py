@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.functions.clean import clean_all, epoch_to_timestamp, remove_hyphen_vectorized, ssn_format_error, ssn_to_long, try_cast
+from ordertide.functions.clean import clean_all, epoch_to_timestamp, ssn_to_long_in_pandas, ssn_format_error, ssn_to_long, try_cast
 from ordertide import fs
 from ordertide.operators import quality as dq
 from ordertide.operators.versioned import SchemaMismatch, VersionedTable
@@ -115,7 +115,7 @@ def ssn_to_long_q(spark, sf_dir):
 def ssn_to_long_vectorized(spark, sf_dir):
     raw = ws(spark, sf_dir).raw_batched()
     return raw.select(
-        "sales_rep_id", "sales_rep_ssn", remove_hyphen_vectorized("sales_rep_ssn").alias("ssn_long")
+        "sales_rep_id", "sales_rep_ssn", ssn_to_long_in_pandas("sales_rep_ssn").alias("ssn_long")
     ).distinct()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ordertide.functions.clean import (
     epoch_to_timestamp,
     month_key,
-    remove_hyphen_vectorized,
+    ssn_to_long_in_pandas,
     ssn_format_error,
     ssn_to_long,
     try_cast,
@@ -21,7 +21,7 @@ from ordertide.schemas import ORDER_KEYS, ORDERS_SCHEMA, SALES_REP_KEYS
 def sales_reps(raw: DataFrame, vectorized: bool = False) -> DataFrame:
     """One row per distinct rep record; ``_error_ssn_format`` is true when
     any copy of the record carried a hyphenated SSN."""
-    ssn = remove_hyphen_vectorized if vectorized else ssn_to_long
+    ssn = ssn_to_long_in_pandas if vectorized else ssn_to_long
     typed = raw.select(
         "sales_rep_id",
         ssn("sales_rep_ssn").alias("sales_rep_ssn"),

@@ -7,7 +7,7 @@ from ordertide.functions.clean import (
     clean_string,
     epoch_to_timestamp,
     month_key,
-    remove_hyphen_vectorized,
+    ssn_to_long_in_pandas,
     ssn_format_error,
     ssn_to_long,
 )
@@ -30,7 +30,7 @@ def test_clean_all_one_projection_keeps_order_and_types(spark):
 
 def test_ssn_helpers(spark):
     df = spark.createDataFrame([("123-45-6789",), ("123456789",), (None,), ("12x",)], "s string")
-    rows = df.select(ssn_format_error("s"), ssn_to_long("s"), remove_hyphen_vectorized("s")).collect()
+    rows = df.select(ssn_format_error("s"), ssn_to_long("s"), ssn_to_long_in_pandas("s")).collect()
     assert [tuple(r) for r in rows] == [
         (True, 123456789, 123456789),
         (False, 123456789, 123456789),
@@ -57,6 +57,20 @@ def test_vectorized_and_native_ssn_agree_on_raw(spark, sf_dir):
 
     raw = Workspace.get(spark, sf_dir).raw_batched()
     diff = raw.select(
-        F.count_if(~ssn_to_long("sales_rep_ssn").eqNullSafe(remove_hyphen_vectorized("sales_rep_ssn")))
+        F.count_if(~ssn_to_long("sales_rep_ssn").eqNullSafe(ssn_to_long_in_pandas("sales_rep_ssn")))
     ).first()[0]
     assert diff == 0
+
+
+def test_ssn_default_is_native_and_the_pandas_form_agrees(spark):
+    import inspect
+
+    from ordertide.functions.clean import ssn_to_long, ssn_to_long_in_pandas
+    from ordertide.plans import normalize
+
+    df = spark.createDataFrame([("123-45-6789",), ("000000012",), ("x-1",), ("",), (None,)], "s string")
+    out = df.select(ssn_to_long("s").alias("a"), ssn_to_long_in_pandas("s").alias("b")).collect()
+    assert [r.a for r in out] == [r.b for r in out] == [123456789, 12, None, None, None]
+    assert inspect.signature(normalize.sales_reps).parameters["vectorized"].default is False
+    native = df.select(ssn_to_long("s"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in native
