@@ -6,17 +6,19 @@ A document's set is its distinct word shingles.  Documents link when
 1. Documents with the same set (size and 128-bit set hash) form a class; its
    smallest doc_id represents it, so groups of copies cost one sketch row.
 2. Representatives' HyperMinHash registers are banded.  Of the documents that
-   share a band key the smallest is the key's pivot, and every other one is
-   paired with it: one row per document and pivot, never all pairs of a key.
+   share a band key the one with the most neighbours is the key's pivot, and
+   every other one is paired with it: one row per document and pivot, never
+   all pairs of a key.
 3. Pairs whose collision-corrected estimate leaves room for the threshold are
    confirmed on the full shingle sets, recomputed from the whole texts; the
    confirmed links give first components.
 4. Two documents of one band key share its pivot, so any link still missing
-   joins two first components inside one pivot's cluster.  Clusters that hold
-   several components are compared exactly: the members outside the pivot's
-   component against all others, in blocks of bounded size (a block pair is
-   one task's work; the members of the pivot's own component, the bulk of a
-   hot group, are never compared with each other).
+   joins two first components inside one pivot's cluster.  The documents of
+   keys that hold several components are compared exactly, pivot by pivot:
+   those outside the pivot's component against all others, in blocks of
+   bounded size (a block pair is one task's work; the members of the pivot's
+   own component, the bulk of a hot group, are never compared with each
+   other).
 5. Components of all confirmed links; a class takes its representative's.
 
 Texts are shuffled only for documents that take part in step 3 or 4 (a
@@ -25,8 +27,8 @@ with odds of about 2e-9 (no shared band) plus 1e-9 (estimate).
 
 Defined results: a null or empty text has the empty set and links with
 nothing; a text of fewer words than a shingle has its whole sequence as one;
-repeated rows with one doc_id are one document (linked wherever one of its
-texts is); a row without doc_id links with nothing and is kept; an empty
+repeated rows with one doc_id are one document (rows that share a doc_id must
+share the text); a row without doc_id links with nothing and is kept; an empty
 table gives an empty result.
 """
 
@@ -88,6 +90,20 @@ def band_rows(reps: DataFrame) -> DataFrame:
     return reps.select("id", "regs").mapInArrow(bands, "key long, id long")
 
 
+def hubs_of(shared: DataFrame) -> DataFrame:
+    """(key, pivot): of a key's documents the one that shares its keys with
+    the most others, ties by the smallest id.
+
+    The original of a group of near copies is such a document, so the keys of
+    a group mostly have one pivot, and a document few pivots.  Weight and id
+    are packed into one decimal, so the maximum is combined map-side.
+    """
+    weight = shared.groupBy("id").agg(F.sum("holders").alias("weight"))
+    packed = F.expr("cast(weight as decimal(17,0)) * 100000000000000000000BD + (9223372036854775807BD - id)").cast("decimal(38,0)")
+    best = shared.join(weight, "id").groupBy("key").agg(F.max(packed).alias("hub"))
+    return best.select("key", F.expr("cast(9223372036854775807BD - hub % 100000000000000000000BD as bigint)").alias("pivot"))
+
+
 def estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (pivot, id) with ``near``: the estimate leaves room."""
     threshold = percent / 100
@@ -152,7 +168,9 @@ def confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int, am
         F.ceil(F.coalesce(F.sum(F.when(F.col("side") == 0, weight)), F.lit(0.0))).cast("long").alias("n0"),
         F.ceil(F.coalesce(F.sum(F.when(F.col("side") == 1, weight)), F.lit(0.0))).cast("long").alias("n1"),
     )
-    dealt = members.join(sides.filter("n1 > 0"), "pivot")
+    # Cut, so that both sides of the join are plain shuffles, which Spark can
+    # split where a pivot has many members.
+    dealt = members.join(C.cut(sides.filter("n1 > 0")), "pivot")
     blocks = F.when(F.col("side") == 0, F.col("n0")).otherwise(F.col("n1"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), blocks))
     every = "explode(sequence(0L, {} - 1))"
@@ -194,8 +212,10 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     reps = C.cut(reps.dropDuplicates(["id", "n"]))
 
     bands = band_rows(reps)
-    pivots = bands.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
-    pairs = bands.join(pivots.select("key", "pivot"), "key").filter("id <> pivot").select("pivot", "id").distinct()
+    counted = bands.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    shared = C.cut(bands.join(counted, "key"))
+    hubs = C.cut(hubs_of(shared))
+    pairs = shared.join(hubs, "key").filter("id <> pivot").select("pivot", "id").distinct()
     pairs = C.cut(estimated(pairs, reps, percent))
 
     raw = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
@@ -213,15 +233,19 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     links = C.cut(confirmed(members, texts_of(members), width, percent, among=False).distinct())
     labels = C.components(links, "a", "b")
 
-    cluster = pairs.select("pivot", "id").unionByName(pairs.select("pivot", F.col("pivot").alias("id")).distinct())
+    # Keys whose documents are not in one component yet, by their pivots.
     named = labels.select(F.col("node").alias("id"), "component")
-    cluster = cluster.join(named, "id", "left").select("pivot", "id", F.coalesce("component", "id").alias("label"))
+    held = shared.select("key", "id").join(named, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
+    mixed = held.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
+    cluster = held.join(mixed, "key").join(hubs, "key").select("pivot", "id", "label").distinct()
     home = labels.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
-    cluster = cluster.join(home, "pivot", "left").withColumn("side", (F.col("label") != F.coalesce("home", "pivot")).cast("int"))
-    # A cluster whose only other members failed against the pivot alone has nothing left to compare.
-    rest = C.cut(cluster.join(sizes, "id"))
-    open_ = rest.groupBy("pivot").agg(F.sum("side").alias("outside"), F.count(F.lit(1)).alias("all")).filter("outside > 0 AND all > 2")
-    rest = rest.join(open_.select("pivot"), "pivot").filter("NOT (id = pivot)")
+    cluster = cluster.filter("id <> pivot").join(home, "pivot", "left")
+    cluster = cluster.withColumn("side", (F.col("label") != F.coalesce("home", "pivot")).cast("int"))
+    # A single member outside the pivot's component, and none inside but the
+    # pivot: they were compared before.
+    rest = C.cut(cluster.join(sizes, "id").select("pivot", "id", "n", "label", "side"))
+    open_ = rest.groupBy("pivot").agg(F.sum("side").alias("outside"), F.count(F.lit(1)).alias("all")).filter("outside > 0 AND all > 1")
+    rest = C.cut(rest.join(C.cut(open_.select("pivot")), "pivot"))
     more = C.cut(confirmed(rest, texts_of(rest), width, percent, among=True).distinct())
     labels = C.components(links.unionByName(more), "a", "b").withColumnRenamed("node", "rep")
 
