@@ -1,27 +1,39 @@
 """Operator 10: masked pseudo-likelihood with a bidirectional window network.
 
-Every word is predicted from the two words on either side of it: a table per
-window place maps the neighbour to a hidden vector, their sum goes through
-tanh and a softmax layer over the vocabulary.  A document's score is the sum
-of the log-probabilities of all its words.
+Every word is predicted from the words on either side of it by a softmax of
+two levels.  First its *symbol*: a table per window place maps the symbols of
+the two neighbours on either side to a hidden vector, their sum goes through
+tanh and a softmax layer over all symbols.  Then the *word* among the words of
+its symbol, from the symbols next to it.  ``log_likelihood`` sums the
+log-probabilities of all symbols of a document, ``word_log_likelihood`` those
+of all its words.
 
 1. *Vocabulary* - words of the whole corpus are counted (per task in numpy,
    then by a shuffle on the word's hash); the ``FREQUENT`` most frequent get
-   their own token, others share ``RARE`` tokens by hash; token 0 stands for
-   the places outside a text.
+   their own symbol, others share ``RARE`` symbols by hash; symbol 0 stands
+   for the places outside a text.
 2. *Training* - in ``ROUNDS`` rounds every task runs one pass of minibatch
    gradient steps (numpy, AdaGrad) over its documents from the current
    weights; the tasks' weights are averaged by their number of words as exact
    decimals, so the result doesn't depend on the order of tasks.  All
    documents take part; a round trains on every ``STRIDE``-th word place, each
    round on another residue, and contexts are always whole.
-3. *Scoring* - every word place of every document.
-
-The network has a fixed size (about 20 thousand numbers), the only thing the
-driver holds; token ids, a byte a word, are kept in the checkpoint folder.
+3. *Words* - every distinct word that shares a symbol, however rare, has a row
+   of its own: its count, and its counts after and before each symbol.  Rows
+   are sharded by the word's hash, shards grow in number with the corpus.  The
+   probability of a word w of symbol c between symbols l and r is the mean of
+   (n(l,w) + PRIOR n(w)/n(c)) / (n(l,c) + PRIOR) and the same with r.
+4. *Scoring* - every word place of every document.  A shard gets the places of
+   its words in packed blobs, counts them, and sends the log-probabilities
+   back to the documents' chunks.
+
+The driver holds the network (about 20 thousand numbers) and n(l,c), n(r,c);
+symbols, a byte a word, and the hashes of words that share a symbol are kept
+in the checkpoint folder.  Inside a shard words are told apart by 35 bits of
+their hash beyond symbol and shard (49 or more in all).
 
 Defined results: a null or empty text has 0 words, log-likelihood 0.0 and a
-null mean; repeated rows are scored alike; an empty table gives an empty
+null mean, for symbols and words; repeated rows are scored alike; an empty table gives an empty
 result; texts of any length are scored whole, in minibatches.
 """
 
@@ -46,6 +58,11 @@ STRIDE, ROUNDS = 8, 2
 BATCH = 2048
 RATE = 0.1
 SCALE = 1 << 24  # weights are averaged in steps of 2^-24
+SHARD = 1 << 18  # places a shard gets on average, at most
+SHARDS = 1 << 9  # at least
+PRIOR = 32.0  # places that a word's share of its symbol counts for
+REST = 1 << 35
+PLACE = 9  # bytes of a packed place: key 5, left 1, right 1, row 2
 HELD = 1 << 19  # distinct words a task counts before it hands them on
 
 
@@ -157,13 +174,14 @@ def vocabulary(texts: DataFrame, frequent: int = FREQUENT) -> np.ndarray:
 
 
 def tokenised(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """doc_id and ids: a byte per word."""
+    """doc_id, ids (a byte per word), hashes (8 bytes per word that shares its
+    symbol) and at, a number of the row that grows by one inside a task."""
     order = np.argsort(words)
     known, number = words[order], (order + 1).astype(np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, rest = [], []
             for hashes in word_hashes(batch.column(1).to_pylist()):
                 ids = (1 + FREQUENT + (hashes % np.uint64(RARE))).astype(np.uint8)
                 if len(known) and len(hashes):
@@ -172,9 +190,117 @@ def tokenised(texts: DataFrame, words: np.ndarray) -> DataFrame:
                     hit = known[at] == signed
                     ids[hit] = number[at[hit]]
                 out.append(ids.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "ids"])
+                rest.append(hashes[ids > FREQUENT].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(rest, pa.binary())], ["doc_id", "ids", "hashes"])
+
+    rows = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, hashes binary")
+    return rows.withColumn("at", F.monotonically_increasing_id())
+
+
+def shared_places(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, symbol, left symbol, right symbol) of every word that shares its symbol."""
+    ids = np.frombuffer(b"".join(raws), np.uint8)
+    row = np.repeat(np.arange(len(raws)), [len(r) for r in raws])
+    at = np.arange(len(ids)) + row + 1
+    line = np.zeros(len(ids) + len(raws) + 1, np.uint8)
+    line[at] = ids
+    shares = ids > FREQUENT
+    at = at[shares]
+    return row[shares], ids[shares], line[at - 1], line[at + 1]
+
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
+def symbol_pairs(tokens: DataFrame) -> np.ndarray:
+    """Counts (2, SIZE, RARE) of each shared symbol after and before each symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * SIZE * RARE, np.int64)
+        for batch in batches:
+            _, symbol, left, right = shared_places(batch.column(0).to_pylist())
+            kind = symbol.astype(np.int64) - 1 - FREQUENT
+            for side, near in enumerate((left, right)):
+                total += np.bincount((side * SIZE + near.astype(np.int64)) * RARE + kind, minlength=len(total))
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(total[place], pa.int64())], ["place", "n"])
+
+    rows = tokens.select("ids").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    pairs = np.zeros(2 * SIZE * RARE)
+    for r in rows:
+        pairs[r["place"]] = r["n"]
+    return pairs.reshape(2, SIZE, RARE)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Keys, left and right symbols, and the rows as packed."""
+    n = len(blob) // PLACE
+    key = np.frombuffer(blob, "<u4", n).astype(np.int64) + (np.frombuffer(blob, np.uint8, n, 4 * n).astype(np.int64) << 32)
+    return key, np.frombuffer(blob, np.uint8, n, 5 * n), np.frombuffer(blob, np.uint8, n, 6 * n), blob[7 * n :]
+
+
+def log_shares(key: np.ndarray, near: tuple[np.ndarray, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Log-probability of every place's word among the words of its symbol.
+    ``key`` holds all places of its words; key % RARE is the symbol."""
+    _, word, n = np.unique(key, return_inverse=True, return_counts=True)
+    kind = key % RARE
+    prior = PRIOR * n[word] / pairs[0].sum(axis=0)[kind]
+    share = np.zeros(len(key))
+    for side, symbol in zip(pairs, near):
+        _, pair, m = np.unique(word * SIZE + symbol, return_inverse=True, return_counts=True)
+        share += (m[pair] + prior) / (side[symbol, kind] + PRIOR) / 2
+    return np.log(share)
+
+
+def word_scores(tokens: DataFrame, least: int = SHARDS) -> DataFrame:
+    """at and words: the sum of ``log_shares`` over the row's words."""
+    pairs = symbol_pairs(tokens)
+    shards = least
+    while shards * SHARD < pairs[0].sum():
+        shards *= 2
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            numbers = whole.column(0).to_numpy()
+            block = (numbers - numbers[0]) >> 16 if len(numbers) else numbers
+            edges = [0, *(np.flatnonzero(np.diff(block)) + 1), len(numbers)]
+            for first, end in zip(edges[:-1], edges[1:]):
+                if first == end:
+                    continue
+                batch = whole.slice(first, end - first)
+                row, symbol, left, right = shared_places(batch.column(1).to_pylist())
+                hashes = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64) // np.uint64(RARE)
+                shard = (hashes % np.uint64(shards)).astype(np.int32)
+                key = hashes // np.uint64(shards) % np.uint64(REST) * np.uint64(RARE) + (symbol - np.uint8(1 + FREQUENT))
+                offset = (numbers[first:end] - numbers[first]).astype("<u2")
+                order = np.argsort(shard, kind="stable")
+                fields = [key.astype("<u4"), (key >> np.uint64(32)).astype(np.uint8), left, right, offset[row]]
+                fields = [f[order] for f in fields]
+                bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+                some = np.flatnonzero(np.diff(bounds))
+                blobs = [b"".join(f[bounds[s] : bounds[s + 1]].tobytes() for f in fields) for s in some]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int64()), pa.array(np.full(len(some), numbers[first]), pa.int64()), pa.array(blobs, pa.binary())],
+                    ["shard", "chunk", "places"],
+                )
+
+    def share(shard: pa.Table) -> pa.Table:
+        chunks, blobs = shard.column("chunk"), shard.column("places").to_pylist()
+        parts = [unpacked(b) for b in blobs]
+        key, left, right = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        values = np.round(log_shares(key, (left, right), pairs) * SCALE).astype("<i4")
+        cuts = np.cumsum([0] + [len(p[0]) for p in parts])
+        out = [values[a:b].tobytes() + p[3] for a, b, p in zip(cuts[:-1], cuts[1:], parts)]
+        return pa.table({"chunk": chunks, "values": pa.array(out, pa.binary())})
+
+    def gather(chunk: pa.Table) -> pa.Table:
+        blobs = chunk.column("values").to_pylist()
+        ns = [len(b) // 6 for b in blobs]
+        value = np.concatenate([np.frombuffer(b, "<i4", n) for b, n in zip(blobs, ns)])
+        row = np.concatenate([np.frombuffer(b, "<u2", n, 4 * n) for b, n in zip(blobs, ns)])
+        total, some = np.bincount(row, value), np.flatnonzero(np.bincount(row))
+        return pa.table({"at": pa.array(some + chunk.column("chunk")[0].as_py(), pa.int64()), "words": pa.array(total[some] / SCALE, pa.float64())})
+
+    dealt = tokens.select("at", "ids", "hashes").mapInArrow(deal, "shard long, chunk long, places binary")
+    shares = dealt.groupBy("shard").applyInArrow(share, "chunk long, values binary")
+    return shares.groupBy("chunk").applyInArrow(gather, "at long, words double")
 
 
 def train_round(tokens: DataFrame, net: Network, residue: int, stride: int = STRIDE) -> Network:
@@ -232,26 +358,31 @@ def fit(tokens: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Networ
 
 
 def scored(tokens: DataFrame, net: Network) -> DataFrame:
-    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row."""
+    """at, doc_id, n_words and symbols, the log-likelihood of the row's symbols."""
     shared = tokens.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(raw, np.uint8) for raw in batch.column(1).to_pylist()]
-            sums = [round(log_likelihood(shared.value, i), 4) if len(i) else 0.0 for i in ids]
-            means = [s / len(i) if len(i) else None for s, i in zip(sums, ids)]
+            ids = [np.frombuffer(raw, np.uint8) for raw in batch.column(2).to_pylist()]
+            sums = [log_likelihood(shared.value, i) if len(i) else 0.0 for i in ids]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(i) for i in ids], pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-                ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"],
+                [batch.column(0), batch.column(1), pa.array([len(i) for i in ids], pa.int64()), pa.array(sums, pa.float64())],
+                ["at", "doc_id", "n_words", "symbols"],
             )
 
-    return tokens.mapInArrow(run, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+    return tokens.select("at", "doc_id", "ids").mapInArrow(run, "at long, doc_id long, n_words long, symbols double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words and the sums and means of the log-probabilities of every
+    row's symbols (log_likelihood) and words (word_log_likelihood)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     tokens = C.cut(tokenised(texts, vocabulary(texts)))
-    return scored(tokens, fit(tokens))
+    rows = scored(tokens, fit(tokens)).join(word_scores(tokens), "at", "left")
+    sums = {"log_likelihood": F.col("symbols"), "word_log_likelihood": F.col("symbols") + F.coalesce("words", F.lit(0.0))}
+    rows = rows.select("doc_id", "n_words", *[F.round(v, 4).alias(k) for k, v in sums.items()])
+    means = [F.when(F.col("n_words") > 0, F.col(k) / F.col("n_words")).alias(f"mean_{k}") for k in sums]
+    return rows.select("doc_id", "n_words", "log_likelihood", means[0], "word_log_likelihood", means[1])
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,3 +89,71 @@ def test_query(spark, sf_dir):
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     total = sum(r["log_likelihood"] for r in rows) / sum(r["n_words"] for r in rows)
     assert total > -np.log(O.SIZE)  # better than guessing
+
+
+def test_shares_of_a_symbol_sum_to_one():
+    """Over the words of a symbol, between any two symbols, by brute force."""
+    rng = np.random.default_rng(7)
+    kind = rng.integers(0, 2, 400)
+    key = rng.integers(0, 9, 400) * O.RARE + kind
+    near = rng.integers(0, 3, 400), rng.integers(0, 3, 400)
+    pairs = np.zeros((2, O.SIZE, O.RARE))
+    for side in range(2):
+        np.add.at(pairs[side], (near[side], kind), 1)
+    got = np.exp(O.log_shares(key, near, pairs))
+    seen = {}
+    for k, left, right, p in zip(key, *near, got):
+        n = (key == k).sum() / (key % O.RARE == k % O.RARE).sum()
+        want = 0.0
+        for side, x in ((0, left), (1, right)):
+            want += ((key == k) & (near[side] == x)).sum() / 2 / (pairs[side][x, k % O.RARE] + O.PRIOR)
+            want += O.PRIOR * n / 2 / (pairs[side][x, k % O.RARE] + O.PRIOR)
+        assert abs(p - want) < 1e-9
+        seen[k, left, right] = p
+    for c in range(2):
+        words = [k for k in np.unique(key) if k % O.RARE == c]
+        for left in range(3):
+            for right in range(3):
+                if all((k, left, right) in seen for k in words):
+                    assert abs(sum(seen[k, left, right] for k in words) - 1) < 1e-9
+
+
+def test_rare_words_are_predicted(spark, make_docs):
+    """Thousands of words: swapping rare words for random ones of the same
+    symbol keeps the symbols' score and lowers the words'."""
+    from ordertide.llm.words import word_hashes
+
+    rng = random.Random(8)
+    common = [f"common{k}" for k in range(O.FREQUENT)]
+    rare = [f"rare{k}" for k in range(4000)]
+    kinds = {}
+    for w in rare:
+        kinds.setdefault(int(next(word_hashes([w.encode()]))[0] % np.uint64(O.RARE)), []).append(w)
+    same = {w: ws for ws in kinds.values() for w in ws}
+    after = {w: rng.choice(common) for w in rare}  # every rare word has its place
+    texts = []
+    for _ in range(300):
+        words = []
+        for w in rng.choices(rare, k=100):
+            words += [after[w], w, after[w]]
+        texts.append(" ".join(words + common))
+    swapped = [" ".join(rng.choice(same[w]) if w in same else w for w in t.split()) for t in texts[:20]]
+    rows = [(k, t, "s") for k, t in enumerate(texts + swapped)]
+    got = {r["doc_id"]: r for r in O.score_documents(make_docs(rows).repartition(5)).collect()}
+    assert all(got[k]["log_likelihood"] == got[300 + k]["log_likelihood"] for k in range(20))
+    assert all(got[k]["mean_word_log_likelihood"] > got[300 + k]["mean_word_log_likelihood"] + 0.2 for k in range(20))
+    assert all(r["word_log_likelihood"] < r["log_likelihood"] for r in got.values())
+
+
+def test_words_held_grow_with_the_corpus(spark, make_docs):
+    """Every distinct word that shares a symbol reaches a shard, in any number
+    of shards, and rows of equal text get equal scores."""
+    rows = [(k, " ".join(f"w{k // 2}x{j}" for j in range(50)), "s") for k in range(200)]
+    texts = make_docs(rows).selectExpr("doc_id", "cast(text as binary) text")
+    tokens = O.C.cut(O.tokenised(texts, O.vocabulary(texts)).repartition(1).sortWithinPartitions("at"))
+    few, many = ({r["at"]: r["words"] for r in O.word_scores(tokens, n).collect()} for n in (1, 64))
+    assert few == many and len(few) == 200
+    held = {r["doc_id"]: few[r["at"]] for r in tokens.select("doc_id", "at").collect()}
+    assert len({round(v, 9) for v in held.values()}) > 50
+    pairs = O.symbol_pairs(tokens)
+    assert pairs[0].sum() == pairs[1].sum() == 200 * 50 - 2 * O.FREQUENT
