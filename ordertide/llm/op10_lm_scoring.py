@@ -17,7 +17,8 @@ of all its words.
    weights; the tasks' weights are averaged by their number of words as exact
    decimals, so the result doesn't depend on the order of tasks.  All
    documents take part; a round trains on every ``STRIDE``-th word place, each
-   round on another residue, and contexts are always whole.
+   round on another residue, so that ``ROUNDS`` rounds train on every place
+   once; contexts are always whole.
 3. *Words* - every distinct word that shares a symbol, however rare, has a row
    of its own: its count, and its counts after and before each symbol.  Rows
    are sharded by the word's hash, shards grow in number with the corpus.  The
@@ -54,7 +55,8 @@ FREQUENT, RARE = 95, 32
 SIZE = 1 + FREQUENT + RARE
 HIDDEN = 32
 WINDOW = (-2, -1, 1, 2)
-STRIDE, ROUNDS = 8, 2
+STRIDE = 4
+ROUNDS = STRIDE
 BATCH = 2048
 RATE = 0.1
 SCALE = 1 << 24  # weights are averaged in steps of 2^-24
@@ -353,7 +355,7 @@ def train_round(tokens: DataFrame, net: Network, residue: int, stride: int = STR
 def fit(tokens: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
     net = Network.start()
     for r in range(rounds):
-        net = train_round(tokens, net, (r * stride // max(rounds, 1)) % stride, stride)
+        net = train_round(tokens, net, r % stride, stride)
     return net
 
 

@@ -157,3 +157,13 @@ def test_words_held_grow_with_the_corpus(spark, make_docs):
     assert len({round(v, 9) for v in held.values()}) > 50
     pairs = O.symbol_pairs(tokens)
     assert pairs[0].sum() == pairs[1].sum() == 200 * 50 - 2 * O.FREQUENT
+
+
+def test_every_place_is_trained_on(spark, make_docs, monkeypatch):
+    """The default rounds make every word place a target exactly once."""
+    texts = make_docs([(k, " ".join(f"w{j}" for j in range(n)), "s") for k, n in enumerate((1, 7, 8, 61))]).selectExpr("doc_id", "cast(text as binary) text")
+    tokens = O.C.cut(O.tokenised(texts, O.vocabulary(texts)).repartition(1))
+    targets = []
+    monkeypatch.setattr(O, "train_round", lambda tokens, net, residue, stride=O.STRIDE: targets.append(np.concatenate([np.arange(residue, len(r["ids"]), stride) for r in tokens.collect()])) or net)
+    O.fit(tokens)
+    assert sorted(np.concatenate(targets)) == sorted(j for n in (1, 7, 8, 61) for j in range(n))
