@@ -4,8 +4,11 @@ A page is cut into blocks at block-level tags.  First pass: a block is
 *boilerplate* inside a menu, header, footer, sidebar, notice, advert, form or
 comment section, or when most of its characters are link text; it is *text*
 when it lies inside an article or main element, or is long enough with a high
-density of stop words; other long blocks without stop words are boilerplate.
-Short blocks in between stay ambiguous.  Second pass: an ambiguous block takes
+density of stop words, or, in whatever language, is made of sentences almost
+without links.  Other blocks stay ambiguous.  A class, id or role
+marks an element by its whole name (``sidebar``, ``cookie-notice``, not
+``has-sidebar``); an article or main element clears the mark of a form around
+it, and that of a class unless inside another article or main element.  Second pass: an ambiguous block takes
 the label of its nearest decided neighbours (both sides text, or text on the
 nearer side), a heading that of the block it heads.
 
@@ -60,12 +63,17 @@ MARKS = frozenset(
     " promoted promotion reactions related replies reply search share sharing shoutbox sidebar signup skyscraper social sponsor sponsored"
     " subscribe subscription tagcloud teaser toolbar widget complementary contentinfo alert alertdialog".split()
 )
+# What may stand beside such a word in a name.
+BESIDE = frozenset("site page main top bottom left right primary secondary global bar box block links list section area unit slot post entry".split())
+TITLES = frozenset(("header", "masthead", "banner"))  # no marks inside an article or main element
+FORM, NAMED, SURE = 1, 2, 3  # how an element is marked; 0 is not at all
 CONTENT = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 SHORT, LONG = 70, 200  # characters
 STOP_LOW, STOP_HIGH = 0.25, 0.32  # share of words that are stop words
-MAX_LINKS = 0.5  # share of characters inside links
+MAX_LINKS, FEW_LINKS = 0.5, 0.1  # share of characters inside links
+ENDS = tuple(".!?…。！？।؟۔።")  # of a sentence
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -86,20 +94,39 @@ class Block(NamedTuple):
     aside: bool  # inside marked boilerplate
 
 
-def _marked(name: str, attrs: str, content: bool) -> bool:
-    """Whether an element's tag or attributes mark it as no article text."""
-    if name in ASIDE or (name == "header" and not content):
-        return True
+def _named(value: str, content: bool) -> bool:
+    """Whether one of the names in an attribute's value marks boilerplate."""
+    for name in value.split():
+        words = {w for w in _SPLIT.split(name) if w} - BESIDE
+        if words and words <= MARKS and not (content and words <= TITLES):
+            return True
+    return False
+
+
+def _marked(name: str, attrs: str, content: bool) -> int:
+    """How an element's tag or attributes mark it as no article text."""
+    mark = 0
+    if name == "form":
+        mark = FORM
+    elif name in ASIDE or (name == "header" and not content):
+        return SURE
     for m in _ATTRIBUTE.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return SURE
         if key == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
-        elif not MARKS.isdisjoint(_SPLIT.split(value)) and name not in ("body", "html", "main", "article"):
-            return True
-    return False
+                return SURE
+        elif name not in ("body", "html", "main") and _named(value, content):
+            mark = NAMED
+    return mark
+
+
+def _inherited(name: str, mark: int, content: bool) -> int:
+    """What an element keeps of the mark around it."""
+    if name in CONTENT and (mark == FORM or mark == NAMED and not content):
+        return 0
+    return mark
 
 
 def blocks(page: str) -> list[Block]:
@@ -108,7 +135,7 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     link_chars = 0
     # Open elements as (name, marked, content); marked and content are inherited.
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]
     in_link = skipped = 0
     tag = ""
 
@@ -116,7 +143,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal link_chars
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            found.append(Block(text, tag, link_chars, stack[-1][2], stack[-1][1]))
+            found.append(Block(text, tag, link_chars, stack[-1][2], stack[-1][1] > 0))
         parts.clear()
         link_chars = 0
 
@@ -145,7 +172,7 @@ def blocks(page: str) -> list[Block]:
             if name == "p" and stack[-1][0] == "p" or name == "li" and stack[-1][0] == "li":
                 stack.pop()  # their end tags may be left out
             _, marked, content = stack[-1]
-            stack.append((name, marked or _marked(name, attrs, content), content or name in CONTENT))
+            stack.append((name, max(_inherited(name, marked, content), _marked(name, attrs, content)), content or name in CONTENT))
             in_link += name == "a"
             skipped += name in SKIPPED
         else:
@@ -180,9 +207,11 @@ def first_pass(b: Block) -> bool | None:
         return None
     if density >= STOP_HIGH:
         return True if len(b.text) >= LONG or b.tag == "p" else None
-    if density >= STOP_LOW:
-        return None if len(b.text) < LONG else True
-    return False
+    if density >= STOP_LOW and len(b.text) >= LONG:
+        return True
+    # Few stop words may only mean another language.
+    prose = b.links <= FEW_LINKS * len(b.text) and b.text.rstrip("\"')»”’」』").endswith(ENDS)
+    return True if prose and density < STOP_LOW and (b.tag == "p" or len(b.text) >= LONG) else None
 
 
 def second_pass(labels: list[bool | None], headings: list[bool]) -> list[bool]:

@@ -55,3 +55,35 @@ def test_all_pages_of_the_tables(spark, sf_dir):
         inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
         parts = [squash(html.unescape(re.sub(r"<[^>]+>", "", p))) for p in re.split(r"</?(?:p|h1|br)>", inner)]
         assert got[r["page_id"]] == "\n".join(p for p in parts if p)
+
+
+def test_marks_are_whole_names():
+    """A boilerplate word inside a wrapper's name doesn't drop the page."""
+    text = squash(EN * 5)
+    for name in ("has-sidebar", "no-sidebar", "search-results", "with_comments"):
+        assert O.main_text(f'<body><div class="x {name}"><p>{EN * 5}</p></div>') == text
+    for name in ("sidebar", "left-sidebar", "cookie-notice", "x main-nav", "comments"):
+        assert O.main_text(f'<body><div class="{name}"><p>{EN * 5}</p></div>') == ""
+    head = '<div class="article-header"><h1>T</h1></div><div class="header"><h2>U</h2></div>'
+    assert O.main_text(f"<body><article>{head}<p>{EN * 5}</p></article>") == f"T\nU\n{text}"
+
+
+def test_article_clears_marks():
+    text = squash(EN * 5)
+    for tag in ("article", "main"):
+        page = f"<{tag}><p>{EN * 5}</p></{tag}>"
+        for around in ("<form>", '<div class="widget">', '<form id="search"><div>'):
+            assert O.main_text(f"<body>{around}{page}") == text
+        for around in ("<nav>", "<aside>", "<div hidden>", '<article><section class="comments">'):
+            assert O.main_text(f"<body>{around}{page}") == ""
+    assert O.main_text(f"<body><main><form><article><p>{EN * 5}</p></article></form></main>") == text
+    assert O.main_text(f'<body><article class="comment"><p>{EN * 5}</p></article>') == ""
+
+
+def test_prose_of_other_languages():
+    """Long blocks with few links aren't dropped for want of known stop words."""
+    polish = "Wczoraj wieczorem mieszkańcy miasta zebrali się przed ratuszem, żeby wspólnie świętować rocznicę. " * 3
+    japanese = "昨日の夜、町の人々は市役所の前に集まり、記念日を一緒に祝いました。" * 8
+    for prose in (polish.strip(), japanese):
+        assert O.main_text(f"<body><nav><a>Menu</a></nav><div><p>{prose}</p></div><div>{prose}</div>") == f"{prose}\n{prose}"
+        assert O.main_text(f"<body><div><p><a>{prose}</a></p></div>") == ""
