@@ -5,7 +5,10 @@ A page is cut into blocks at block-level tags.  First pass: a block is
 comment section, or when most of its characters are link text; it is *text*
 when it lies inside an article or main element, or is long enough with a high
 density of stop words, or, in whatever language, is made of sentences almost
-without links.  Other blocks stay ambiguous.  A class, id or role
+without links.  Other blocks stay ambiguous.  Inside an article or main
+element the tag decides: unmarked blocks that aren't mostly links are kept
+without a look at stop words or length, so unmarked boilerplate there is kept
+too.  A class, id or role
 marks an element by its whole name (``sidebar``, ``cookie-notice``, not
 ``has-sidebar``); an article or main element clears the mark of a form around
 it, and that of a class unless inside another article or main element.  Second pass: an ambiguous block takes
@@ -61,8 +64,10 @@ MARKS = frozenset(
     "ad ads advert advertisement advertising adbox adsbygoogle banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus"
     " disclaimer footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice overlay pagination pager popup promo"
     " promoted promotion reactions related replies reply search share sharing shoutbox sidebar signup skyscraper social sponsor sponsored"
-    " subscribe subscription tagcloud teaser toolbar widget complementary contentinfo alert alertdialog".split()
+    " subscribe subscription tagcloud teaser toolbar widget complementary contentinfo alert alertdialog"
+    " responses discussion".split()
 )
+NAMES = frozenset("author-bio author-box about-author about-the-author post-meta entry-meta article-meta post-tags entry-tags more-stories read-next".split())
 # What may stand beside such a word in a name.
 BESIDE = frozenset("site page main top bottom left right primary secondary global bar box block links list section area unit slot post entry".split())
 TITLES = frozenset(("header", "masthead", "banner"))  # no marks inside an article or main element
@@ -97,6 +102,8 @@ class Block(NamedTuple):
 def _named(value: str, content: bool) -> bool:
     """Whether one of the names in an attribute's value marks boilerplate."""
     for name in value.split():
+        if name.replace("_", "-") in NAMES:
+            return True
         words = {w for w in _SPLIT.split(name) if w} - BESIDE
         if words and words <= MARKS and not (content and words <= TITLES):
             return True

@@ -87,3 +87,11 @@ def test_prose_of_other_languages():
     for prose in (polish.strip(), japanese):
         assert O.main_text(f"<body><nav><a>Menu</a></nav><div><p>{prose}</p></div><div>{prose}</div>") == f"{prose}\n{prose}"
         assert O.main_text(f"<body><div><p><a>{prose}</a></p></div>") == ""
+
+
+def test_boilerplate_inside_an_article():
+    """Named boilerplate and link lists go; what the tag alone decides stays."""
+    text = squash(EN * 5)
+    for name in ("responses", "discussion", "author-bio", "author_bio", "entry-meta"):
+        assert O.main_text(f'<body><article><p>{EN * 5}</p><div class="{name}"><p>{EN * 5}</p></div></article>') == text
+    assert O.main_text(f"<body><article><p>{EN * 5}</p><ul><li><a>{EN}</a></ul><p>x y z</article>") == f"{text}\nx y z"
