@@ -30,8 +30,8 @@ of all its words.
 
 The driver holds the network (about 20 thousand numbers) and n(l,c), n(r,c);
 symbols, a byte a word, and the hashes of words that share a symbol are kept
-in the checkpoint folder.  Inside a shard words are told apart by 35 bits of
-their hash beyond symbol and shard (49 or more in all).
+in the checkpoint folder.  Words are told apart by symbol, shard and up to 35
+more bits of their hash (49 to 53 bits in all).
 
 Defined results: a null or empty text has 0 words, log-likelihood 0.0 and a
 null mean, for symbols and words; repeated rows are scored alike; an empty table gives an empty
@@ -63,7 +63,9 @@ SCALE = 1 << 24  # weights are averaged in steps of 2^-24
 SHARD = 1 << 18  # places a shard gets on average, at most
 SHARDS = 1 << 9  # at least
 PRIOR = 32.0  # places that a word's share of its symbol counts for
+BINS = 1 << 23  # pairs counted by place, more by sorting
 REST = 1 << 35
+KEPT = 6  # bytes of a word's hash kept beside its symbol
 PLACE = 9  # bytes of a packed place: key 5, left 1, right 1, row 2
 HELD = 1 << 19  # distinct words a task counts before it hands them on
 
@@ -98,32 +100,47 @@ class Network(NamedTuple):
         )
 
 
-def forward(net: Network, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden vectors and log-probabilities for (n, places) context tokens."""
-    total = net.bias + net.tables[0][context[:, 0]]
+def raised(net: Network, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden vectors and logits, their largest 0, for (n, places) context tokens."""
+    total = net.tables[0].take(context[:, 0], axis=0)
+    total += net.bias
     for k in range(1, len(WINDOW)):
-        total += net.tables[k][context[:, k]]
-    hidden = np.tanh(total)
-    logits = hidden @ net.out + net.out_bias
+        total += net.tables[k].take(context[:, k], axis=0)
+    hidden = np.tanh(total, out=total)
+    logits = hidden @ net.out
+    logits += net.out_bias
     logits -= logits.max(axis=1, keepdims=True)
+    return hidden, logits
+
+
+def forward(net: Network, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hidden vectors and log-probabilities for (n, places) context tokens."""
+    hidden, logits = raised(net, context)
     logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
     return hidden, logits
 
 
+def target_log(net: Network, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the target tokens."""
+    _, logits = raised(net, context)
+    own = logits[np.arange(len(target)), target]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
 def step(net: Network, seen: Network, context: np.ndarray, target: np.ndarray) -> None:
     """One AdaGrad step, in place; ``seen`` sums the squared gradients."""
     n = len(target)
-    hidden, logp = forward(net, context)
-    delta = np.exp(logp)
-    delta[np.arange(n), target] -= 1
-    delta /= n
+    hidden, delta = raised(net, context)
+    np.exp(delta, out=delta)
+    delta /= delta.sum(axis=1, keepdims=True) * np.float32(n)
+    delta[np.arange(n), target] -= np.float32(1 / n)
     back = (delta @ net.out.T) * (1 - hidden * hidden)
     grads = [np.empty_like(net.tables), back.sum(axis=0), hidden.T @ delta, delta.sum(axis=0)]
-    one = np.zeros((SIZE, n), np.float32)
+    one = np.zeros((n, SIZE), np.float32)
     for k in range(len(WINDOW)):
-        one[context[:, k], np.arange(n)] = 1
-        grads[0][k] = one @ back
-        one[context[:, k], np.arange(n)] = 0
+        one[np.arange(n), context[:, k]] = 1
+        grads[0][k] = one.T @ back
+        one[np.arange(n), context[:, k]] = 0
     for value, square, grad in zip(net, seen, grads):
         square += grad * grad
         value -= RATE * grad / (np.sqrt(square) + 1e-6)
@@ -139,8 +156,7 @@ def log_likelihood(net: Network, ids: np.ndarray) -> float:
     total = 0.0
     for at in range(0, len(ids), BATCH):
         places = np.arange(at, min(at + BATCH, len(ids)))
-        _, logp = forward(net, contexts(ids, places))
-        total += float(logp[np.arange(len(places)), ids[places]].astype(np.float64).sum())
+        total += float(target_log(net, contexts(ids, places), ids[places]).astype(np.float64).sum())
     return total
 
 
@@ -176,8 +192,8 @@ def vocabulary(texts: DataFrame, frequent: int = FREQUENT) -> np.ndarray:
 
 
 def tokenised(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """doc_id, ids (a byte per word), hashes (8 bytes per word that shares its
-    symbol) and at, a number of the row that grows by one inside a task."""
+    """doc_id, ids (a byte per word), hashes (``KEPT`` bytes per word that shares
+    its symbol) and at, a number of the row that grows by one inside a task."""
     order = np.argsort(words)
     known, number = words[order], (order + 1).astype(np.uint8)
 
@@ -192,7 +208,8 @@ def tokenised(texts: DataFrame, words: np.ndarray) -> DataFrame:
                     hit = known[at] == signed
                     ids[hit] = number[at[hit]]
                 out.append(ids.tobytes())
-                rest.append(hashes[ids > FREQUENT].tobytes())
+                quotient = hashes[ids > FREQUENT] // np.uint64(RARE)
+                rest.append(quotient.view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(rest, pa.binary())], ["doc_id", "ids", "hashes"])
 
     rows = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, hashes binary")
@@ -246,7 +263,11 @@ def log_shares(key: np.ndarray, near: tuple[np.ndarray, np.ndarray], pairs: np.n
     prior = PRIOR * n[word] / pairs[0].sum(axis=0)[kind]
     share = np.zeros(len(key))
     for side, symbol in zip(pairs, near):
-        _, pair, m = np.unique(word * SIZE + symbol, return_inverse=True, return_counts=True)
+        pair = word * SIZE + symbol
+        if len(n) * SIZE <= BINS:
+            m = np.bincount(pair, minlength=1)
+        else:
+            _, pair, m = np.unique(pair, return_inverse=True, return_counts=True)
         share += (m[pair] + prior) / (side[symbol, kind] + PRIOR) / 2
     return np.log(share)
 
@@ -268,7 +289,9 @@ def word_scores(tokens: DataFrame, least: int = SHARDS) -> DataFrame:
                     continue
                 batch = whole.slice(first, end - first)
                 row, symbol, left, right = shared_places(batch.column(1).to_pylist())
-                hashes = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64) // np.uint64(RARE)
+                hashes = np.zeros((len(row), 8), np.uint8)
+                hashes[:, :KEPT] = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, KEPT)
+                hashes = hashes.view("<u8")[:, 0]
                 shard = (hashes % np.uint64(shards)).astype(np.int32)
                 key = hashes // np.uint64(shards) % np.uint64(REST) * np.uint64(RARE) + (symbol - np.uint8(1 + FREQUENT))
                 offset = (numbers[first:end] - numbers[first]).astype("<u2")
