@@ -17,6 +17,9 @@ from ordertide.llm import (
     op8_token_counts,
     op9_near_dedup,
     op10_lm_scoring,
+    op11_filter_audit,
+    op12_substring_dedup,
+    op13_merkle,
 )
 
 QUERIES = {
@@ -30,9 +33,15 @@ QUERIES = {
     "op8_token_counts": op8_token_counts.op8_token_counts,
     "op9_near_dedup": op9_near_dedup.op9_near_dedup,
     "op10_lm_scoring": op10_lm_scoring.op10_lm_scoring,
+    "op11_filter_audit": op11_filter_audit.op11_filter_audit,
+    "op12_substring_dedup": op12_substring_dedup.op12_substring_dedup,
+    "op13_merkle": op13_merkle.op13_merkle,
 }
 
 ORACLE_SQL = {
     "op1_mixing": op1_mixing.ORACLE,
     "op3_exact_dedup": op3_exact_dedup.ORACLE,
+    "op11_filter_audit": op11_filter_audit.ORACLE,
+    "op12_substring_dedup": op12_substring_dedup.ORACLE,
+    "op13_merkle": op13_merkle.ORACLE,
 }
