@@ -42,7 +42,6 @@ other columns are left out.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -58,8 +57,8 @@ from ordertide.llm import words as W
 WIDTH = 13  # words of a window
 MINIMISER = 3  # words of a minimiser
 RUN = 48  # windows of a super-k-mer at most: a verdict is one bit each
-BUCKET_BYTES = 16 << 20  # text bytes a bucket stands for
-CHUNK_BYTES = 16 << 20  # text bytes a task packs at a time
+BUCKET_BYTES = 8 << 20  # text bytes a bucket stands for
+CHUNK_BYTES = 8 << 20  # text bytes a task packs at a time
 SLOT_BITS = 22  # hashed slots in which 3-word sequences are counted
 HEAVY = 4  # a share of so many buckets makes a slot frequent
 
@@ -169,12 +168,21 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(bucket[at[0]]), at
 
 
+def _squeeze(data: bytes) -> bytes:
+    """``data`` compressed, after its length."""
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(data, asbytes=True)
+
+
+def _expand(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+
+
 def _pack(values: np.ndarray, kind: type) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values, kind).tobytes(), 1)
+    return _squeeze(np.ascontiguousarray(values, kind).tobytes())
 
 
 def _unpack(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), kind)
+    return np.frombuffer(_expand(data), kind)
 
 
 def _steps(values: np.ndarray) -> np.ndarray:
@@ -216,27 +224,35 @@ def frequent_slots(texts: DataFrame, buckets: int) -> np.ndarray:
 STRINGS = "bucket int, strings binary, least binary, most binary, copies binary"
 
 
+def _distinct(strings: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct strings and, for each string, its number among them."""
+    found = pa.array(strings, pa.binary()).dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy()
+
+
+def _extremes(number: np.ndarray, n: int, least: np.ndarray, most: np.ndarray | None = None, copies: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Per number below ``n`` the least, the greatest and the added copies."""
+    order = np.argsort(number, kind="stable")
+    heads = np.searchsorted(number[order], np.arange(n))
+    lo = np.minimum.reduceat(least[order], heads)
+    hi = np.maximum.reduceat((least if most is None else most)[order], heads)
+    return lo, hi, np.bincount(number, minlength=n) if copies is None else np.add.reduceat(copies[order], heads)
+
+
 def _send_strings(frequent: np.ndarray, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _chunks(batches, ("doc_id", "text")):
             b = Batch(texts, frequent, buckets)
-            doc_ids = np.array(ids, np.int64)[b.doc].tolist()
+            doc_ids = np.array(ids, np.int64)[b.doc]
             out: dict[str, list] = {c.split()[0]: [] for c in STRINGS.split(", ")}
             for bucket, at in _by_bucket(b.bucket):
-                held: dict[bytes, list[int]] = {}
-                for k in at.tolist():
-                    doc = doc_ids[k]
-                    got = held.get(b.strings[k])
-                    if got is None:
-                        held[b.strings[k]] = [doc, doc, 1]
-                    else:
-                        got[0], got[1], got[2] = min(got[0], doc), max(got[1], doc), got[2] + 1
-                rows = np.array(list(held.values()), np.int64)
+                held, number = _distinct([b.strings[k] for k in at.tolist()])
+                least, most, copies = _extremes(number, len(held), doc_ids[at])
                 out["bucket"].append(bucket)
-                out["strings"].append(zlib.compress(b"\n".join(held), 2))
-                out["least"].append(_pack(_steps(rows[:, 0]), np.int64))
-                out["most"].append(_pack(rows[:, 1] - rows[:, 0], np.int64))
-                out["copies"].append(_pack(rows[:, 2], np.int64))
+                out["strings"].append(_squeeze(b"\n".join(held)))
+                out["least"].append(_pack(_steps(least), np.int64))
+                out["most"].append(_pack(most - least, np.int64))
+                out["copies"].append(_pack(copies, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["bucket"], pa.int32())] + [pa.array(out[c], pa.binary()) for c in ("strings", "least", "most", "copies")], names=list(out)
             )
@@ -286,20 +302,16 @@ VERDICTS = "bucket int, places long, strings binary, first binary, windows binar
 
 
 def _judge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[bytes, list[int]] = {}
+    sent: list[bytes] = []
+    numbers: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
-        for packed, *numbers in zip(*(batch.column(c).to_pylist() for c in ("strings", "least", "most", "copies"))):
-            least, most, copies = (_unpack(x, np.int64) for x in numbers)
-            least = np.cumsum(least)
-            for s, a, b, n in zip(zlib.decompress(packed).split(b"\n"), least.tolist(), (least + most).tolist(), copies.tolist()):
-                got = held.get(s)
-                if got is None:
-                    held[s] = [a, b, n]
-                else:
-                    got[0], got[1], got[2] = min(got[0], a), max(got[1], b), got[2] + n
-    strings = list(held)
-    least, most, copies = np.array(list(held.values()), np.int64).T
-    del held
+        for packed, *packs in zip(*(batch.column(c).to_pylist() for c in ("strings", "least", "most", "copies"))):
+            least, above, copies = (_unpack(x, np.int64) for x in packs)
+            sent += _expand(packed).split(b"\n")
+            numbers.append((np.cumsum(least), np.cumsum(least) + above, copies))
+    strings, number = _distinct(sent)
+    del sent
+    least, most, copies = _extremes(number, len(strings), *(np.concatenate(c) for c in zip(*numbers)))
     string, firsts = window_firsts(strings, least)
     start = np.searchsorted(string, np.arange(len(strings)))
     bit = np.where(firsts < least[string], _U(1) << (np.arange(len(string)) - start[string]).astype(_U), _U(0))
@@ -395,11 +407,9 @@ RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 def removed_words(n: int, place: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Flags of the words that the marked windows cover."""
-    edge = np.zeros(n + 1, np.int64)
-    for b in range(RUN):
-        at = place[(bits >> b) & 1 == 1] + b
-        np.add.at(edge, at, 1)
-        np.add.at(edge, at + WIDTH, -1)
+    run, b = np.nonzero(np.unpackbits(bits.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    at = place[run] + b
+    edge = np.bincount(at, minlength=n + 1) - np.bincount(at + WIDTH, minlength=n + 1)
     return np.cumsum(edge[:n]) > 0
 
 
