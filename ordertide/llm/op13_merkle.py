@@ -18,7 +18,8 @@ remains; the subroots, by lang, are hashed up to the root the same way.
   the segments, reversed, are the proof and fold the leaf back to the root.
 
 What reaches the driver: the greatest number of leaves under a lang and the
-number of langs (two longs, they give the number of levels).
+number of langs (two longs, they give the number of levels).  The langs'
+numbers are broadcast only when there are at most ``BROADCAST_LANGS``.
 
 Defined results: a null lang is a lang of its own, first; a null doc_id comes
 first in its lang and is never tampered with; rows with one doc_id are ordered
@@ -38,6 +39,7 @@ from ordertide.llm import common as C
 FANOUT = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_EVERY = 3
+BROADCAST_LANGS = 10_000  # more langs than this are joined, not broadcast
 
 
 def digest(text: Column) -> Column:
@@ -75,41 +77,44 @@ def height(n: int) -> int:
 
 
 def build_levels(nodes: DataFrame, most: int, folder: str) -> DataFrame:
-    """Hash ``nodes`` (tree, at, node) up to one node a tree.
+    """Hash ``nodes`` (tree, at, node, size of the tree) up to one a tree.
 
-    Writes each level's records (tree, level, at, node, children) under
+    Writes each level's records (tree, at, node, children, size) under
     ``folder`` and returns every tree's top: (tree, node, level).  ``most`` is
     the greatest number of nodes a tree has.
     """
     spark = nodes.sparkSession
-    tops = []
-    for level in range(1, height(most) + 1):
-        # A tree whose nodes are one already is at its top.
-        sized = nodes.groupBy("tree").agg(F.max("at").alias("last"))
-        tops.append(nodes.join(sized.filter("last = 0").select("tree"), "tree").select("tree", "node", F.lit(level - 1).alias("level")))
-        growing = nodes.join(sized.filter("last > 0").select("tree"), "tree")
-        run = growing.groupBy("tree", F.expr(f"at div {FANOUT}").alias("up")).agg(
-            F.array_sort(F.collect_list(F.struct("at", "node"))).alias("run")
+    tops = None
+    for level in range(height(most) + 1):
+        top = nodes.filter("size = 1").select("tree", "node", F.lit(level).alias("level"))
+        tops = top if tops is None else tops.unionByName(top)
+        if level == height(most):
+            return tops
+        run = nodes.filter("size > 1").groupBy("tree", F.expr(f"at div {FANOUT}").alias("up")).agg(
+            F.array_sort(F.collect_list(F.struct("at", "node"))).alias("run"), F.first("size").alias("size")
         )
         children = F.col("run")["node"]
-        records = run.select("tree", F.col("up").alias("at"), digest(F.array_join(children, "")).alias("node"), children.alias("children"))
-        records.write.parquet(f"{folder}/level={level}")
-        nodes = spark.read.parquet(f"{folder}/level={level}").select("tree", "at", "node")
-    tops.append(nodes.select("tree", "node", F.lit(height(most)).alias("level")))
-    out = tops[0]
-    for top in tops[1:]:
-        out = out.unionByName(top)
-    return out
+        records = run.select(
+            "tree",
+            F.col("up").alias("at"),
+            digest(F.array_join(children, "")).alias("node"),
+            children.alias("children"),
+            F.expr(f"(size + {FANOUT - 1}) div {FANOUT}").alias("size"),
+        )
+        records.write.parquet(f"{folder}/level={level + 1}")
+        nodes = spark.read.parquet(f"{folder}/level={level + 1}").select("tree", "at", "node", "size")
 
 
 def descend(requests: DataFrame, folder: str, level: int) -> DataFrame:
-    """One step down for requests (tree, at, node, path) standing at ``level``:
-    a row per child of theirs, the unselected children put before the path."""
+    """One step down for requests (tree, at, node, path, *tops) standing at
+    ``level``: a row per child, the unselected children put before the path."""
     records = requests.sparkSession.read.parquet(f"{folder}/level={level}").select("node", "children").distinct()
+    tops = [c for c in ("subroot", "root") if c in requests.columns]
     found = requests.join(records, "node")
-    one = found.select("tree", "at", "path", "children", F.posexplode("children").alias("digit", "child"))
+    one = found.select("tree", "at", "path", *tops, "children", F.posexplode("children").alias("digit", "child"))
     return one.select(
         "tree",
+        *tops,
         (F.col("at") * FANOUT + F.col("digit")).alias("at"),
         F.col("child").alias("node"),
         F.concat(F.array(segment(F.col("children"), F.col("digit"))), F.col("path")).alias("path"),
@@ -148,54 +153,56 @@ def manifest(docs: DataFrame) -> DataFrame:
     )
     sizes = numbered.agg(F.count(F.lit(1)).alias("trees"), F.max("size").alias("most")).first()
     trees, most = sizes["trees"], sizes["most"] or 0
-    names = numbered.select(F.col("lang").alias("_lang"), "tree")
+    names = numbered.select(F.col("lang").alias("_lang"), "tree", "size")
+    if trees <= BROADCAST_LANGS:
+        names = F.broadcast(names)
     at = (F.col("rank") - 1).alias("at")
-    placed = placed.join(names, F.col("lang").eqNullSafe(F.col("_lang"))).select("tree", at, "doc_id", "leaf", "given")
+    placed = placed.join(names, F.col("lang").eqNullSafe(F.col("_lang"))).select("tree", "size", at, "doc_id", "leaf", "given")
     placed.write.parquet(f"{folder}/placed")
     placed = spark.read.parquet(f"{folder}/placed")
 
-    subroots = C.cut(build_levels(placed.select("tree", "at", F.col("leaf").alias("node")), most, f"{folder}/lang"))
-    upper = subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("at"), "node")
-    root = C.cut(build_levels(upper, trees, f"{folder}/top")).select("tree", "node")
+    subroots = C.cut(build_levels(placed.select("tree", "at", F.col("leaf").alias("node"), "size"), most, f"{folder}/lang"))
+    nothing = F.lit(0).cast("long")
+    upper = subroots.select(nothing.alias("tree"), F.col("tree").alias("at"), "node", F.lit(trees).cast("long").alias("size"))
+    root = C.cut(build_levels(upper, trees, f"{folder}/top"))
 
     # Down the top tree: a request per subtree, from the root to the subroots.
     no_path = F.array().cast("array<struct<left:string,right:string>>")
-    here = root.select("tree", F.lit(0).cast("long").alias("at"), "node", no_path.alias("path"))
+    here = root.select("tree", nothing.alias("at"), "node", no_path.alias("path"), F.col("node").alias("root"))
     for level in range(height(trees), 0, -1):
         here = descend(here, f"{folder}/top", level)
-    starts = here.select(F.col("at").alias("tree"), F.col("node").alias("subroot"), "path")
-    starts = C.cut(starts.join(subroots.select("tree", "level"), "tree"))
-    at_top = starts.select("tree", F.lit(0).cast("long").alias("at"), F.col("subroot").alias("node"), "path", "level")
+    starts = here.select(F.col("at").alias("tree"), F.col("node").alias("subroot"), "path", "root")
+    at_top = C.cut(starts.join(subroots.select("tree", "level"), "tree")).select(
+        "tree", nothing.alias("at"), F.col("subroot").alias("node"), "path", "subroot", "root", "level"
+    )
 
     # Down every lang's tree; a lang joins in at its own height.  The last
     # step, from the leaves' parents, is taken by the leaf requests themselves.
+    lone = placed.filter("size = 1").select("tree", "doc_id", "given").join(at_top.filter("level = 0").withColumnRenamed("node", "leaf"), "tree")
+    found = lone.select("doc_id", "given", "leaf", "path", "subroot", "root")
     here = None
     for level in range(height(most), 0, -1):
         joining = at_top.filter(F.col("level") == level).drop("level")
         here = joining if here is None else here.unionByName(joining)
         if level > 1:
             here = descend(here, f"{folder}/lang", level)
-    asked = F.struct((F.col("at") % FANOUT).cast("int").alias("digit"), "doc_id", "given")
-    lone = placed.join(at_top.filter("level = 0").drop("at", "level"), "tree").select("tree", "doc_id", "given", F.col("node").alias("leaf"), "path")
-    found = lone
     if here is not None:
         records = spark.read.parquet(f"{folder}/lang/level=1").select("node", "children").distinct()
-        parents = here.join(records, "node").select("tree", F.col("at").alias("parent"), "path", "children")
-        requests = placed.groupBy("tree", F.expr(f"at div {FANOUT}").alias("parent")).agg(F.collect_list(asked).alias("asked"))
-        each = parents.join(requests, ["tree", "parent"]).select("tree", "path", "children", F.explode("asked").alias("r"))
+        parents = here.join(records, "node").withColumnRenamed("at", "parent")
+        asked = F.struct((F.col("at") % FANOUT).cast("int").alias("digit"), "doc_id", "given")
+        requests = placed.filter("size > 1").groupBy("tree", F.expr(f"at div {FANOUT}").alias("parent")).agg(F.collect_list(asked).alias("asked"))
+        each = parents.join(requests, ["tree", "parent"]).select("path", "children", "subroot", "root", F.explode("asked").alias("r"))
         digit = F.col("r.digit")
         below = each.select(
-            "tree",
             "r.doc_id",
             "r.given",
             F.get("children", digit).alias("leaf"),
             F.concat(F.array(segment(F.col("children"), digit)), F.col("path")).alias("path"),
+            "subroot",
+            "root",
         )
-        found = below.unionByName(lone)
-    top = root.select(F.col("node").alias("root"))
-    # The one root is put beside the langs' subroots through a constant key.
-    tops = starts.select("tree", "subroot", F.lit(0).alias("k")).join(top.withColumn("k", F.lit(0)), "k").drop("k")
-    out = found.join(tops, "tree").withColumn("folded_root", fold(F.col("given"), F.col("path")))
+        found = below.unionByName(found)
+    out = found.withColumn("folded_root", fold(F.col("given"), F.col("path")))
     return out.select(
         "doc_id",
         "leaf",
