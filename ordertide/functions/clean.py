@@ -88,11 +88,20 @@ def ssn_to_long(c: str | Column) -> Column:
     return try_cast(F.translate(_col(c), "-", ""), "bigint")
 
 
+GREATEST_LONG = "9223372036854775807"
+
+
 @F.pandas_udf(T.LongType())
 def _plain_number(texts: pd.Series) -> pd.Series:
-    """Digits of hyphenated numbers as integers; anything else is missing."""
-    plain = texts.str.translate({ord("-"): None})
-    return pd.Series([int(t) if isinstance(t, str) and t.isdecimal() else None for t in plain], dtype="Int64")
+    """Digits of hyphenated numbers as 64-bit integers, a batch at a time;
+    anything else, and a number too great for 64 bits, is missing."""
+    digits = texts.str.replace("-", "", regex=False).str.extract(r"^ *\+?0*([0-9]{1,19}) *$", expand=False)
+    # Two numbers of 19 digits compare like their texts.
+    fits = digits.notna() & ((digits.str.len() < len(GREATEST_LONG)) | (digits <= GREATEST_LONG))
+    out = pd.Series(pd.NA, index=texts.index, dtype="Int64")
+    if fits.any():
+        out[fits] = digits[fits].to_numpy(dtype="U19").astype("int64")
+    return out
 
 
 def ssn_to_long_in_pandas(c: str | Column) -> Column:

@@ -88,10 +88,12 @@ class VersionedTable:
         return self._known
 
     def commit_counts(self) -> DataFrame:
-        """Rows of every commit that has any, counted in the data."""
-        if self.schema() is None:
+        """Rows of every recorded commit that has any, counted in the data."""
+        recorded = [r["commit_id"] for r in self._commits().values() if r["commit_id"]]
+        if not recorded:
             return self.spark.createDataFrame([], "commit_id string, rows bigint")
-        return self._data().groupBy(F.col(COMMIT_COL).alias("commit_id")).agg(F.count(F.lit(1)).alias("rows"))
+        rows = self._data().filter(F.col(COMMIT_COL).isin(recorded))
+        return rows.groupBy(F.col(COMMIT_COL).alias("commit_id")).agg(F.count(F.lit(1)).alias("rows"))
 
     def history(self) -> DataFrame:
         """All commits with their rows, newest first."""
@@ -123,14 +125,16 @@ class VersionedTable:
     def _data(self) -> DataFrame:
         # The stored schema spares a footer scan.
         stored = T.StructType(self.schema().fields + [T.StructField(COMMIT_COL, T.StringType())])
+        if not fs.exists(self.spark, self.data_path):  # no commit had a row yet
+            return self.spark.createDataFrame([], stored)
         return self.spark.read.schema(stored).parquet(self.data_path)
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of the table as of ``version`` (latest by default)."""
         live = self.live_commits(version)
-        schema = self.schema()
-        if schema is None:
+        if not self._commits():
             raise ValueError(f"{self.name}: table has no commits")
+        schema = self.schema()
         # A partition filter: folders of other commits are not read.
         return self._data().filter(F.col(COMMIT_COL).isin(live)).select(*schema.names)
 
@@ -157,10 +161,8 @@ class VersionedTable:
         commit_id = commit_id or f"c-{uuid.uuid4().hex[:16]}"
         if not _COMMIT_ID.fullmatch(commit_id):
             raise ValueError(f"commit id {commit_id!r}: use letters, digits, '-' and '_' only")
-        if self.schema() is None:
-            fs.write_text(self.spark, self.schema_path, json.dumps(df.schema.jsonValue()))
-            self._schema = df.schema
-        else:
+        first = self.schema() is None
+        if not first:
             df = df.select(*self.schema().names)
         out = df.withColumn(COMMIT_COL, F.lit(commit_id))
         if self.partition_by:
@@ -175,6 +177,10 @@ class VersionedTable:
             .partitionBy(COMMIT_COL, *self.partition_by)
             .parquet(self.data_path)
         )
+        # After the data: who finds the schema, or the commit, finds the rows.
+        if first:
+            fs.write_text(self.spark, self.schema_path, json.dumps(df.schema.jsonValue()))
+            self._schema = df.schema
         for version, row in self._commits().items():
             if row["commit_id"] == commit_id:
                 return version

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide.plans.jobs import run_concurrently
-from ordertide.schemas import FIXED_WIDTH_LAYOUT, RAW_ORDER_COLUMNS
+from ordertide.schemas import COMMA_SEPARATED_HEADER, FIXED_WIDTH_LAYOUT, RAW_ORDER_COLUMNS, camel  # noqa: F401
 
 # Order year -> file route.  Years after the last batch route
 # arrive as streamed JSON documents.
@@ -41,13 +41,6 @@ BATCH_ROUTES = [name for name, _ in ROUTES]
 # o_orderkey % 7: 0 -> blank, 1 -> literal "null", 2 -> padded with spaces.
 DIRTY_MODULUS = 7
 
-# Header of the comma-separated file: names differ from the target schema and
-# are replaced by position when read.
-def camel(name: str) -> str:
-    head, *rest = name.split("_")
-    return head + "".join(w.capitalize() for w in rest)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -267,7 +260,7 @@ def write_fixtures(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str
 
     def comma_separated() -> None:
         rows("comma_separated").select(
-            [F.col(c).alias(camel(c)) for c in RAW_ORDER_COLUMNS]
+            [F.col(c).alias(h) for c, h in zip(RAW_ORDER_COLUMNS, COMMA_SEPARATED_HEADER)]
         ).write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(paths["comma_separated"])

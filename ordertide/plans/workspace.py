@@ -40,10 +40,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _code_version() -> str:
-    """Hash of the package sources: a changed pipeline never reuses a build."""
+    """Hash of the order pipeline's sources: a changed pipeline never reuses a
+    build (the training-data operators don't take part in one)."""
     pkg = pathlib.Path(__file__).resolve().parents[1]
     h = hashlib.sha1()
-    for f in sorted(pkg.rglob("*.py")):
+    for f in sorted(f for f in pkg.rglob("*.py") if "llm" not in f.relative_to(pkg).parts):
         h.update(f.relative_to(pkg).as_posix().encode())
         h.update(f.read_bytes())
     return h.hexdigest()[:12]
@@ -120,7 +121,7 @@ class Workspace:
             # The raw appends go to one path, so they stay in order; the three
             # tables built from them are then submitted side by side (each
             # scan reads only its columns).
-            ingest.write_raw_batches(spark, paths, f"{d}/raw_batched")
+            ingest.write_raw_batches(spark, paths, f"{d}/raw_batched", f"{d}/raw_rejects")
             raw = spark.read.parquet(f"{d}/raw_batched")
             run_concurrently(
                 lambda: normalize.sales_reps(raw).write.mode("overwrite").parquet(f"{d}/sales_reps"),
@@ -175,6 +176,7 @@ class Workspace:
             self.line_items_table(),
             checkpoint_root=f"{self.tables_dir()}/checkpoints",
             max_files_per_trigger=max_files_per_trigger,
+            rejects=self._versioned("stream_rejects", []),
         )
 
     def streamed(self) -> str:

@@ -29,6 +29,16 @@ FIXED_WIDTH_LAYOUT: list[tuple[str, int, int]] = [
 ]
 
 RAW_ORDER_COLUMNS: list[str] = [name for name, _, _ in FIXED_WIDTH_LAYOUT]
+
+
+def camel(name: str) -> str:
+    head, *rest = name.split("_")
+    return head + "".join(w.capitalize() for w in rest)
+
+
+# Header of the comma-separated files: its names differ from the target's and
+# are replaced by position.
+COMMA_SEPARATED_HEADER: list[str] = [camel(name) for name in RAW_ORDER_COLUMNS]
 LINEAGE_COLUMNS = ["ingest_file_name", "ingested_at"]
 
 RAW_BATCH_SCHEMA = T.StructType(
@@ -189,3 +199,12 @@ ORDERS_JSON_SCHEMA = T.StructType(
         T.StructField("shippingAddress", STREAM_ADDRESS_SCHEMA),
     ]
 )
+
+# What a reader could not read: the file, when it was read, the record's text.
+REJECTS_SCHEMA = T.StructType(
+    [
+        T.StructField("ingest_file_name", T.StringType()),
+        T.StructField("ingested_at", T.TimestampType()),
+        T.StructField("text", T.StringType()),
+    ]
+)

@@ -5,3 +5,4 @@ from ordertide.streaming.orders import (  # noqa: F401
     explode_line_items,
     flatten_orders,
 )
+from ordertide.streaming.progress import ProgressLog, trigger_check  # noqa: F401

@@ -4,7 +4,9 @@ One streaming query reads each document once and feeds both tables from the
 same micro-batch (``foreachBatch``): the batch is persisted, flattened into
 orders rows and exploded into line-item rows, and each is committed to its
 versioned table with the commit id ``<query>-g<generation>-b<batchId>``.  A
-replayed batch id rewrites only its own partition (exactly-once); the
+replayed batch id rewrites only its own partition (exactly-once).  Records that
+can't be read never become rows: with a ``rejects`` table they are committed
+there, file and text, by the same micro-batch.  The
 checkpoint lives under ``checkpoints/<query>/g<generation>`` and a restore of
 either table raises the generation, so restored tables are streamed again from
 the start instead of being silently skipped.  The two tables are a pair: a new
@@ -14,10 +16,16 @@ documents would be loaded twice or missed, and the start is refused.
 ``toTable`` into a Parquet table that already holds batch rows would hide
 those rows behind the sink's ``_spark_metadata`` log; writing through the
 versioned commit avoids that.
+
+A run is driven by the trigger: ``run_available`` takes what is there and ends,
+``run_drained`` fires at fixed intervals, throttled or not, until the source's
+offsets are drained.  A :class:`~ordertide.streaming.progress.ProgressLog` keeps
+a row per trigger of either.
 """
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,8 +35,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ordertide.functions.clean import month_key, try_cast, with_lineage
 from ordertide.operators.versioned import VersionedTable
 from ordertide.plans.jobs import run_concurrently
-from ordertide.schemas import LINE_ITEMS_SCHEMA, ORDERS_JSON_SCHEMA, ORDERS_SCHEMA
-from ordertide.sources.files import stream_orders_json
+from ordertide.schemas import LINE_ITEMS_SCHEMA, ORDERS_JSON_SCHEMA, ORDERS_SCHEMA, REJECTS_SCHEMA
+from ordertide.sources.files import CORRUPT, accepted, rejected, stream_orders_json
+from ordertide.streaming.progress import ProgressLog
 
 
 def flatten_orders(docs: DataFrame) -> DataFrame:
@@ -87,6 +96,8 @@ class OrderStream:
     query_name: str = "orders_stream"
     max_files_per_trigger: int | None = None
     coalesce_to: int | None = None
+    rejects: VersionedTable | None = None
+    progress: ProgressLog | None = None
 
     def generation(self) -> int:
         return self.orders.restore_count() + self.line_items.restore_count()
@@ -113,23 +124,29 @@ class OrderStream:
         commit_id = f"{self.commit_prefix()}{batch_id}"
         batch = batch.persist()
         try:
-            orders_rows = flatten_orders(batch)
-            item_rows = explode_line_items(batch)
+            docs = accepted(batch) if CORRUPT in batch.columns else batch
+            orders_rows = flatten_orders(docs)
+            item_rows = explode_line_items(docs)
             if self.coalesce_to:
                 orders_rows = orders_rows.coalesce(self.coalesce_to)
                 item_rows = item_rows.coalesce(self.coalesce_to)
-            # Both tables from the same cached batch, committed side by side.
-            run_concurrently(
+            # The tables from the same cached batch, committed side by side.
+            writes = [
                 lambda: self.orders.append_conforming(orders_rows, commit_id),
                 lambda: self.line_items.append_conforming(item_rows, commit_id),
-            )
+            ]
+            if self.rejects is not None and CORRUPT in batch.columns:
+                bad = rejected(batch).select(REJECTS_SCHEMA.names)
+                writes.append(lambda: self.rejects.append_conforming(bad, commit_id))
+            run_concurrently(*writes)
         finally:
             batch.unpersist()
 
     def start(self, available_now: bool = True, processing_time: str = "1 second") -> StreamingQuery:
         self._check_pair()
+        keep = self.rejects is not None
         stream = with_lineage(
-            stream_orders_json(self.spark, self.source_path, ORDERS_JSON_SCHEMA, self.max_files_per_trigger)
+            stream_orders_json(self.spark, self.source_path, ORDERS_JSON_SCHEMA, self.max_files_per_trigger, keep)
         )
         writer = (
             stream.writeStream.queryName(self.query_name)
@@ -137,8 +154,41 @@ class OrderStream:
             .foreachBatch(self._process)
         )
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+        if self.progress is not None:
+            self.progress.listen()
         return writer.start()
 
+    def _ended(self, query: StreamingQuery) -> None:
+        """Stop the query and wait for its last event."""
+        if query.isActive:
+            query.stop()
+        if self.progress is not None:
+            self.progress.wait_for(str(query.runId))
+
+    def run_drained(self, interval: str = "1 second", timeout_s: float | None = None) -> StreamingQuery:
+        """Fire at fixed intervals until every file present is processed, then
+        stop.  With ``timeout_s`` a run that takes longer is stopped and
+        raises; its finished batches stay."""
+        query = self.start(available_now=False, processing_time=interval)
+        late = threading.Event()
+
+        def give_up() -> None:
+            late.set()
+            query.stop()
+
+        alarm = threading.Timer(timeout_s, give_up) if timeout_s is not None else None
+        try:
+            if alarm is not None:
+                alarm.start()
+            query.processAllAvailable()
+            if late.is_set():
+                raise StreamTimeout(f"{self.query_name}: not drained after {timeout_s} s")
+        finally:
+            if alarm is not None:
+                alarm.cancel()
+            self._ended(query)
+        return query
+
     def run_available(self, timeout_s: float | None = None) -> StreamingQuery:
         """Process everything present now, then stop (tests, scheduled runs).
 
@@ -153,8 +203,7 @@ class OrderStream:
             if timeout_s is not None and not ended:
                 raise StreamTimeout(f"{self.query_name}: not finished after {timeout_s} s")
         finally:
-            if query.isActive:
-                query.stop()
+            self._ended(query)
         return query
 
     def batch_commits(self) -> DataFrame:
