@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ordertide.operators.versioned import schema_differences
+from ordertide.session import shared_dir
 
 RESULT_SCHEMA = "suite string, check_id string, status string, violations bigint, total bigint"
 
@@ -82,6 +83,13 @@ def cast_failures(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     )
 
 
+def date_violations(df: DataFrame, time: str, day: str, by: Column) -> DataFrame:
+    """Rows per source whose ``time`` is missing or not on ``day``:
+    ``(source, total, violations)``."""
+    on_day = F.coalesce(F.to_date(time) == F.lit(day).cast("date"), F.lit(False))
+    return df.groupBy(by.alias("source")).agg(F.count(F.lit(1)).alias("total"), F.count_if(~on_day).cast("bigint").alias("violations"))
+
+
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Min and max per column in one pass (D8): ``(column_name, min, max)``."""
     wide = df.agg(*[F.struct(F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in columns])
@@ -176,6 +184,50 @@ def disorder(df: DataFrame, column: str, ascending: bool = True) -> DataFrame:
     return inside.unionByName(across).agg(F.sum("n").cast("bigint").alias("out_of_order"))
 
 
+def numbered(df: DataFrame, position: str = "position") -> DataFrame:
+    """An ordered result plus every row's 0-based place in it.
+
+    Sorted rows lie in range-dealt runs, one per task: a row's place is its
+    place in its run plus the rows of the runs before, so no window gathers
+    the result.  The rows are cut once, which fixes the runs.
+    """
+    shared_dir(df.sparkSession)
+    rows = df.withColumn("_at", F.monotonically_increasing_id()).checkpoint(eager=True)
+    run = F.shiftrightunsigned("_at", 33)
+    before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per task.
+    runs = rows.groupBy(run.alias("_run")).agg(F.count(F.lit(1)).alias("_rows"))
+    runs = runs.select("_run", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(runs, run == F.col("_run")).select(place.alias(position), *df.columns)
+
+
+def position_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Places at which two ordered results differ (D12): ``(position, left,
+    right)``, the rows as structs, NULL past the end of a result."""
+    cols = left.columns
+    if cols != right.columns:
+        raise ValueError(f"columns differ: {cols} vs {right.columns}")
+    a, b = (numbered(df).select("position", F.struct(*cols).alias(side)) for df, side in ((left, "left"), (right, "right")))
+    return a.join(b, "position", "full").filter(~F.col("left").eqNullSafe(F.col("right")))
+
+
+def first_and_last(df: DataFrame) -> DataFrame:
+    """The first and the last row of an ordered result, with their places."""
+    rows = numbered(df)
+    last = rows.agg(F.max("position").alias("_last"))
+    ends = last.select(F.explode(F.array_distinct(F.array(F.lit(0).cast("bigint"), "_last"))).alias("position"))
+    return rows.join(ends, "position")
+
+
+def range_check(ranges: DataFrame, expected: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Min and max of every column against the expected ones, exactly."""
+    spark = ranges.sparkSession
+    want = spark.createDataFrame([(c, lo, hi) for c, (lo, hi) in expected.items()], "column_name string, expected_min double, expected_max double")
+    same = F.col("min").eqNullSafe(F.col("expected_min")) & F.col("max").eqNullSafe(F.col("expected_max"))
+    return ranges.join(want, "column_name", "full").withColumn("ok", same)
+
+
 def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs between two DataFrames.
 

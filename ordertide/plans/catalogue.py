@@ -18,7 +18,7 @@ from ordertide.functions.clean import clean_all, epoch_to_timestamp, ssn_to_long
 from ordertide import fs
 from ordertide.operators import quality as dq
 from ordertide.operators.versioned import SchemaMismatch, VersionedTable
-from ordertide.plans import defects, gate, ingest, normalize, questions
+from ordertide.plans import broken, defects, gate, ingest, managed, normalize, questions, questions_sql, timed
 from ordertide.plans.fixtures import ROUTES, STREAM_ROUTE
 from ordertide.plans.gate import EXPECTED_LENGTHS, EXPECTED_MONTHS, source_of
 from ordertide.plans.workspace import Workspace
@@ -479,11 +479,7 @@ def dq_ingest_today(spark, sf_dir):
     """Every row was ingested on the day its build ran."""
     w = ws(spark, sf_dir)
     built_on = w.built_on()
-    raw = w.raw_batched()
-    return raw.groupBy(source_of("ingest_file_name").alias("source")).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.to_date("ingested_at") != F.lit(built_on).cast("date")).cast("bigint").alias("violations"),
-    )
+    return dq.date_violations(w.raw_batched(), "ingested_at", built_on, source_of("ingest_file_name"))
 
 
 def dq_non_null(spark, sf_dir):
@@ -671,6 +667,94 @@ def dq_final_gate_defects(spark, sf_dir):
     return dq.final_gate(_defect_rows(spark, sf_dir), gate.STAGES)
 
 
+def dq_ingest_today_defects(spark, sf_dir):
+    w = ws(spark, sf_dir)
+    return defects.ingest_dates(w.raw_batched(), w.built_on())
+
+
+def product_adj_check(spark, sf_dir):
+    """Least and greatest adjustments equal the expected ones."""
+    ranges = dq.value_range(ws(spark, sf_dir).products(), list(gate.EXPECTED_RANGES))
+    return dq.range_check(ranges, gate.EXPECTED_RANGES)
+
+
+def product_adj_check_defects(spark, sf_dir):
+    return defects.adjustments(ws(spark, sf_dir).products())
+
+
+def dq_flag_check(spark, sf_dir):
+    """Every rep's flag is that of its raw records."""
+    w = ws(spark, sf_dir)
+    return gate.flag_check(w.sales_reps(), w.raw_batched())
+
+
+def dq_flag_check_defects(spark, sf_dir):
+    w = ws(spark, sf_dir)
+    return defects.flags(w.sales_reps(), w.raw_batched())
+
+
+def dq_result_positions(spark, sf_dir):
+    """Every row of Q1 with its place in the ordered result."""
+    return dq.numbered(questions.orders_per_state(ws(spark, sf_dir).orders()))
+
+
+def dq_result_positions_defects(spark, sf_dir):
+    return defects.positions(questions.orders_per_state(ws(spark, sf_dir).orders()))
+
+
+# -- rejected records, timed stream, managed orders, SQL text ------------------------------------
+def rejected_records(spark, sf_dir):
+    """The records that the five readers could not read."""
+    return broken.rejects(ws(spark, sf_dir))
+
+
+def rejected_counts(spark, sf_dir):
+    """Accepted + rejected = lines, per source."""
+    return broken.counts(ws(spark, sf_dir))
+
+
+def stream_throttled(spark, sf_dir):
+    """A throttled, timed run, stopped when drained: its tables
+    equal the documents read at once, in files / throttle batches."""
+    return timed.throttled(ws(spark, sf_dir), _stream_docs(spark, sf_dir))
+
+
+def stream_progress(spark, sf_dir):
+    """The run's stored progress: triggers in bounds, rows as throttled."""
+    return timed.progress(ws(spark, sf_dir))
+
+
+def orders_managed_by_month(spark, sf_dir):
+    return managed.orders_by_month(spark, ws(spark, sf_dir).orders())
+
+
+def dq_months_in_catalog(spark, sf_dir):
+    return managed.months_in_catalog(spark, ws(spark, sf_dir).orders())
+
+
+def insert_by_name(spark, sf_dir):
+    return managed.inserts(spark, ws(spark, sf_dir).orders())
+
+
+def _question_tables(spark, sf_dir):
+    w = ws(spark, sf_dir)
+    return {"orders": w.orders(), "line_items": w.line_items(), "sales_reps": w.sales_reps(), "products": w.products()}
+
+
+def price_stats_sql(spark, sf_dir):
+    """Q2 by SQL text on a view on a view, its values bound to markers."""
+    with questions_sql.question_views(spark, _question_tables(spark, sf_dir), f"q{uuid.uuid4().hex[:8]}_") as prefix:
+        q = questions_sql.price_stats(spark, prefix, Q2_COLOR, Q2_STATE)
+    return q.select(*[_money(c).alias(c) for c in q.columns])
+
+
+def top_rep_by_profit_sql(spark, sf_dir):
+    """Q3 by SQL text, as above."""
+    with questions_sql.question_views(spark, _question_tables(spark, sf_dir), f"q{uuid.uuid4().hex[:8]}_") as prefix:
+        q = questions_sql.top_reps(spark, prefix, 1)
+    return q.withColumn("total_profit", _money("total_profit"))
+
+
 # -- inventory and catalog ------------------------------------------------------------------------
 def file_inventory_q(spark, sf_dir):
     """Files and bytes of every raw input, the stream checkpoint and
@@ -801,4 +885,20 @@ QUERIES = {
     "dq_final_gate": dq_final_gate,
     "file_inventory": file_inventory_q,
     "catalog_objects": catalog_objects,
+    "rejected_records": rejected_records,
+    "rejected_counts": rejected_counts,
+    "stream_throttled": stream_throttled,
+    "stream_progress": stream_progress,
+    "orders_managed_by_month": orders_managed_by_month,
+    "dq_months_in_catalog": dq_months_in_catalog,
+    "insert_by_name": insert_by_name,
+    "price_stats_sql": price_stats_sql,
+    "top_rep_by_profit_sql": top_rep_by_profit_sql,
+    "dq_ingest_today_defects": dq_ingest_today_defects,
+    "product_adj_check": product_adj_check,
+    "product_adj_check_defects": product_adj_check_defects,
+    "dq_flag_check": dq_flag_check,
+    "dq_flag_check_defects": dq_flag_check_defects,
+    "dq_result_positions": dq_result_positions,
+    "dq_result_positions_defects": dq_result_positions_defects,
 }

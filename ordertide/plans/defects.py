@@ -15,6 +15,7 @@ from ordertide.schemas import LINE_ITEMS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA,
 
 # A defect on every order whose key is 0 modulo the number.
 LONG_ZIP, WRONG_YEAR, NO_NUMBER, NO_CUSTOMER, PADDED = 11, 13, 17, 19, 23
+LATE, UNDATED, TURNED = 31, 37, 5
 WRONG_EPOCH = "1900000000"  # in 2030, ten digits
 DROPPED_MONTHS = ["1995-01", "1998-03", "2001-08"]  # first, inner and last
 
@@ -98,6 +99,50 @@ def result_differences(q1: DataFrame) -> DataFrame:
     return dq.scalar_row({k: v.agg(F.count(F.lit(1))) for k, v in found.items()})
 
 
+def ingest_dates(raw: DataFrame, built_on: str) -> DataFrame:
+    """Rows ingested on another day than the build's: every order whose key is
+    0 modulo ``LATE`` a day later, 0 modulo ``UNDATED`` without a time."""
+    late = F.when(_every(LATE), F.col("ingested_at") + F.expr("interval 1 day")).otherwise(F.col("ingested_at"))
+    bad = raw.withColumn("ingested_at", F.when(~_every(UNDATED), late))
+    return dq.date_violations(bad, "ingested_at", built_on, gate.source_of("ingest_file_name"))
+
+
+def adjustments(products: DataFrame) -> DataFrame:
+    """D8 on products whose greatest colour and least size adjustment moved."""
+    moved = products.withColumns(
+        {
+            "color_adj": F.when(F.col("color_adj") == 1.1, 1.09).otherwise(F.col("color_adj")),
+            "size_adj": F.when(F.col("size_adj") == 0.9, 0.85).otherwise(F.col("size_adj")),
+        }
+    )
+    return dq.range_check(dq.value_range(moved, ["color_adj", "size_adj"]), gate.EXPECTED_RANGES)
+
+
+def flags(reps: DataFrame, raw: DataFrame) -> DataFrame:
+    """D9 on reps whose flag was turned over: every id that is 0 modulo
+    ``TURNED``."""
+    turned = F.when(F.col("sales_rep_id").cast("bigint") % TURNED == 0, ~F.col("_error_ssn_format")).otherwise(F.col("_error_ssn_format"))
+    return gate.flag_check(reps.withColumn("_error_ssn_format", turned), raw)
+
+
+def positions(q1: DataFrame) -> DataFrame:
+    """D12 by position: copies of Q1 with rows 1 and 2 swapped, with a wrong
+    first row, with a wrong last row; the places reported for each."""
+    rows = dq.numbered(q1)
+    last = dq.first_and_last(q1).agg(F.max("position")).first()[0]
+    at, state = F.col("position"), F.col("shipping_address_state")
+    damaged = {
+        "swapped": rows.withColumn("position", F.when(at == 1, 2).when(at == 2, 1).otherwise(at)),
+        "first": rows.withColumn("count", F.col("count") + F.when(at == 0, 1).otherwise(0)),
+        "last": rows.withColumn("shipping_address_state", F.when(at == last, F.concat(state, F.lit("?"))).otherwise(state)),
+    }
+    out = None
+    for name, df in damaged.items():
+        found = dq.position_diff(q1, df.orderBy("position").select(*q1.columns)).select(F.lit(name).alias("defect"), "position")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def check_rows(w, expected: DataFrame) -> DataFrame:
     """The gate's own check rows of two stages, on the defective data."""
     rows = gate.ingest_checks(defective_raw(w.raw_batched()), w.built_on())

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordertide.functions.clean import epoch_to_timestamp
+from ordertide.functions.clean import epoch_to_timestamp, ssn_format_error
 from ordertide.operators import quality as dq
 from ordertide.plans.fixtures import ROUTES, STREAM_ROUTE, enriched_orders, state_code, table
 from ordertide.plans.jobs import run_concurrently
@@ -34,6 +34,8 @@ EXPECTED_LENGTHS = {
     "shipping_address_zip": [5],
 }
 # First and last month the orders must cover.
+# Least and greatest adjustment of the products for sale.
+EXPECTED_RANGES = {"color_adj": (1.0, 1.1), "size_adj": (0.9, 1.0)}
 EXPECTED_MONTHS = ("1995-01", "2001-08")
 
 
@@ -81,7 +83,7 @@ def ingest_checks(raw: DataFrame, built_on: str) -> DataFrame:
         _sum_of(~F.length(c).isin(*n) for c, n in EXPECTED_LENGTHS.items()).alias("lengths"),
         _sum_of(F.col(c).isNotNull() for c in EXPECTED_LENGTHS).alias("checked"),
         F.count_if(~F.coalesce(year_fits_route(source_of("ingest_file_name"), year), F.lit(False))).alias("years"),
-        F.count_if(F.to_date("ingested_at") != F.lit(built_on).cast("date")).alias("dates"),
+        F.count_if(~F.coalesce(F.to_date("ingested_at") == F.lit(built_on).cast("date"), F.lit(False))).alias("dates"),
     )
     return hygiene.unionByName(
         _rows(
@@ -170,12 +172,20 @@ def expected_orders_per_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flag_check(reps: DataFrame, raw: DataFrame) -> DataFrame:
+    """One row: reps, and reps whose flag isn't that of their raw records
+    (true if any of them holds a hyphenated number)."""
+    submitted = raw.groupBy("sales_rep_id").agg(F.bool_or(ssn_format_error("sales_rep_ssn")).alias("_hyphenated"))
+    both = reps.groupBy("sales_rep_id").agg(F.bool_or("_error_ssn_format").alias("_flag")).join(submitted, "sales_rep_id", "full")
+    wrong = ~F.col("_flag").eqNullSafe(F.col("_hyphenated"))
+    return both.agg(F.count(F.lit(1)).alias("reps"), F.count_if(wrong).cast("bigint").alias("wrong_flags"))
+
+
 def product_checks(products: DataFrame, xml: DataFrame, parts: DataFrame) -> DataFrame:
     """Adjustments in range; XML rows and priced products as many
     as the parts they were made from."""
-    adj = dq.value_range(products, ["color_adj", "size_adj"]).agg(
-        *dq.check("products", "adj_range", F.count_if(~((F.col("min") >= 0.9) & (F.col("max") <= 1.1))), F.count(F.lit(1)))
-    )
+    ranges = dq.range_check(dq.value_range(products, list(EXPECTED_RANGES)), EXPECTED_RANGES)
+    adj = ranges.agg(*dq.check("products", "adj_range", F.count_if(~F.col("ok")), F.count(F.lit(1))))
     counts = dq.scalar_row(
         {
             "xml": xml.agg(F.count(F.lit(1))),

@@ -530,3 +530,75 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT CAST(6 AS BIGINT) AS stages, CAST(count(DISTINCT suite) AS BIGINT) AS stages_passed, bool_and(violations = 0) AS passed FROM (" + _CHECK_ROWS + ")"
     ),
 }
+
+
+# -- rejected records, timed stream, managed orders, SQL text ------------------------------------
+# Fixed values, restated: keys of broken records, files and throttle of the
+# timed run, the dropped and the rewritten month, defects.
+BROKEN, FILES, THROTTLE = 29, 7, 2
+LATE, UNDATED, TURNED = 31, 37, 5
+_REJECTS = f"""
+SELECT 'fixed_width' AS source, 'short line ' || o_orderkey AS text FROM orders WHERE o_orderkey % {BROKEN} = 0
+UNION ALL SELECT 'tab_separated', 'broken ' || o_orderkey || repeat(chr(9), 18) || 'a' || chr(9) || 'b' FROM orders WHERE o_orderkey % {BROKEN} = 0
+UNION ALL SELECT 'comma_separated', 'broken ' || o_orderkey || repeat(',', 18) || 'a,b' FROM orders WHERE o_orderkey % {BROKEN} = 0
+UNION ALL SELECT 'stream', '{{"orderId": "' || o_orderkey || '", "products": [{{' FROM orders WHERE o_orderkey % {BROKEN} = 0
+"""
+_TIMED = f"""
+SELECT 'orders' AS table_name, count(*) AS rows, CAST(0 AS BIGINT) AS differing_rows, CAST({-(-FILES // THROTTLE)} AS BIGINT) AS batches FROM orders_stream
+UNION ALL SELECT 'line_items', count(*), CAST(0 AS BIGINT), CAST({-(-FILES // THROTTLE)} AS BIGINT) FROM items_stream
+"""
+ORACLE_SQL.update(
+    {
+        "rejected_records": f"SELECT source, text FROM ({_REJECTS})",
+        "rejected_counts": _with(
+            "SELECT source, CAST(accepted + rejected AS BIGINT) AS lines, accepted, rejected FROM "
+            "(SELECT source, count(*) AS accepted FROM (SELECT source FROM raw UNION ALL SELECT source FROM orders_stream) GROUP BY source) "
+            f"JOIN (SELECT source, count(*) AS rejected FROM ({_REJECTS}) GROUP BY source) USING (source)"
+        ),
+        "stream_throttled": _with(_TIMED),
+        "stream_progress": _with(
+            f"SELECT 'timed_orders' AS query_name, CAST({-(-FILES // THROTTLE)} AS BIGINT) AS triggers, count(*) AS input_rows, "
+            "CAST(0 AS BIGINT) AS over_throttle, true AS in_bounds, CAST(1 AS BIGINT) AS started, CAST(1 AS BIGINT) AS ended FROM orders_stream"
+        ),
+        "orders_managed_by_month": _with(
+            "SELECT submitted_yyyy_mm, count(*) AS orders, count(DISTINCT order_id) AS order_ids, true AS in_catalog FROM orders_final GROUP BY 1"
+        ),
+        "dq_months_in_catalog": _with(
+            f"SELECT state, present - gone AS present_months, CAST({EXPECTED_MONTHS} - present + gone AS BIGINT) AS missing_months FROM "
+            "(SELECT count(DISTINCT submitted_yyyy_mm) AS present, count(DISTINCT CASE WHEN submitted_yyyy_mm = '1997-05' THEN 1 END) AS dropped FROM orders_final), "
+            "(VALUES ('whole', 0), ('one dropped', 1)) AS v(state, n), LATERAL (SELECT CAST(n * dropped AS BIGINT) AS gone)"
+        ),
+        "insert_by_name": _with(
+            "SELECT submitted_yyyy_mm, count(*) AS orders, count(*) FILTER (WHERE customer_id IS NULL) AS no_customer, "
+            "min(shipping_address_state) AS least_state, true AS bad_type_refused FROM orders_final GROUP BY 1"
+        ),
+        "price_stats_sql": ORACLE_SQL["price_stats"],
+        "top_rep_by_profit_sql": ORACLE_SQL["top_rep_by_profit"],
+        "dq_ingest_today_defects": _with(
+            f"SELECT source, count(*) AS total, count(*) FILTER (WHERE o_orderkey % {LATE} = 0 OR o_orderkey % {UNDATED} = 0) AS violations FROM raw GROUP BY source"
+        ),
+        "product_adj_check": _with(
+            "SELECT *, min = expected_min AND max = expected_max AS ok FROM ("
+            "SELECT 'color_adj' AS column_name, min(color_adj) AS min, max(color_adj) AS max, 1.0::DOUBLE AS expected_min, 1.1::DOUBLE AS expected_max FROM products "
+            "UNION ALL SELECT 'size_adj', min(size_adj), max(size_adj), 0.9::DOUBLE, 1.0::DOUBLE FROM products)"
+        ),
+        "product_adj_check_defects": _with(
+            "SELECT *, min = expected_min AND max = expected_max AS ok FROM ("
+            "SELECT 'color_adj' AS column_name, min(color_adj) AS min, max(CASE WHEN color_adj = 1.1 THEN 1.09 ELSE color_adj END)::DOUBLE AS max, "
+            "1.0::DOUBLE AS expected_min, 1.1::DOUBLE AS expected_max FROM products "
+            "UNION ALL SELECT 'size_adj', min(CASE WHEN size_adj = 0.9 THEN 0.85 ELSE size_adj END)::DOUBLE, max(size_adj), 0.9::DOUBLE, 1.0::DOUBLE FROM products)"
+        ),
+        "dq_flag_check": _with("SELECT count(DISTINCT sales_rep_id) AS reps, CAST(0 AS BIGINT) AS wrong_flags FROM raw"),
+        "dq_flag_check_defects": _with(
+            f"SELECT count(DISTINCT sales_rep_id) AS reps, count(DISTINCT sales_rep_id) FILTER (WHERE s_suppkey % {TURNED} = 0) AS wrong_flags FROM raw"
+        ),
+        "dq_result_positions": _with(
+            'SELECT row_number() OVER (ORDER BY "count" DESC, shipping_address_state) - 1 AS position, shipping_address_state, "count" FROM '
+            '(SELECT shipping_address_state, count(*) AS "count" FROM orders_final GROUP BY 1)'
+        ),
+        "dq_result_positions_defects": _with(
+            "SELECT 'swapped' AS defect, CAST(p AS BIGINT) AS position FROM (SELECT count(DISTINCT shipping_address_state) AS n FROM orders_final), (VALUES (1), (2)) AS v(p) WHERE n > 2 "
+            "UNION ALL SELECT 'first', CAST(0 AS BIGINT) UNION ALL SELECT 'last', count(DISTINCT shipping_address_state) - 1 FROM orders_final"
+        ),
+    }
+)

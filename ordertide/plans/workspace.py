@@ -183,6 +183,10 @@ class Workspace:
         """Run the order stream once (all files present now)."""
         return self._phase("stream", lambda d: self.order_stream().run_available())
 
+    def phase(self, name: str, build) -> str:
+        """Folder of a further phase, built by ``build(folder)`` the first time."""
+        return self._phase(name, build)
+
     def checked(self, run) -> str:
         """Folder of the persisted check results; ``run(folder)`` writes them
         the first time."""

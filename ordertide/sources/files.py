@@ -7,6 +7,7 @@ number of executors.  Cleaning and lineage are applied in one projection.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,11 +90,7 @@ def common_header(spark: SparkSession, path: str | Sequence[str], sep: str) -> l
     rows = seen.orderBy(F.col("files").desc(), "header").limit(5).collect()
     if len(rows) != 1:
         raise HeaderMismatch(f"{path}: {len(rows) or 'no'} headers: {[(r.file, r.files, r.header) for r in rows]}")
-    return spark.createDataFrame([(rows[0].header,)], "h string").select(F.from_csv("h", _strings(rows[0].header.count(sep) + 1), {"sep": sep}).alias("c")).first().c
-
-
-def _strings(n: int) -> str:
-    return ", ".join(f"_{i} string" for i in range(n))
+    return next(csv.reader([rows[0].header], delimiter=sep))
 
 
 def read_delimited(
@@ -147,7 +144,11 @@ def read_delimited(
         for src, dst in zip(header, target)
     ]
     extra = ["ingest_file_name", "ingested_at"] if lineage else []
-    return _kept(df.select(*cols, *extra, CORRUPT), keep_rejects)
+    # Spark refuses a scan of the corrupt column alone, so it brings the first
+    # field's column with it (as the second choice, which is always NULL).
+    first = F.col(f"`{header[0]}`")
+    corrupt = F.coalesce(F.col(CORRUPT), F.nullif(first, first)).alias(CORRUPT)
+    return _kept(df.select(*cols, *extra, corrupt), keep_rejects)
 
 
 def xml_records(spark: SparkSession, path: str | Sequence[str], row_tag: str) -> DataFrame:

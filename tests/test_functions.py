@@ -74,3 +74,10 @@ def test_ssn_default_is_native_and_the_pandas_form_agrees(spark):
     assert inspect.signature(normalize.sales_reps).parameters["vectorized"].default is False
     native = df.select(ssn_to_long("s"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in native
+
+
+def test_pandas_ssn_is_the_native_one(spark):
+    texts = ["9223372036854775807", "9223372036854775808", "9" * 20, "0" * 30 + "7", "-", "", "+12", " 34 ", "1-2-3", "٣", "1.5", None, "x1"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    rows = df.select("s", ssn_to_long("s").alias("native"), ssn_to_long_in_pandas("s").alias("pandas")).collect()
+    assert [(r.s, r.pandas) for r in rows] == [(r.s, r.native) for r in rows]

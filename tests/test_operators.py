@@ -3,6 +3,8 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from ordertide.operators import quality as dq
 from ordertide.operators.dedupe import dedupe_earliest
 
@@ -96,3 +98,45 @@ def test_month_coverage_one_scan(spark):
     df = spark.createDataFrame([("2019-11",), ("2020-02",), ("2020-02",)], "submitted_yyyy_mm string")
     r = dq.month_coverage(df).first()
     assert (r.present_months, r.missing_months) == (2, 2)
+
+
+def test_dedupe_keeps_every_key(spark):
+    """Rows without a time or a file name, and times before 1970."""
+    t = dt.datetime(2020, 1, 1)
+    rows = [
+        ("plain", t, "f1"),
+        ("no time", None, "f2"),
+        ("no file", t, None),
+        ("neither", None, None),
+        ("1960", dt.datetime(1960, 5, 4, 3, 2, 1, 7), "f1"),
+        ("1960", dt.datetime(1960, 5, 4, 3, 2, 1, 7), "f0"),
+        ("late null", None, "f0"),
+        ("late null", t, "f9"),
+        ("tie", t, None),
+        ("tie", t, "f5"),
+        (None, t, "f1"),
+    ]
+    df = spark.createDataFrame(rows, "k string, ingested_at timestamp, ingest_file_name string")
+    got = {r.k: (r.ingested_at, r.ingest_file_name) for r in dedupe_earliest(df, ["k"]).collect()}
+    assert got == {
+        "plain": (t, "f1"),
+        "no time": (None, "f2"),
+        "no file": (t, None),
+        "neither": (None, None),
+        "1960": (dt.datetime(1960, 5, 4, 3, 2, 1, 7), "f0"),
+        "late null": (t, "f9"),
+        "tie": (t, "f5"),
+        None: (t, "f1"),
+    }
+
+
+def test_positions_and_ends(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).repartition(9).orderBy("v")
+    got = dq.numbered(df).collect()
+    assert sorted((r.position, r.v) for r in got) == [(i, i) for i in range(1000)]
+    assert dq.position_diff(df, spark.range(1000).toDF("v").orderBy("v")).count() == 0
+    shorter = spark.range(998).select(F.when(F.col("id") == 3, 4).when(F.col("id") == 4, 3).otherwise(F.col("id")).alias("v"))
+    found = dq.position_diff(df, shorter.coalesce(1)).orderBy("position").collect()
+    assert [(r.position, r.left.v, r.right.v if r.right else None) for r in found] == [(3, 3, 4), (4, 4, 3), (998, 998, None), (999, 999, None)]
+    assert sorted(r.v for r in dq.first_and_last(df).collect()) == [0, 999]
+    assert dq.first_and_last(df.limit(1)).count() == 1 and dq.numbered(df.limit(0)).count() == 0
