@@ -22,13 +22,14 @@ BROKEN = 29
 
 
 def _delimited(keys: DataFrame, header: list[str], sep: str, path: str) -> None:
-    """Lines with one field more than the header: the last value holds an
-    unquoted separator."""
-    first = F.format_string("broken %d", "k")
-    values = [first] + [F.lit("")] * (len(header) - 2) + [F.lit(f"a{sep}b")]
-    lines = keys.select(*[v.alias(h) for v, h in zip(values, header)])
-    writer = lines.write.option("header", True).option("sep", sep).option("quote", "\u0000").option("emptyValue", "")
-    writer.csv(path)
+    """Lines with one field more than the header, which every file has.
+
+    Written as one column, named like the header line, with a separator that
+    doesn't occur, so that nothing is quoted.
+    """
+    line = F.concat(F.format_string("broken %d", "k"), F.lit(sep * (len(header) - 1) + f"a{sep}b"))
+    writer = keys.select(line.alias(sep.join(header))).write
+    writer.option("header", True).option("sep", "\u0002").option("quote", "\u0000").csv(path)
 
 
 def write_broken(w: Workspace, root: str) -> dict[str, list[str] | str]:
