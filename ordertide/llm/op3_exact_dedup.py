@@ -19,7 +19,9 @@ entry per distinct normalised text under a 64-bit key:
 
 Defined results: a null text counts as empty; rows with a null doc_id take
 part (any doc_id is larger than null); of repeated rows with one doc_id all
-carry the group's keep_id, and ``distinct_documents`` keeps one; an empty
+carry the group's keep_id, and ``distinct_documents`` keeps one; rows of one doc_id with
+different texts belong to different groups, and one going doesn't take the
+others along; an empty
 table gives an empty result; extra columns are kept by ``distinct_documents``.
 """
 
@@ -141,13 +143,19 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     no row of their text has one, one per text."""
     groups = C.cut(dedup(docs).select("doc_id", "keep_id", "group_size", "text_sha256"))
     named = docs.filter(F.col("doc_id").isNotNull())
-    gone = groups.filter("doc_id IS NOT NULL AND doc_id <> keep_id").select("doc_id")
-    left = C.without_ids(named, "doc_id", gone, "doc_id")
+    flag, nth, sha, named_sha = (C.fresh(docs.columns, c) for c in ("_maybe", "_nth", "_sha", "_named_sha"))
+    gone_id, gone_sha = (C.fresh(docs.columns, c) for c in ("_gone_id", "_gone_sha"))
+    digest = F.sha2(C.ascii_lower(F.col("text")), 256)
+    # A row goes by its doc_id and its text: another text of the same doc_id
+    # is no copy.  The bitmap keeps most rows out of the join.
+    gone = groups.filter("doc_id IS NOT NULL AND doc_id <> keep_id").select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha))
+    held = C.flag_maybe(named, "doc_id", gone, gone_id, flag=flag)
+    on = (F.col("doc_id") == F.col(gone_id)) & (F.col(sha) == F.col(gone_sha))
+    unsure = held.filter(F.col(flag)).withColumn(sha, digest).join(gone.distinct(), on, "left_anti")
+    left = held.filter(~F.col(flag)).select(*docs.columns).unionByName(unsure.select(*docs.columns))
     # Rows that repeat under one doc_id are rare; only they are shuffled.
     again = groups.filter("group_size > 1 AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    flag, nth, sha, named_sha = (C.fresh(docs.columns, c) for c in ("_maybe", "_nth", "_sha", "_named_sha"))
     seen = C.flag_maybe(left, "doc_id", again, "doc_id", flag=flag)
-    digest = F.sha2(C.ascii_lower(F.col("text")), 256)
     first = F.row_number().over(Window.partitionBy("doc_id", sha).orderBy("doc_id"))
     some = seen.filter(F.col(flag)).withColumn(sha, digest).withColumn(nth, first).filter(F.col(nth) == 1)
     bare = docs.filter(F.col("doc_id").isNull()).withColumn(sha, digest)

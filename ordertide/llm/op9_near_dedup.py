@@ -257,9 +257,23 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document (the smallest doc_id) of each component."""
-    groups = near_groups(docs, width, percent)
-    return C.without_ids(docs, "doc_id", C.cut(groups.filter("NOT kept").select("doc_id")), "doc_id")
+    """``docs`` with one document (the smallest doc_id) of each component.
+
+    Where a doc_id has several rows, each row is a document of its own, so a
+    text that is linked with nothing stays whatever other texts share its id;
+    of equal rows one stays.  Rows without a doc_id stay.
+    """
+    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        groups = near_groups(docs, width, percent)
+        return C.without_ids(docs, "doc_id", C.cut(groups.filter("NOT kept").select("doc_id")), "doc_id")
+    # Rows numbered by doc_id take the place of the ids.
+    number, everything = (C.fresh(docs.columns, c) for c in ("_row", "_all"))
+    one = docs.withColumn(everything, F.lit(0))
+    rows = C.cut(C.ranked(one, [everything], [F.col("doc_id").asc_nulls_last()], number))
+    own = F.when(F.col("doc_id").isNotNull(), F.col(number))
+    groups = near_groups(rows.select(own.alias("doc_id"), "text"), width, percent)
+    left = C.without_ids(rows, number, C.cut(groups.filter("NOT kept").select("doc_id")), "doc_id")
+    return left.select(*docs.columns)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

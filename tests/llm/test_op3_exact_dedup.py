@@ -69,3 +69,9 @@ def test_sql(spark, sf_dir):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
     res = con.sql(O.ORACLE)
     assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(res.columns, res.fetchall())[0]
+
+
+def test_another_text_of_a_dropped_id_stays(make_docs):
+    rows = [(5, "A", "s"), (5, "B", "s"), (9, "a", "s"), (5, "B", "s"), (4, "A", "s")]
+    kept = O.distinct_documents(make_docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(5, "B"), (9, "a")]

@@ -137,3 +137,12 @@ def test_empty_registers_are_filled():
     assert (filled != 0).all()
     assert ((regs == 0) | (regs == filled)).all()
     assert len(set(filled[0])) == 1 and H.band_keys(regs).shape == (5, H.BANDS)
+
+
+def test_another_text_of_a_dropped_id_stays(make_docs):
+    """Rows (5, x), (5, y), (1, y): x is linked with nothing and stays."""
+    x, y = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    docs = make_docs([(5, x, "s"), (5, y, "s"), (1, y, "s"), (7, x + " tail", "s"), (7, "alone", "s"), (None, y, "s")])
+    kept = O.distinct_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted([(0, y), (1, y), (5, x), (7, "alone")])
