@@ -1,24 +1,31 @@
 """Operator 7: toxicity by FTRL-proximal logistic regression.
 
-Features are hashed word n-grams (one and two words) and skip-grams (two words
-with one or two words between them), each counted once per document, so the
+Features are hashed word n-grams (one and two words), skip-grams (two words
+with one or two words between them) and the beginnings of words (``STEMS``
+bytes, which inflected forms share), each counted once per document, so the
 score does not fade with a text's length.  Training keeps per-coordinate
 learning rates and L1 sparsity (FTRL-proximal); what is broadcast for scoring
 are the non-zero weights only.
 
 Training rows: labelled documents, at most ``MAX_TOXIC`` toxic and
 ``MAX_CLEAN`` others, chosen by a hash of doc_id (the documented bound of the
-sample; fewer rows are all used).  Scoring covers all rows and whole texts.
+sample; fewer rows are all used).  Where a bound binds, the intercept is
+corrected by the log ratio of all labels' class shares to the sample's, so a
+score does not depend on how many rows were left out.  Every feature of the
+sample takes part, L1 alone decides which stay.  Scoring covers all rows and
+whole texts.
 
 Defined results: a null or empty text has no feature and scores the intercept;
-rows without a label or doc_id are not trained on; with conflicting labels of
-one doc_id toxic wins; without any training rows of both classes every score
+very long texts are hashed whole, piece by piece; rows without a label or
+doc_id are not trained on; with conflicting labels of one doc_id toxic wins;
+an empty table gives an empty result; without any training rows of both classes every score
 is the smoothed share of toxic labels; repeated rows are scored alike.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,7 +39,7 @@ from ordertide.llm import common as C
 from ordertide.llm.words import PUNCTUATION, mix, word_hashes
 
 MAX_TOXIC, MAX_CLEAN = 2500, 5000
-MIN_DOCS = 5  # a feature of fewer training documents is left out
+STEMS = (5, 7)  # bytes of the beginnings of words
 BITS = 31  # hash space of the features
 ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 6.0, 0.0, 8
 
@@ -43,9 +50,14 @@ class Weights(NamedTuple):
     intercept: float
 
 
-def features(words: np.ndarray) -> np.ndarray:
-    """Sorted distinct hashes (int32) of a document's n-grams and skip-grams."""
-    kinds = [words]
+_INSIDE = b"[^" + re.escape(np.flatnonzero(PUNCTUATION).astype(np.uint8).tobytes()) + b"]"
+_BEGINNING = {k: re.compile(b"(%s{%d})%s+" % (_INSIDE, k, _INSIDE)) for k in STEMS}
+
+
+def features(words: np.ndarray, stems: tuple[np.ndarray, ...] = ()) -> np.ndarray:
+    """Sorted distinct hashes (int32) of a document's n-grams, skip-grams and
+    beginnings of words."""
+    kinds = [words, *(mix(s + np.uint64(k)) for k, s in zip(STEMS, stems))]
     for gap in (1, 2, 3):
         if len(words) > gap:
             kinds.append(mix(words[:-gap] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(gap)) + words[gap:])
@@ -53,27 +65,29 @@ def features(words: np.ndarray) -> np.ndarray:
     return np.unique(every.astype(np.int32))
 
 
+def document_features(texts: list[bytes]) -> Iterator[np.ndarray | None]:
+    """The features of every text; None for a text without words."""
+    cut = [[_BEGINNING[k].sub(rb"\1", t) for t in texts] for k in STEMS]
+    for words, *stems in zip(*(word_hashes(t, PUNCTUATION) for t in (texts, *cut))):
+        yield features(words, tuple(stems)) if len(words) else None
+
+
 def train(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over documents: (features, weights, intercept), the
     weights that L1 leaves at zero left out."""
-    known, counts = np.unique(np.concatenate(rows), return_counts=True)
-    known = known[counts >= MIN_DOCS]
-    places = []
-    for row in rows:
-        at = np.minimum(np.searchsorted(known, row), max(len(known) - 1, 0))
-        places.append(at[known[at] == row] + 1 if len(known) else np.empty(0, np.int64))
+    known = np.unique(np.concatenate(rows))
+    # Coordinate 0 is the intercept, which L1 leaves alone.
+    places = [(np.searchsorted(known, row) + 1).astype(np.int32) for row in rows]
     z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
-    l1 = np.full(len(known) + 1, L1)
-    l1[0] = 0.0  # coordinate 0 is the intercept
 
     def weight(at: np.ndarray) -> np.ndarray:
-        shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - l1[at], 0)
+        shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at > 0, L1, 0.0), 0)
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
     order = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for k in order.permutation(len(rows)):
-            at = np.concatenate([[0], places[k]])
+            at = np.append(np.int32(0), places[k])
             w = weight(at)
             g = 1 / (1 + math.exp(-max(-35.0, min(35.0, float(w.sum()))))) - toxic[k]
             rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
@@ -102,7 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(w).tobytes() for w in word_hashes(batch.column(2).to_pylist(), PUNCTUATION)]
+            none = np.empty(0, np.int32)
+            rows = [(none if f is None else f).tobytes() for f in document_features(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["label_id", "toxic", "row"])
 
     def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -120,7 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
     if not len(found):
         return Weights(np.empty(0, np.int32), np.empty(0, np.float32), min(prior, -1.0))
     known, values = found["feature"].to_numpy()[1:].astype(np.int32), found["weight"].to_numpy()
-    return Weights(known, values[1:].astype(np.float32), float(values[0]))
+    seen1, seen0 = min(total1, MAX_TOXIC), min(total0, MAX_CLEAN)
+    corrected = float(values[0]) + math.log(total1 / total0) - math.log(seen1 / seen0)
+    return Weights(known, values[1:].astype(np.float32), corrected)
 
 
 def scorer(spark: SparkSession, weights: Weights):
@@ -133,10 +150,9 @@ def scorer(spark: SparkSession, weights: Weights):
         seen = np.zeros(1 << 20, bool)  # most features are unknown: one look each
         seen[known & 0xFFFFF] = True
         out = []
-        for words in word_hashes(list(texts), PUNCTUATION):
+        for row in document_features(list(texts)):
             total = intercept
-            if len(words) and len(known):
-                row = features(words)
+            if row is not None and len(known):
                 row = row[seen[row & 0xFFFFF]]
                 at = np.minimum(np.searchsorted(known, row), len(known) - 1)
                 total += float(values[at[known[at] == row]].sum())

@@ -68,3 +68,63 @@ def test_query(spark, sf_dir):
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert all(r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_training_by_hand():
+    """FTRL-proximal in plain Python, a coordinate at a time."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(-50, 50, rng.integers(0, 12)).astype(np.int32)) for _ in range(200)]
+    toxic = np.array([int(3 in r or -7 in r) for r in rows])
+    z, n = {}, {}
+
+    def weight(c):
+        x, bound = z.get(c, 0.0), 0.0 if c is None else O.L1
+        if abs(x) <= bound:
+            return 0.0
+        return -(x - np.copysign(bound, x)) / ((O.BETA + n.get(c, 0.0) ** 0.5) / O.ALPHA + O.L2)
+
+    order = np.random.default_rng(7)
+    for _ in range(O.EPOCHS):
+        for k in order.permutation(len(rows)):
+            own = [None, *rows[k].tolist()]
+            now = [weight(c) for c in own]
+            g = 1 / (1 + np.exp(-sum(now))) - toxic[k]
+            for c, w in zip(own, now):
+                before = n.get(c, 0.0)
+                n[c] = before + g * g
+                z[c] = z.get(c, 0.0) + g - (n[c] ** 0.5 - before**0.5) / O.ALPHA * w
+    known, values, intercept = O.train(rows, toxic)
+    want = {c: weight(c) for c in z if c is not None and weight(c)}
+    assert want and dict(zip(known.tolist(), np.round(values, 9))) == {c: round(w, 9) for c, w in want.items()}
+    assert abs(intercept - weight(None)) < 1e-9
+
+
+def test_score_by_hand(spark, make_docs):
+    """A score is the logistic of the intercept and the features' weights."""
+    texts = ["Awful house tree", "house house of tree", "", None, "rottenness"]
+    rows = list(O.document_features([(t or "").lower().encode() for t in texts]))
+    assert rows[2] is None and set(rows[4]) & set(next(O.document_features([b"rottenly"])))  # a beginning in common
+    known = np.unique(np.concatenate([r for r in rows if r is not None]))
+    values = np.linspace(-1, 1, len(known)).astype(np.float32)
+    score = O.scorer(spark, O.Weights(known, values, -0.5))
+    docs = make_docs([(k, t, "s") for k, t in enumerate(texts)])
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", score(docs["text"]).alias("s")).collect()}
+    for k, row in enumerate(rows):
+        total = -0.5 + sum(float(v) for f, v in zip(known, values) if row is not None and f in row)
+        assert abs(got[k] - 1 / (1 + np.exp(-total))) < 1e-6
+
+
+def test_the_sample_does_not_move_the_scores(spark, make_docs, monkeypatch):
+    """Clean rows left out of the sample are made up for by the intercept."""
+    rows, labels = corpus(600, 12)
+    table = O.training_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    whole = O.fit(make_docs(rows), table)
+    monkeypatch.setattr(O, "MAX_CLEAN", 60)
+    part = O.fit(make_docs(rows), table)
+    assert part.intercept < 0 and abs(part.intercept - whole.intercept) < 1.5
+
+
+def test_no_labels_no_documents(spark, no_docs):
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert O.fit(no_docs, O.training_labels(labels)).features.size == 0
+    assert no_docs.select(O.scorer(spark, O.fit(no_docs, O.training_labels(labels)))(no_docs["text"])).collect() == []
