@@ -95,3 +95,35 @@ def test_boilerplate_inside_an_article():
     for name in ("responses", "discussion", "author-bio", "author_bio", "entry-meta"):
         assert O.main_text(f'<body><article><p>{EN * 5}</p><div class="{name}"><p>{EN * 5}</p></div></article>') == text
     assert O.main_text(f"<body><article><p>{EN * 5}</p><ul><li><a>{EN}</a></ul><p>x y z</article>") == f"{text}\nx y z"
+
+
+def test_pages_without_a_decided_block():
+    """Short prose is kept where nothing speaks against it."""
+    assert O.main_text("<body><h1>Head</h1><p>Short one.</p><p>And two.</p></body>") == "Head\nShort one.\nAnd two."
+    assert O.main_text("<body><nav><a>Menu</a></nav><article><p>Short.</p></article><footer>c</footer>") == "Short."
+    assert O.main_text("<body><div>Home</div><div>About</div></body>") == ""
+
+
+def test_the_article_tag_is_one_vote():
+    """Captions and single-link paragraphs go with their neighbours; calls to
+    the reader and link lists go, also inside an article or main element."""
+    text = squash(EN * 5)
+    page = f'<article><p>{EN * 5}</p><p><a href="x">One link only</a></p><figure><img src="i"><figcaption>A caption</figcaption></figure></article>'
+    assert O.main_text(f"<body>{page}<footer>f</footer>") == f"{text}\nOne link only\nA caption"
+    page = f"<main><p>Accept our terms</p><p>{EN * 5}</p><p>Log in to read more</p><p><a>one</a> <a>two</a></p></main>"
+    assert O.main_text(f"<body>{page}") == text
+    block = O.Block("x" * 100, "div", 0, True, 0)
+    assert O.first_pass(block) is None and O.first_pass(block._replace(text=EN * 2)) is True
+    assert O.first_pass(block._replace(content=False, text=EN * 2)) is None  # more is asked outside
+    t, f, n = True, False, None
+    inside = [False, True, True, True, False]
+    assert O.second_pass([f, n, f, n, f], [False] * 5, inside) == [f, t, f, t, f]
+    assert O.second_pass([f, n, n, n, f], [False] * 5, inside) == [f, t, t, t, f]
+    assert O.second_pass([n, f, n, t, n], [False] * 5) == [f, f, f, t, t]  # equally near: the one before
+
+
+def test_a_loose_name_cannot_take_the_page():
+    text = squash(EN * 5)
+    assert O.main_text(f'<body><nav>a</nav><section class="discussion"><p>{EN * 5}</p></section>') == text
+    both = f'<body><article><p>{EN * 5}</p></article><section class="discussion"><p>{EN * 4}</p></section>'
+    assert O.main_text(both) == text
