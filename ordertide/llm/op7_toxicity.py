@@ -24,6 +24,7 @@ is the smoothed share of toxic labels; repeated rows are scored alike.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -75,7 +76,10 @@ def document_features(texts: list[bytes]) -> Iterator[np.ndarray | None]:
 def train(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over documents: (features, weights, intercept), the
     weights that L1 leaves at zero left out."""
-    known = np.unique(np.concatenate(rows))
+    every = np.concatenate(rows)
+    every.sort()
+    known = every[np.append(True, every[1:] != every[:-1])] if len(every) else every
+    del every
     # Coordinate 0 is the intercept, which L1 leaves alone.
     places = [(np.searchsorted(known, row) + 1).astype(np.int32) for row in rows]
     z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
@@ -93,9 +97,10 @@ def train(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.nda
             rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - rate * w
             n[at] += g * g
-    w = weight(np.arange(len(known) + 1))
-    kept = np.flatnonzero(w[1:])
-    return known[kept], w[1:][kept], float(w[0])
+    # Only coordinates beyond L1 have a weight; few of the many do.
+    kept = np.flatnonzero((z[1:] > L1) | (z[1:] < -L1))
+    values = weight(kept + 1)
+    return known[kept[values != 0]], values[values != 0], float(weight(np.array([0]))[0])
 
 
 def _sample(labelled: DataFrame, toxic: int, bound: int) -> DataFrame:
@@ -120,17 +125,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
             rows = [(none if f is None else f).tobytes() for f in document_features(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["label_id", "toxic", "row"])
 
-    def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["label_id", "row"]).sort_values(["label_id", "row"])
-        toxic = pdf["toxic"].to_numpy()
+    def fitted(table: pa.Table) -> pa.Table:
+        # The rows stay in the Arrow buffer; distinct ones, in a fixed order.
+        packed, classes = table.column("row").combine_chunks(), table.column("toxic").to_numpy()
+        ends, data = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1], packed.buffers()[2]
+        texts = {(i, hashlib.blake2b(memoryview(data)[a:b]).digest()): k for k, (i, a, b) in enumerate(zip(table.column("label_id").to_pylist(), ends[:-1], ends[1:]))}
+        order = [texts[key] for key in sorted(texts)]
+        toxic = classes[order]
         if toxic.min() == toxic.max():
-            return pd.DataFrame({"feature": [], "weight": []}).astype({"feature": "int64", "weight": "float64"})
-        known, values, intercept = train([np.frombuffer(r, np.int32) for r in pdf["row"]], toxic)
-        return pd.DataFrame({"feature": np.append(known.astype(np.int64), -1), "weight": np.append(values, intercept)})
+            return pa.table({"feature": pa.array([], pa.int64()), "weight": pa.array([], pa.float64())})
+        rows = [np.frombuffer(data, np.int32, (ends[k + 1] - ends[k]) // 4, ends[k]) for k in order]
+        known, values, intercept = train(rows, toxic)
+        return pa.table({"feature": pa.array(np.append(known.astype(np.int64), -1)), "weight": pa.array(np.append(values, intercept))})
 
     one = texts.mapInArrow(featured, "label_id long, toxic int, row binary").groupBy(F.lit("sample").alias("sample"))
     # The bounded sample is one group; its non-zero weights come back.
-    found = one.applyInPandas(fitted, "feature long, weight double").toPandas().sort_values("feature")
+    found = one.applyInArrow(fitted, "feature long, weight double").toPandas().sort_values("feature")
     prior = math.log((total1 + 0.5) / (total0 + 0.5)) if total1 + total0 else -3.0
     if not len(found):
         return Weights(np.empty(0, np.int32), np.empty(0, np.float32), min(prior, -1.0))
