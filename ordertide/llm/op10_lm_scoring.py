@@ -14,8 +14,9 @@ of all its words.
    for the places outside a text.
 2. *Training* - in ``ROUNDS`` rounds every task runs one pass of minibatch
    gradient steps (numpy, AdaGrad) over its documents from the current
-   weights; the tasks' weights are averaged by their number of words as exact
-   decimals, so the result doesn't depend on the order of tasks.  All
+   weights; the tasks' weights are averaged by their number of words, summed
+   exactly in a tree of groups, so the result doesn't depend on the order of
+   tasks and no group receives all of them.  All
    documents take part; a round trains on every ``STRIDE``-th word place, each
    round on another residue, so that ``ROUNDS`` rounds train on every place
    once; contexts are always whole.
@@ -23,7 +24,9 @@ of all its words.
    of its own: its count, and its counts after and before each symbol.  Rows
    are sharded by the word's hash, shards grow in number with the corpus.  The
    probability of a word w of symbol c between symbols l and r is the mean of
-   (n(l,w) + PRIOR n(w)/n(c)) / (n(l,c) + PRIOR) and the same with r.
+   (n(l,w) + PRIOR q(w)) / (n(l,c) + PRIOR) and the same with r, where q(w) is
+   n(w) / n(c), smoothed for words seen nowhere else.  The place itself is
+   masked: its own word is left out of all these counts.
 4. *Scoring* - every word place of every document.  A shard gets the places of
    its words in packed blobs, counts them, and sends the log-probabilities
    back to the documents' chunks.
@@ -63,10 +66,13 @@ SCALE = 1 << 24  # weights are averaged in steps of 2^-24
 SHARD = 1 << 18  # places a shard gets on average, at most
 SHARDS = 1 << 9  # at least
 PRIOR = 32.0  # places that a word's share of its symbol counts for
+NEW = 32.0  # places of a symbol that words seen nowhere else count for
+OPEN = 1 << 20  # words that could be new, of every symbol
 BINS = 1 << 23  # pairs counted by place, more by sorting
 REST = 1 << 35
 KEPT = 6  # bytes of a word's hash kept beside its symbol
 PLACE = 9  # bytes of a packed place: key 5, left 1, right 1, row 2
+LINE = 1 << 18  # words of texts that are joined
 HELD = 1 << 19  # distinct words a task counts before it hands them on
 
 
@@ -127,21 +133,32 @@ def target_log(net: Network, context: np.ndarray, target: np.ndarray) -> np.ndar
     return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
-def step(net: Network, seen: Network, context: np.ndarray, target: np.ndarray) -> None:
-    """One AdaGrad step, in place; ``seen`` sums the squared gradients."""
+def gradients(net: Network, context: np.ndarray, target: np.ndarray) -> Network:
+    """Mean gradients of the loss -log p(target) over the places."""
     n = len(target)
     hidden, delta = raised(net, context)
     np.exp(delta, out=delta)
-    delta /= delta.sum(axis=1, keepdims=True) * np.float32(n)
-    delta[np.arange(n), target] -= np.float32(1 / n)
-    back = (delta @ net.out.T) * (1 - hidden * hidden)
-    grads = [np.empty_like(net.tables), back.sum(axis=0), hidden.T @ delta, delta.sum(axis=0)]
-    one = np.zeros((n, SIZE), np.float32)
+    # delta holds p - 1(target), times the row's sum; the sums are divided out
+    # of the narrow factors.
+    total = delta.sum(axis=1)
+    delta[np.arange(n), target] -= total
+    share = 1 / (total * np.float32(n))
+    back = delta @ net.out.T
+    back *= share[:, None]
+    back *= 1 - hidden * hidden
+    tables = np.zeros_like(net.tables)
     for k in range(len(WINDOW)):
-        one[np.arange(n), context[:, k]] = 1
-        grads[0][k] = one.T @ back
-        one[np.arange(n), context[:, k]] = 0
-    for value, square, grad in zip(net, seen, grads):
+        order = np.argsort(context[:, k], kind="stable")
+        token = context[order, k]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        tables[k][token[first]] = np.add.reduceat(back[order], first, axis=0)
+    hidden *= share[:, None]
+    return Network(tables, back.sum(axis=0), hidden.T @ delta, share @ delta)
+
+
+def step(net: Network, seen: Network, context: np.ndarray, target: np.ndarray) -> None:
+    """One AdaGrad step, in place; ``seen`` sums the squared gradients."""
+    for value, square, grad in zip(net, seen, gradients(net, context, target)):
         square += grad * grad
         value -= RATE * grad / (np.sqrt(square) + 1e-6)
 
@@ -152,11 +169,39 @@ def contexts(ids: np.ndarray, places: np.ndarray) -> np.ndarray:
     return np.stack([padded[places + 2 + w] for w in WINDOW], axis=1)
 
 
+def lines(raws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts joined to lines of about ``LINE`` words, token 0 around each:
+    (line, place in it, row, place in its text) of every word."""
+    at = 0
+    while at < len(raws):
+        end, size = at, 0
+        while end < len(raws) and (end == at or size + len(raws[end]) <= LINE):
+            size += len(raws[end])
+            end += 1
+        some = raws[at:end]
+        lengths = np.array([len(r) for r in some], np.int32)
+        row = np.repeat(np.arange(len(some), dtype=np.int32), lengths)
+        own = np.arange(size, dtype=np.int32)
+        place = own + 2 * row + 2
+        line = np.zeros(size + 2 * len(some) + 2, np.uint8)
+        line[place] = np.frombuffer(b"".join(some), np.uint8)
+        yield line, place, row + np.int32(at), own - np.repeat(np.cumsum(lengths, dtype=np.int32) - lengths, lengths)
+        at = end
+
+
+def around(line: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Tokens around places of a line."""
+    return np.stack([line[place + w] for w in WINDOW], axis=1)
+
+
 def log_likelihood(net: Network, ids: np.ndarray) -> float:
+    line = np.zeros(len(ids) + 4, ids.dtype)
+    line[2:-2] = ids
+    views = [line[2 + w : 2 + w + len(ids)] for w in WINDOW]
     total = 0.0
     for at in range(0, len(ids), BATCH):
-        places = np.arange(at, min(at + BATCH, len(ids)))
-        total += float(target_log(net, contexts(ids, places), ids[places]).astype(np.float64).sum())
+        near = np.column_stack([v[at : at + BATCH] for v in views])
+        total += float(target_log(net, near, ids[at : at + BATCH]).sum(dtype=np.float64))
     return total
 
 
@@ -255,12 +300,17 @@ def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     return key, np.frombuffer(blob, np.uint8, n, 5 * n), np.frombuffer(blob, np.uint8, n, 6 * n), blob[7 * n :]
 
 
-def log_shares(key: np.ndarray, near: tuple[np.ndarray, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+def log_shares(key: np.ndarray, near: tuple[np.ndarray, np.ndarray], pairs: np.ndarray, masked: bool = False) -> np.ndarray:
     """Log-probability of every place's word among the words of its symbol.
-    ``key`` holds all places of its words; key % RARE is the symbol."""
+    ``key`` holds all places of its words; key % RARE is the symbol.  With
+    ``masked`` a place's own word is left out of every count."""
     _, word, n = np.unique(key, return_inverse=True, return_counts=True)
-    kind = key % RARE
-    prior = PRIOR * n[word] / pairs[0].sum(axis=0)[kind]
+    kind, own = key % RARE, 1 if masked else 0
+    held = pairs[0].sum(axis=0)[kind]
+    if masked:  # a word seen nowhere else has its part of what is kept for new words
+        prior = PRIOR * (n[word] - own + NEW / OPEN) / (held - own + NEW)
+    else:
+        prior = PRIOR * n[word] / held
     share = np.zeros(len(key))
     for side, symbol in zip(pairs, near):
         pair = word * SIZE + symbol
@@ -268,7 +318,7 @@ def log_shares(key: np.ndarray, near: tuple[np.ndarray, np.ndarray], pairs: np.n
             m = np.bincount(pair, minlength=1)
         else:
             _, pair, m = np.unique(pair, return_inverse=True, return_counts=True)
-        share += (m[pair] + prior) / (side[symbol, kind] + PRIOR) / 2
+        share += (m[pair] - own + prior) / (side[symbol, kind] - own + PRIOR) / 2
     return np.log(share)
 
 
@@ -310,7 +360,7 @@ def word_scores(tokens: DataFrame, least: int = SHARDS) -> DataFrame:
         chunks, blobs = shard.column("chunk"), shard.column("places").to_pylist()
         parts = [unpacked(b) for b in blobs]
         key, left, right = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        values = np.round(log_shares(key, (left, right), pairs) * SCALE).astype("<i4")
+        values = np.round(log_shares(key, (left, right), pairs, masked=True) * SCALE).astype("<i4")
         cuts = np.cumsum([0] + [len(p[0]) for p in parts])
         out = [values[a:b].tobytes() + p[3] for a, b, p in zip(cuts[:-1], cuts[1:], parts)]
         return pa.table({"chunk": chunks, "values": pa.array(out, pa.binary())})
@@ -348,12 +398,11 @@ def train_round(tokens: DataFrame, net: Network, residue: int, stride: int = STR
             trained += len(target)
 
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                ids = np.frombuffer(raw, np.uint8)
-                places = np.arange(residue, len(ids), stride)
-                for at in range(0, len(places), BATCH):
-                    part = places[at : at + BATCH]
-                    waiting.append((contexts(ids, part), ids[part]))
+            for line, place, _, own_place in lines(batch.column(0).to_pylist()):
+                place = place[own_place % stride == residue]
+                for at in range(0, len(place), BATCH):
+                    part = place[at : at + BATCH]
+                    waiting.append((around(line, part), line[part]))
                     held += len(part)
                     if held >= 8 * BATCH:
                         flush()
@@ -361,18 +410,41 @@ def train_round(tokens: DataFrame, net: Network, residue: int, stride: int = STR
             flush()
         if trained:
             flat = np.round(own.flat().astype(np.float64) * SCALE).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([trained]), pa.array([flat.tolist()], pa.list_(pa.int64()))], ["words", "weights"])
-
-    parts = tokens.select("ids").mapInArrow(run, "words long, weights array<long>")
-    parts = parts.select("words", F.posexplode("weights").alias("place", "value"))
-    share = F.sum(F.col("value").cast("decimal(20,0)") * F.col("words").cast("decimal(14,0)"))
-    rows = parts.groupBy("place").agg(share.alias("total"), F.sum("words").alias("words")).collect()
+            yield weighed([flat], [trained])
+
+    # Summed as a tree, about the square root of the tasks a group.
+    groups = max(1, round(tokens.rdd.getNumPartitions() ** 0.5))
+    task = F.pmod(F.spark_partition_id(), F.lit(groups)).cast("int")
+    parts = tokens.select("ids").mapInArrow(run, WEIGHTS).withColumn("task", task)
+    some = parts.groupBy("task").applyInArrow(added, f"task int, {WEIGHTS}")
+    rows = some.withColumn("task", F.lit(0)).groupBy("task").applyInArrow(added, f"task int, {WEIGHTS}").collect()
     if not rows:
         return net
-    flat = np.zeros(len(rows))
-    for r in rows:
-        flat[r["place"]] = float(r["total"] / r["words"]) / SCALE
-    return Network.of(flat)
+    high, low = (np.frombuffer(rows[0][c], np.int64).astype(np.float64) for c in ("high", "low"))
+    return Network.of((high * LOW + low) / rows[0]["words"] / SCALE)
+
+
+WEIGHTS = "words long, high binary, low binary"
+LOW = 1 << 20  # weighed sums are kept in two parts, so that they can't overflow
+
+
+def weighed(flats: list[np.ndarray], words: list[int]) -> pa.RecordBatch:
+    """Weights times words, in two parts."""
+    sums = [f * n for f, n in zip(flats, words)]
+    high, low = [(x // LOW).tobytes() for x in sums], [(x % LOW).tobytes() for x in sums]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(high, pa.binary()), pa.array(low, pa.binary())], ["words", "high", "low"])
+
+
+def added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of a group's weighed weights: exact, in any order."""
+    words, high, low = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        for n, a, b in zip(*(batch.column(c).to_pylist() for c in ("words", "high", "low"))):
+            a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+            high, low, words = (high + a, low + b, words + n) if words else (a, b, n)
+    high, low = high + low // LOW, low % LOW
+    columns = [pa.array([key[0].as_py()], pa.int32()), pa.array([words], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (high, low)]]
+    yield pa.RecordBatch.from_arrays(columns, ["task", "words", "high", "low"])
 
 
 def fit(tokens: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> Network:
@@ -389,6 +461,7 @@ def scored(tokens: DataFrame, net: Network) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [np.frombuffer(raw, np.uint8) for raw in batch.column(2).to_pylist()]
+            # Text by text: equal texts then get equal sums, to the last bit.
             sums = [log_likelihood(shared.value, i) if len(i) else 0.0 for i in ids]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(i) for i in ids], pa.int64()), pa.array(sums, pa.float64())],

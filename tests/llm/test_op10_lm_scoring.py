@@ -169,3 +169,65 @@ def test_every_place_is_trained_on(spark, make_docs, monkeypatch):
     monkeypatch.setattr(O, "train_round", lambda tokens, net, residue, stride=O.STRIDE: targets.append(np.concatenate([np.arange(residue, len(r["ids"]), stride) for r in tokens.collect()])) or net)
     O.fit(tokens)
     assert sorted(np.concatenate(targets)) == sorted(j for n in (1, 7, 8, 61) for j in range(n))
+
+
+def test_a_place_is_masked():
+    """A place's own word is out of the counts, by brute force; a word that
+    occurs once has what is kept for new words."""
+    rng = np.random.default_rng(9)
+    key = np.append(rng.integers(0, 9, 300) * O.RARE + rng.integers(0, 2, 300), 50 * O.RARE)
+    near = rng.integers(0, 3, 301), rng.integers(0, 3, 301)
+    pairs = np.zeros((2, O.SIZE, O.RARE))
+    for side in range(2):
+        np.add.at(pairs[side], (near[side], key % O.RARE), 1)
+    got = np.exp(O.log_shares(key, near, pairs, masked=True))
+    for i, k in enumerate(key):
+        others = np.arange(len(key)) != i
+        same = others & (key % O.RARE == k % O.RARE)
+        q = ((others & (key == k)).sum() + O.NEW / O.OPEN) / (same.sum() + O.NEW)
+        want = sum(((same & (key == k) & (x == x[i])).sum() + O.PRIOR * q) / ((same & (x == x[i])).sum() + O.PRIOR) / 2 for x in near)
+        assert abs(got[i] - want) < 1e-9
+    assert got[-1] < 1e-5
+
+
+def test_documents_that_occur_twice_score_apart(spark, make_docs):
+    """The copy tells a masked place its word; nothing tells a text of its own."""
+    rng = random.Random(10)
+    texts = [" ".join(f"only{k}x{j}" if j % 3 else rng.choice("the of and in".split()) for j in range(60)) for k in range(40)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)] + [(100 + k, texts[k], "s") for k in range(10)]
+    got = {r["doc_id"]: r["mean_word_log_likelihood"] for r in O.score_documents(make_docs(rows)).collect()}
+    assert min(got[k] for k in range(10)) > max(got[k] for k in range(10, 40)) + 1
+
+
+def test_weights_are_averaged_exactly_in_any_grouping():
+    rng = np.random.default_rng(3)
+    flats = [rng.integers(-(1 << 30), 1 << 30, 50) for _ in range(40)]
+    words = [int(n) for n in rng.integers(1, 1 << 22, 40)]
+
+    def add(batches):
+        return next(O.added((O.pa.scalar(0, O.pa.int32()),), iter(batches)))
+
+    whole = add([O.weighed(flats, words)])
+    parts = [add([O.weighed(flats[i::7], words[i::7])]).drop_columns(["task"]) for i in range(7)]
+    assert add(parts).to_pydict() == whole.to_pydict()
+    row = whole.to_pylist()[0]
+    want = [sum(int(f[j]) * n for f, n in zip(flats, words)) for j in range(50)]
+    high, low = (np.frombuffer(row[c], np.int64) for c in ("high", "low"))
+    assert [int(a) * O.LOW + int(b) for a, b in zip(high, low)] == want and row["words"] == sum(words)
+
+
+def test_lines_hold_every_text(monkeypatch):
+    """Joined texts give each place the same context as the text alone."""
+    monkeypatch.setattr(O, "LINE", 50)
+    rng = np.random.default_rng(6)
+    raws = [rng.integers(1, O.SIZE, n).astype(np.uint8).tobytes() for n in (3, 0, 60, 1, 20, 0, 29, 2, 0)]
+    seen = {}
+    for line, place, row, own in O.lines(raws):
+        for c, t, r, p in zip(O.around(line, place), line[place], row, own):
+            seen[int(r), int(p)] = (t, tuple(c))
+    want = {}
+    for r, raw in enumerate(raws):
+        ids = np.frombuffer(raw, np.uint8)
+        for p, c in enumerate(O.contexts(ids, np.arange(len(ids)))):
+            want[r, p] = (ids[p], tuple(c))
+    assert seen == want
