@@ -1,41 +1,56 @@
 """Operator 3: exact dedup over an extendible-hash index on shared files.
 
 Texts are equal when identical after lower-casing A-Z.  The index keeps one
-entry per distinct normalised text under a 64-bit key:
+link per distinct normalised text under a 64-bit key:
 
 1. *entries* - every document's (doc_id, key, sha256), written once;
 2. *directory* - keys are counted per leading-bit slot (a Spark aggregate of
    at most 2^depth rows) and the directory is doubled, splitting every bucket
    that holds more than ``bucket_keys`` keys; when the counted slots are too
    coarse for a bucket, the keys are counted again with more bits;
-3. *owners* - keys are dealt by range over the directory's buckets, so one
-   task owns a range of keys and chains the texts that collide on a key.
-   Only documents whose key has several entries bring their text (a
-   fixed-size bitmap drops the others before the shuffle), equal texts are
-   combined map-side by comparing their whole bytes, so a group with a third
-   of all rows costs one row per task;
-4. *lookup* - entries join their chain link; of a group the largest doc_id
+3. *owners* - a bucket is a range of keys and belongs to one task.  Documents
+   whose key may have several entries bring their text (a fixed-size bitmap
+   tells the others, whose entry is their link); the task that reads them
+   chains its own first, so a group with a third of all rows costs its owner
+   some rows per task.  The owner walks its keys in order and compares each
+   text's bytes with the links in the key's chain: an equal one is counted
+   there, another one starts a link;
+4. *lookup* - an entry finds its bucket in the directory and its link in the
+   bucket's chains, by key and, where texts collide, sha256 (an owner makes
+   sure that the links of a chain differ in it); of a group the largest doc_id
    stays.
 
-Defined results: a null text counts as empty; rows with a null doc_id take
-part (any doc_id is larger than null); of repeated rows with one doc_id all
-carry the group's keep_id, and ``distinct_documents`` keeps one; rows of one doc_id with
-different texts belong to different groups, and one going doesn't take the
-others along; an empty
-table gives an empty result; extra columns are kept by ``distinct_documents``.
+Memory: a reading task holds ``HELD`` bytes of texts and one batch, an owner
+the distinct texts of one key and one batch, whatever the group or text sizes.
+
+Defined results: a null text counts as empty; a very long text is compared
+whole; rows with a null doc_id take part (any doc_id is larger than null); of
+repeated rows with one doc_id all carry the group's keep_id, and
+``distinct_documents`` keeps one; rows of one doc_id with different texts
+belong to different groups, and one going doesn't take the others along; an
+empty table gives an empty result; extra columns are kept by
+``distinct_documents``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ordertide import fs
 from ordertide.llm import common as C
 
-BUCKET_KEYS = 100_000  # keys a bucket holds before it is split
+BUCKET_KEYS = 20_000  # keys a bucket holds before it is split
 DEPTH_STEP = 8  # directory bits counted at a time
-MAX_DEPTH = 24  # the directory has at most 2^24 slots; fuller buckets chain
+MAX_DEPTH = 20  # the directory has at most 2^20 slots; buckets beyond simply hold more keys
+HELD = 32 << 20  # bytes of texts a reading task chains before it hands them on
+BATCH = 4_096  # links of an output batch
 
 
 def split_buckets(counts: dict[int, int], depth: int, bucket_keys: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
@@ -87,13 +102,99 @@ def directory_rows(global_depth: int, buckets: list[tuple[int, int]]) -> list[tu
     return rows
 
 
+class Chains:
+    """Collision chains: per key the links [text, keep_id, group_size]."""
+
+    def __init__(self) -> None:
+        self.by_key: dict[int, list[list]] = {}
+        self.held = 0
+
+    def add(self, key: int, text: bytes, doc_id, count: int) -> None:
+        chain = self.by_key.setdefault(key, [])
+        for link in chain:
+            if link[0] == text:  # whole bytes
+                if link[1] is None or (doc_id is not None and doc_id > link[1]):
+                    link[1] = doc_id
+                link[2] += count
+                return
+        chain.append([text, doc_id, count])
+        self.held += len(text)
+
+
+def _columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    return zip(*[batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names])
+
+
+def chain_read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text, doc_id) of a reading task as links (key, text,
+    keep_id, group_size) of bounded chains."""
+    chains, id_type = Chains(), None
+
+    def hand_on() -> Iterator[pa.RecordBatch]:
+        links = [(key, *link) for key, chain in chains.by_key.items() for link in chain]
+        for at in range(0, len(links), BATCH):
+            keys, texts, ids, counts = zip(*links[at : at + BATCH])
+            columns = [pa.array(keys, pa.int64()), pa.array(texts, pa.binary()), pa.array(ids, id_type), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "text", "keep_id", "group_size"])
+
+    for batch in batches:
+        id_type = batch.schema.field("doc_id").type
+        for key, text, doc_id in _columns(batch, "key", "text", "doc_id"):
+            chains.add(key, text, doc_id, 1)
+            if chains.held > HELD:
+                yield from hand_on()
+                chains = Chains()
+    yield from hand_on()
+
+
+def chain_owned_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of an owner's buckets, in the order of their keys, as finished
+    chains (bucket, key, chain, sha, keep_id, group_size)."""
+    names = ["bucket", "key", "chain", "sha", "keep_id", "group_size"]
+    chains, current, id_type = Chains(), None, None
+    done: list[tuple] = []
+
+    def finish() -> None:
+        for (bucket, key), chain in [(current, c) for c in chains.by_key.values()]:
+            links = [(hashlib.sha256(text).hexdigest(), keep, size) for text, keep, size in chain]
+            links.sort(key=lambda link: link[0])
+            if len({sha for sha, _, _ in links}) < len(links):
+                raise ValueError(f"different texts of key {key} share a sha256")
+            done.extend((bucket, key, place, *link) for place, link in enumerate(links, 1))
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), id_type, pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    for batch in batches:
+        id_type = batch.schema.field("keep_id").type
+        for bucket, key, text, doc_id, count in _columns(batch, "bucket", "key", "text", "keep_id", "group_size"):
+            if (bucket, key) != current:
+                finish()
+                chains, current = Chains(), (bucket, key)
+                if len(done) >= BATCH:
+                    yield batch_of(done)
+                    done.clear()
+            chains.add(key, text, doc_id, count)
+    finish()
+    if done:
+        yield batch_of(done)
+
+
+def _in_bucket(rows: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
+    """``rows`` with the bucket that the directory names for their key.  Spark
+    broadcasts the directory (at most 2^MAX_DEPTH rows) only if it is small."""
+    slot: Column = F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0).cast("long")
+    return rows.withColumn("slot", slot).join(directory, "slot").drop("slot")
+
+
 def build_index(docs: DataFrame, path: str, bucket_keys: int = BUCKET_KEYS, key_bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    """Write the index under ``path``; returns (entries, chains).
+    """Write the index under ``path``; returns (entries, links).
 
-    chains: bucket, key, chain (place in the collision chain), sha, keep_id,
-    group_size - one row per distinct normalised text whose key has several
-    entries; a key with one entry needs no chain.  ``key_bits`` below 64
-    weakens the key (to exercise collisions).
+    entries: doc_id, bucket, key, sha; links: bucket, key, chain (place in the
+    collision chain), sha, keep_id, group_size - one row per distinct
+    normalised text.  ``key_bits`` below 64 weakens the key (to exercise
+    collisions).
     """
     spark = docs.sparkSession
     norm = C.ascii_lower(F.col("text"))
@@ -105,43 +206,43 @@ def build_index(docs: DataFrame, path: str, bucket_keys: int = BUCKET_KEYS, key_
     slots = spark.createDataFrame(directory_rows(depth, buckets), "slot long, bucket long")
     slots.write.parquet(f"{path}/directory")
     directory = spark.read.parquet(f"{path}/directory")
+    entries = _in_bucket(entries, directory, depth)
 
+    # The bitmap is a function of the key alone: all entries of a key are on
+    # the same side of it, and those not flagged are alone under their key.
     shared = counted.filter("n > 1").select(F.col("key").alias("shared_key"))
-    rows = docs.select("doc_id", key.alias("key"), norm.alias("norm"))
-    rows = C.flag_maybe(rows, "key", shared, "shared_key").filter("_maybe")
-    # Grouping by the text itself compares whole bytes, map-side first.
-    texts = rows.groupBy("key", "norm").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    links = texts.select("key", F.sha2("norm", 256).alias("sha"), "keep_id", "group_size")
-    slot = F.shiftrightunsigned(F.col("key"), 64 - depth) if depth else F.lit(0).cast("long")
-    # The directory has at most 2^MAX_DEPTH rows; Spark broadcasts it if small.
-    owned = links.withColumn("slot", slot).join(directory, "slot").drop("slot")
-    chain = Window.partitionBy("bucket", "key").orderBy(F.col("keep_id").desc_nulls_last(), "sha")
-    owned = owned.repartitionByRange("bucket", "key").withColumn("chain", F.row_number().over(chain))
-    owned.select("bucket", "key", "chain", "sha", "keep_id", "group_size").write.parquet(f"{path}/chains")
-    return entries, spark.read.parquet(f"{path}/chains")
-
-
-def dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = 64) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    path = C.scratch(docs.sparkSession, "exact-index")
-    entries, chains = build_index(docs, path, bucket_keys, key_bits)
-    links = chains.select(F.col("key").alias("_key"), F.col("sha").alias("_sha"), "keep_id", "group_size")
-    found = entries.join(links, (F.col("key") == F.col("_key")) & (F.col("sha") == F.col("_sha")), "left")
-    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
-    return found.select(
-        "doc_id",
-        keep.alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-    )
+    alone = C.flag_maybe(entries, "key", shared, "shared_key").filter("NOT _maybe")
+    one = F.lit(1).cast("long")
+    alone.select("bucket", "key", one.alias("chain"), "sha", F.col("doc_id").alias("keep_id"), one.alias("group_size")).write.parquet(f"{path}/links")
+
+    rows = C.flag_maybe(docs.select("doc_id", key.alias("key"), norm.cast("binary").alias("text")), "key", shared, "shared_key")
+    id_field = T.StructField("keep_id", docs.schema["doc_id"].dataType)
+    long, text = T.LongType(), T.StructField("text", T.BinaryType())
+    read = T.StructType([T.StructField("key", long), text, id_field, T.StructField("group_size", long)])
+    owned = T.StructType([*[T.StructField(c, long) for c in ("bucket", "key", "chain")], T.StructField("sha", T.StringType()), id_field, read[3]])
+    links = rows.filter("_maybe").select("key", "text", "doc_id").mapInArrow(chain_read_rows, read)
+    dealt = _in_bucket(links, directory, depth).repartition("bucket").sortWithinPartitions("bucket", "key")
+    dealt.mapInArrow(chain_owned_keys, owned).write.mode("append").parquet(f"{path}/links")
+    return entries, spark.read.parquet(f"{path}/links")
+
+
+def dedup(docs: DataFrame, bucket_keys: int = BUCKET_KEYS, key_bits: int = 64, path: str | None = None) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+    The result reads the index under ``path`` (by default a new folder in the
+    shared one), which its owner removes when done with it."""
+    entries, links = build_index(docs, path or C.scratch(docs.sparkSession, "exact-index"), bucket_keys, key_bits)
+    found = entries.join(links.drop("chain"), ["bucket", "key", "sha"])
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
+    return found.select("doc_id", "keep_id", "group_size", kept, F.col("sha").alias("text_sha256"))
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """``docs`` without the copies: per text the row with the largest doc_id
     stays (one of them, if rows repeat).  Rows without a doc_id stay only if
     no row of their text has one, one per text."""
-    groups = C.cut(dedup(docs).select("doc_id", "keep_id", "group_size", "text_sha256"))
+    path = C.scratch(docs.sparkSession, "exact-index")
+    groups = C.cut(dedup(docs, path=path).select("doc_id", "keep_id", "group_size", "text_sha256"))
+    fs.remove(docs.sparkSession, path)
     named = docs.filter(F.col("doc_id").isNotNull())
     flag, nth, sha, named_sha = (C.fresh(docs.columns, c) for c in ("_maybe", "_nth", "_sha", "_named_sha"))
     gone_id, gone_sha = (C.fresh(docs.columns, c) for c in ("_gone_id", "_gone_sha"))

@@ -1,6 +1,7 @@
 import hashlib
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from ordertide.llm import op3_exact_dedup as O
@@ -75,3 +76,35 @@ def test_another_text_of_a_dropped_id_stays(make_docs):
     rows = [(5, "A", "s"), (5, "B", "s"), (9, "a", "s"), (5, "B", "s"), (4, "A", "s")]
     kept = O.distinct_documents(make_docs(rows)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(5, "B"), (9, "a")]
+
+
+def test_index_holds_every_text_once(odd_docs, odd_rows, spark):
+    """The answer is read from the index: a link per text, in its bucket."""
+    path = O.C.scratch(spark, "exact-index-test")
+    entries, links = O.build_index(odd_docs, path, bucket_keys=2, key_bits=3)
+    rows = links.collect()
+    assert sorted(r["sha"] for r in rows) == sorted({hashlib.sha256(norm(t).encode()).hexdigest() for _, t, _ in odd_rows})
+    by_key = {}
+    for r in rows:
+        by_key.setdefault((r["bucket"], r["key"]), []).append(r["chain"])
+    assert any(len(c) > 1 for c in by_key.values())
+    assert all(sorted(c) == list(range(1, len(c) + 1)) for c in by_key.values())
+    assert {(r["bucket"], r["key"]) for r in entries.collect()} == set(by_key)
+
+
+def test_chains_hand_on_in_bounded_pieces(make_docs, monkeypatch):
+    monkeypatch.setattr(O, "HELD", 20)
+    monkeypatch.setattr(O, "BATCH", 2)
+    rows = [(k, f"text {k % 7}", "s") for k in range(60)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([k % 2 for k, _, _ in rows]), pa.array([t.encode() for _, t, _ in rows]), pa.array([k for k, _, _ in rows])], ["key", "text", "doc_id"]
+    )
+    links = [r for b in O.chain_read_rows(iter([batch])) for r in b.to_pylist()]
+    assert len(links) > 14 and sum(r["group_size"] for r in links) == 60
+    links.sort(key=lambda r: r["key"])
+    owned = pa.RecordBatch.from_pylist([{"bucket": 0, **r} for r in links])
+    done = [r for b in O.chain_owned_keys(iter([owned])) for r in b.to_pylist()]
+    want = {}
+    for k, t, _ in rows:
+        want.setdefault((k % 2, hashlib.sha256(t.encode()).hexdigest()), []).append(k)
+    assert {(r["key"], r["sha"]): (r["keep_id"], r["group_size"]) for r in done} == {c: (max(i), len(i)) for c, i in want.items()}
