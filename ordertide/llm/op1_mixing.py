@@ -83,16 +83,21 @@ def plan_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each once per copy taken, with the
-    columns of ``docs``.  Rows that share a doc_id keep their own copies (they
-    are matched by their place among the rows of that doc_id)."""
+    columns of ``docs``.  Rows that share a doc_id keep their own copies: they
+    are matched by their place among the rows of that doc_id, source and size,
+    so rows without a doc_id don't meet in one task."""
     plan = plan_mix(docs, weights, max_repeat, seed)
-    nth, size, doc, place, times, copy = (C.fresh(docs.columns, c) for c in ("_nth", "_size", "_doc", "_place", "_times", "_copy"))
-    same_id = Window.partitionBy("doc_id")
+    taken = ("_doc", "_from", "_long", "_place", "_times")
+    nth, size, copy = (C.fresh(docs.columns, c) for c in ("_nth", "_size", "_copy"))
+    doc, source, long, place, times = (C.fresh(docs.columns, c) for c in taken)
+    alike = Window.partitionBy("doc_id", "source", size)
     left = docs.withColumn(size, C.word_count(F.col("text")))
-    left = left.withColumn(nth, F.row_number().over(same_id.orderBy("source", size)))
-    right = plan.withColumn(place, F.row_number().over(same_id.orderBy("source", "size", "copies")))
-    right = right.filter("copies > 0").select(F.col("doc_id").alias(doc), place, F.col("copies").alias(times))
-    both = left.join(right, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(nth) == F.col(place)))
+    left = left.withColumn(nth, F.row_number().over(alike.orderBy(F.xxhash64("text"))))
+    number = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy("copies"))
+    right = plan.withColumn(place, number).filter("copies > 0")
+    right = right.select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "source", "size", place, "copies"), (doc, source, long, place, times))])
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source))
+    both = left.join(right, same & (F.col(size) == F.col(long)) & (F.col(nth) == F.col(place)))
     once = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(copy)
     return both.select(*[F.col(c) for c in docs.columns], once).drop(copy)
 

@@ -62,6 +62,23 @@ def test_mix_repeats_documents(spark, odd_docs, odd_rows):
     assert all(r["size"] == 0 and r["taken"] == 0 for r in plan if r["doc_id"] in (1, 2, 3))
 
 
+def test_mix_rows_without_ids(make_docs):
+    """Each row keeps its own copies, whatever ids, sources and sizes repeat."""
+    rows = [(None if k % 4 else k % 8, "w " * (k % 9) + f"t{k % 30}", None if k % 5 else "s") for k in range(200)]
+    docs = make_docs(rows)
+    taken = {}
+    for r in O.plan_mix(docs).collect():
+        at = (r["doc_id"], r["source"], r["size"])
+        taken[at] = taken.get(at, 0) + r["copies"]
+    mixed = {}
+    for r in O.mix(docs).collect():
+        at = (r["doc_id"], r["source"], len(r["text"].split()))
+        mixed[at] = mixed.get(at, 0) + 1
+    assert mixed == {at: n for at, n in taken.items() if n}
+    again = sorted((r["doc_id"] or -1, r["text"]) for r in O.mix(docs.repartition(5)).collect())
+    assert again == sorted((r["doc_id"] or -1, r["text"]) for r in O.mix(docs).collect())
+
+
 def test_empty(no_docs):
     assert O.plan_mix(no_docs).collect() == [] and O.mix(no_docs).collect() == []
 
