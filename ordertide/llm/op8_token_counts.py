@@ -9,20 +9,30 @@ past a pre-token), goes on through the new text and stops at the first old
 boundary after it; only the pre-tokens in between are encoded again, and the
 sums on their paths updated.
 
+Trees are kept per document as a written table (``build_trees``): text,
+lengths and token counts of the pre-tokens, which the sums follow from without
+splitting or encoding.  ``update_trees`` reads kept trees with their edits and
+gives the trees after them; ``with_edits`` finds the trees that a table of
+edits touches, so an update reads those documents' trees and no other texts.
+The result of an update is a table of trees like the one before.
+
 The vocabulary file is read on the driver (its path is a parameter) and
 broadcast: its size doesn't depend on the data.
 
 Defined results: a null or empty text has no token; null edits or an empty
 list leave the count as it is; an edit's place beyond the text's end means its
-end, a negative one its start; repeated rows are counted separately; an empty
-table gives an empty result; texts of any length are counted whole.
+end, a negative one its start; a null start or length counts as 0, a null new
+text as empty; repeated rows have a tree each, and edits by
+doc_id change all trees of that doc_id (a null one finds those without); an
+empty table gives an empty result; texts of any length are counted whole.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -93,18 +103,24 @@ def split(text: str) -> Iterator[list[str]]:
 
 
 class TokenTree:
-    """Segment tree over a text's pre-tokens."""
+    """Segment tree over a text's pre-tokens; ``kept`` are the lengths and
+    token counts of its pre-tokens, if they are known."""
 
-    def __init__(self, text: str, counter: Counter):
+    def __init__(self, text: str, counter: Counter, kept: tuple[list[int], list[int]] | None = None):
         self.text, self.counter = text, counter
         self.encoded = 0  # pre-tokens encoded by edits
-        lengths: list[int] = []
-        tokens: list[int] = []
-        for pieces in split(text):
-            lengths += map(len, pieces)
-            tokens += counter.counts(pieces)
+        lengths, tokens = kept or ([], [])
+        if kept is None:
+            for pieces in split(text):
+                lengths += map(len, pieces)
+                tokens += counter.counts(pieces)
         self._build(lengths, tokens)
 
+    @property
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Lengths and token counts of all pre-tokens."""
+        return [n for x in self.leaf_lengths for n in x], [n for x in self.leaf_tokens for n in x]
+
     def _build(self, lengths: list[int], tokens: list[int]) -> None:
         starts = range(0, max(len(lengths), 1), LEAF)
         self.leaf_lengths = [lengths[i : i + LEAF] for i in starts]
@@ -201,36 +217,105 @@ class TokenTree:
         self._update(leaf)
         self.text = text
         if len(self.leaf_lengths[leaf]) > 8 * LEAF:
-            self._build([n for x in self.leaf_lengths for n in x], [n for x in self.leaf_tokens for n in x])
+            self._build(*self.leaves)
 
 
-def count_tokens(docs: DataFrame, ranks: bytes) -> DataFrame:
-    """doc_id, pretokens, n_tokens, n_tokens_edited, reencoded of every row of
-    ``docs`` (doc_id, text, edits: array of start, length and text, applied in
-    order, each to the text the one before it left)."""
+EDITS = "array<struct<start:long,length:long,text:string>>"
+TREE = "doc_id long, text string, lengths array<int>, tokens array<int>, n_tokens long"
+COUNTS = "pretokens long, tokens_before long, reencoded long"
+ROWS = 256  # rows in Python at a time, and of a written batch
+
+
+def _trees(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple]]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield zip(*[c.slice(at, ROWS).to_pylist() for c in batch.columns])
+
+
+_TREE_FIELDS = [
+    ("doc_id", pa.int64()),
+    ("text", pa.string()),
+    ("lengths", pa.list_(pa.int32())),
+    ("tokens", pa.list_(pa.int32())),
+    ("n_tokens", pa.int64()),
+]
+_COUNT_FIELDS = [("pretokens", pa.int64()), ("tokens_before", pa.int64()), ("reencoded", pa.int64())]
+
+
+def build_trees(docs: DataFrame, ranks: bytes, path: str) -> DataFrame:
+    """Split and encode every row of ``docs`` (doc_id, text) once and keep its
+    tree under ``path``; returns the kept trees."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    schema = pa.schema(_TREE_FIELDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(shared.value)
+
+        def rows() -> Iterator[tuple]:
+            for part in _parts(batches):
+                for doc_id, text in part:
+                    tree = TokenTree(text or "", counter)
+                    yield doc_id, text, *tree.leaves, tree.total
+
+        yield from _trees(rows(), schema)
+
+    trees = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, TREE)
+    trees.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(TREE).parquet(path)
+
+
+def with_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
+    """The trees that ``edits`` (doc_id, edits; one row per doc_id) touches,
+    with their edits.  A bitmap of the edited ids (fixed size, broadcast) keeps
+    the other trees out of the shuffle."""
+    todo = edits.select(F.col("doc_id").cast("long").alias("_id"), F.col("edits").cast(EDITS).alias("edits"))
+    maybe = C.flag_maybe(trees, "doc_id", todo, "_id").filter("_maybe").drop("_maybe")
+    return maybe.join(todo, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+
+
+def update_trees(rows: DataFrame, ranks: bytes) -> DataFrame:
+    """The trees of ``rows`` (kept trees with a column edits: array of start,
+    length and text, applied in order, each to the text the one before it
+    left) after their edits, with the pre-tokens and tokens before and the
+    number of pre-tokens encoded again."""
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
+    schema = pa.schema(_TREE_FIELDS + _COUNT_FIELDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(shared.value)
-        for batch in batches:
-            out: list[list[int]] = [[], [], [], []]
-            for text, edits in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                tree = TokenTree(text or "", counter)
-                before = (tree.pretokens, tree.total)
-                for e in edits or []:
-                    tree.edit(e["start"] or 0, e["length"] or 0, e["text"] or "")
-                for column, value in zip(out, (*before, tree.total, tree.encoded)):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in out]], ["doc_id", "pretokens", "n_tokens", "n_tokens_edited", "reencoded"]
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("edits").cast("array<struct<start:long,length:long,text:string>>"))
-    return rows.mapInArrow(run, "doc_id long, pretokens long, n_tokens long, n_tokens_edited long, reencoded long")
-
-
-def sample_edits(docs: DataFrame) -> DataFrame:
-    """Every document with three edits: its middle overwritten by its own
+
+        def updated() -> Iterator[tuple]:
+            for part in _parts(batches):
+                for doc_id, text, lengths, tokens, edits in part:
+                    tree = TokenTree(text or "", counter, (lengths, tokens))
+                    before = (tree.pretokens, tree.total)
+                    for e in edits or []:
+                        tree.edit(e["start"] or 0, e["length"] or 0, e["text"] or "")
+                    yield doc_id, tree.text if edits else text, *tree.leaves, tree.total, *before, tree.encoded
+
+        yield from _trees(updated(), schema)
+
+    kept = rows.select("doc_id", "text", "lengths", "tokens", F.col("edits").cast(EDITS))
+    return kept.mapInArrow(run, f"{TREE}, {COUNTS}")
+
+
+def count_tokens(docs: DataFrame, ranks: bytes, make_edits: Callable[[DataFrame], DataFrame], path: str | None = None) -> DataFrame:
+    """doc_id, pretokens, n_tokens, n_tokens_edited, reencoded of every row of
+    ``docs``: trees are kept under ``path`` (by default a new folder in the
+    shared one) and updated by the column ``edits`` that ``make_edits`` adds
+    to them."""
+    trees = build_trees(docs, ranks, path or C.scratch(docs.sparkSession, "token-trees"))
+    after = update_trees(make_edits(trees), ranks)
+    return after.select("doc_id", "pretokens", F.col("tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), "reencoded")
+
+
+def sample_edits(trees: DataFrame) -> DataFrame:
+    """Every tree with three edits of its text: its middle overwritten by its own
     beginning in capitals, a cut in the first quarter, a note put before it."""
     n = F.char_length(F.coalesce("text", F.lit("")))
 
@@ -239,10 +324,10 @@ def sample_edits(docs: DataFrame) -> DataFrame:
 
     first = edit(F.floor(n / 2), 16, F.upper(F.left(F.coalesce("text", F.lit("")), F.lit(24))))
     edits = F.array(first, edit(F.floor(n / 4), 12, F.lit("")), edit(F.lit(0), 0, F.lit("Note: it's edited. ")))
-    return docs.select("doc_id", "text", edits.alias("edits"))
+    return trees.withColumn("edits", edits)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     with open(vocabulary or vocabulary_path(), "rb") as f:
         ranks = f.read()
-    return count_tokens(sample_edits(C.table(spark, sf_dir, "documents")), ranks)
+    return count_tokens(C.table(spark, sf_dir, "documents"), ranks, sample_edits)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordertide.llm import op8_token_counts as O
 
@@ -46,7 +47,7 @@ def test_split_in_segments(monkeypatch):
 
 def test_table(spark, odd_docs, odd_rows, no_docs):
     encoding = O._encoding(RANKS)
-    rows = O.count_tokens(O.sample_edits(odd_docs), RANKS).collect()
+    rows = O.count_tokens(odd_docs, RANKS, O.sample_edits).collect()
     assert sorted(r["n_tokens"] for r in rows) == sorted(len(encoding.encode_ordinary(t or "")) for _, t, _ in odd_rows)
 
     def edited(t):
@@ -56,9 +57,42 @@ def test_table(spark, odd_docs, odd_rows, no_docs):
         return "Note: it's edited. " + t
 
     assert sorted(r["n_tokens_edited"] for r in rows) == sorted(len(encoding.encode_ordinary(edited(t or ""))) for _, t, _ in odd_rows)
-    assert O.count_tokens(O.sample_edits(no_docs), RANKS).collect() == []
-    bare = spark.createDataFrame([(1, "a b", None), (2, None, [])], "doc_id long, text string, edits array<struct<start:long,length:long,text:string>>")
-    assert all(r["n_tokens"] == r["n_tokens_edited"] for r in O.count_tokens(bare, RANKS).collect())
+    assert O.count_tokens(no_docs, RANKS, O.sample_edits).collect() == []
+    bare = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    for none in ("null", "array()"):
+        rows = O.count_tokens(bare, RANKS, lambda t: t.withColumn("edits", F.expr(none).cast(O.EDITS))).collect()
+        assert all(r["n_tokens"] == r["n_tokens_edited"] for r in rows) and len(rows) == 2
+
+
+def test_kept_trees_take_edits_again_and_again(spark, make_docs, monkeypatch):
+    """Trees are read back, only edited documents' are updated, and no text is
+    split or encoded as a whole; the updated trees take the next edits."""
+    rng = random.Random(3)
+    encoding = O._encoding(RANKS)
+    texts = {k: "".join(rng.choice(LETTERS) for _ in range(rng.choice([0, 3, 200, 3000]))) for k in [*range(40), None]}
+    monkeypatch.setattr(O, "ROWS", 3)
+    trees = O.build_trees(make_docs([(k, t, "s") for k, t in texts.items()]), RANKS, O.C.scratch(spark, "trees-test"))
+    for _ in range(2):
+        edits = {}
+        for k in [7, 8, 30, None, 99]:
+            edits[k] = [(rng.randint(0, 300), rng.choice([0, 4, 30]), "it's " * rng.randint(0, 3)) for _ in range(3)]
+        table = spark.createDataFrame(list(edits.items()), f"doc_id long, edits {O.EDITS}")
+        after = O.update_trees(O.with_edits(trees, table), RANKS)
+        path = O.C.scratch(spark, "trees-test")
+        after.write.parquet(path)
+        rows = spark.read.parquet(path).collect()
+        assert sorted(r["doc_id"] or -1 for r in rows) == [-1, 7, 8, 30]
+        for r in rows:
+            text = texts[r["doc_id"]]
+            assert r["tokens_before"] == len(encoding.encode_ordinary(text))
+            for start, length, new in edits[r["doc_id"]]:
+                start = min(start, len(text))
+                text = text[:start] + new + text[start + length :]
+            texts[r["doc_id"]] = text
+            assert r["text"] == text and r["n_tokens"] == sum(r["tokens"]) == len(encoding.encode_ordinary(text))
+            assert r["lengths"] == [len(p) for p in O._SPLIT.findall(text)]
+            assert r["pretokens"] < 50 or r["reencoded"] < r["pretokens"]
+        trees = spark.read.parquet(path).select("doc_id", "text", "lengths", "tokens", "n_tokens")
 
 
 def test_query(spark, sf_dir):
