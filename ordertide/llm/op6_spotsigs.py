@@ -101,14 +101,17 @@ def as_text(sigs: Column) -> Column:
 
 
 def with_next(docs: DataFrame, segments: int = SEGMENTS, pieces: int | None = None) -> DataFrame:
-    """(doc_id, text, next): every row's text and that of the next document in
-    descending doc_id order; after the last comes the first.
+    """(doc_id, text, sigs, next, next_sigs): every row's text and signatures,
+    and those of the next document in descending doc_id order; after the last
+    comes the first.
 
     Rows are dealt to blocks of neighbouring ids: quantile segments of the
     ids (approximate, at most ``segments`` numbers reach the driver), each cut
     evenly into ``pieces`` (by default as many as keep blocks at some
     ``BLOCK_ROWS``).  A block sees the first row of the block after it as a
-    guest, so no task holds more than a block and texts move once.
+    guest, so no task holds more than a block and texts move once.  Each text is
+    signed once, in its block (a guest's twice), not before the shuffle, which
+    would then carry the signatures as well.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [k / segments for k in range(segments + 1)]
@@ -135,8 +138,10 @@ def with_next(docs: DataFrame, segments: int = SEGMENTS, pieces: int | None = No
     homes = F.when(first, F.array(F.struct(F.col("block").alias("at"), F.lit(0).alias("guest")), F.struct(F.col("host").alias("at"), F.lit(1).alias("guest"))))
     homes = homes.otherwise(F.array(F.struct(F.col("block").alias("at"), F.lit(0).alias("guest"))))
     dealt = placed.select("doc_id", "text", F.explode(homes).alias("home")).select("doc_id", "text", "home.at", "home.guest")
+    signed = dealt.repartition("at").withColumn("sigs", signatures(F.col("text")))
     order = Window.partitionBy("at").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
-    return dealt.withColumn("next", F.lead("text").over(order)).filter("guest = 0").select("doc_id", "text", "next")
+    pairs = signed.select("*", F.lead("text").over(order).alias("next"), F.lead("sigs").over(order).alias("next_sigs"))
+    return pairs.filter("guest = 0").select("doc_id", "text", "sigs", "next", "next_sigs")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -176,9 +181,9 @@ def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        signatures(F.col("text")).alias("s"),
+        F.col("sigs").alias("s"),
         signatures(F.col("edited")).alias("s_edited"),
-        signatures(F.col("next")).alias("s_next"),
+        F.col("next_sigs").alias("s_next"),
     )
     return rows.select(
         "doc_id",
