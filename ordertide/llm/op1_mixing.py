@@ -56,8 +56,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_r
     target = F.when(F.col("open_level").isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("open_level") * F.col("weight")))
     s = s.withColumn("target", target)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    offset = ((F.col("ord") * 7919 + F.lit(seed) * 104729) % 1000003) / F.lit(1000003.0)
-    return s.select("source", "source_size", "target", expected.alias("expected"), offset.alias("offset"))
+    return s.select("source", "source_size", "target", expected.alias("expected"), source_offset(F.col("source"), seed).alias("offset"))
+
+
+def source_offset(source: Column, seed: int = SEED) -> Column:
+    """The source's offset in [0, 1): the first 32 bits of a seeded digest of
+    its name, so reruns draw the same and sources draw unlike ones."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("="), source), F.lit("-"))))
+    return F.conv(F.substring(drawn, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
 def copies_by_rank(rank: Column, expected: Column, offset: Column, max_repeat: int = MAX_REPEAT) -> Column:
@@ -128,7 +134,7 @@ WITH d AS (
   SELECT *, max(CASE WHEN turn = open_turn THEN level END) OVER () AS open_level FROM f
 ), g AS (
   SELECT source, source_size, CASE WHEN open_level IS NULL THEN most ELSE least(most, open_level * weight) END AS target,
-    CAST((ord * 7919 + {SEED} * 104729) % 1000003 AS DOUBLE) / 1000003 AS offs FROM m
+    CAST(CAST('0x' || substr(md5('{SEED}:' || coalesce('=' || source, '-')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296 AS offs FROM m
 ), e AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS expected FROM g
 ), r AS (

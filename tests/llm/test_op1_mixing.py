@@ -3,6 +3,8 @@ import random
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from ordertide.llm import common as C
 from ordertide.llm import op1_mixing as O
 
@@ -79,6 +81,17 @@ def test_mix_rows_without_ids(make_docs):
     assert again == sorted((r["doc_id"] or -1, r["text"]) for r in O.mix(docs).collect())
 
 
+def test_offsets_are_spread(spark):
+    """Offsets lie in [0, 1), differ by source and seed, and look uniform."""
+    names = [None, "", "-", *(f"source{k}" for k in range(400))]
+    df = spark.createDataFrame([(n,) for n in names], "source string")
+    got = df.select(O.source_offset(F.col("source")).alias("a"), O.source_offset(F.col("source"), 18).alias("b")).collect()
+    drawn = sorted(r["a"] for r in got)
+    assert 0 <= drawn[0] and drawn[-1] < 1 and len(set(drawn)) == len(names)
+    assert all(r["a"] != r["b"] for r in got)
+    assert max(abs(x - k / len(names)) for k, x in enumerate(drawn)) < 0.08
+
+
 def test_empty(no_docs):
     assert O.plan_mix(no_docs).collect() == [] and O.mix(no_docs).collect() == []
 

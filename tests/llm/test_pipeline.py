@@ -1,3 +1,4 @@
+import hashlib
 """run() against the same stages in plain Python; the classifier's decisions
 are taken from the operator (its accuracy is tested on its own)."""
 
@@ -38,7 +39,7 @@ def test_stages(spark, sf_dir, tmp_path):
         size[r["doc_id"]] = len(r["text"].encode().split())
         by_source.setdefault(r["source"], []).append((size[r["doc_id"]], r["doc_id"]))
     want = targets({s: sum(n for n, _ in d) for s, d in by_source.items()})
-    offsets = {s: ((k + 1) * 7919 + op1_mixing.SEED * 104729) % 1000003 / 1000003 for k, s in enumerate(sorted(by_source))}
+    offsets = {s: int(hashlib.md5(f"{op1_mixing.SEED}:={s}".encode()).hexdigest()[:8], 16) / 2**32 for s in by_source}
     mixed = []
     for s, d in by_source.items():
         share = want[s] / sum(n for n, _ in d)
