@@ -4,7 +4,8 @@ Features are hashed word n-grams (one and two words), skip-grams (two words
 with one or two words between them) and the beginnings of words (``STEMS``
 bytes, which inflected forms share), each counted once per document, so the
 score does not fade with a text's length.  Training keeps per-coordinate
-learning rates and L1 sparsity (FTRL-proximal); what is broadcast for scoring
+learning rates and L1 sparsity (FTRL-proximal), a document's features that no
+other one has being one coordinate, since they move together; what is broadcast for scoring
 are the non-zero weights only.
 
 Training rows: labelled documents, at most ``MAX_TOXIC`` toxic and
@@ -78,11 +79,20 @@ def train(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.nda
     weights that L1 leaves at zero left out."""
     every = np.concatenate(rows)
     every.sort()
-    known = every[np.append(True, every[1:] != every[:-1])] if len(every) else every
-    del every
-    # Coordinate 0 is the intercept, which L1 leaves alone.
-    places = [(np.searchsorted(known, row) + 1).astype(np.int32) for row in rows]
-    z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
+    starts = np.append(True, every[1:] != every[:-1]) if len(every) else np.empty(0, bool)
+    shared = every[starts & ~np.append(starts[1:], True)] if len(every) else every
+    del every, starts
+    # Features of one document only always move together: they are a single
+    # coordinate that counts as often as there are of them.  Coordinate 0 is
+    # the intercept, which L1 leaves alone; then come the documents' own
+    # features, then the shared ones.
+    own, places = np.zeros(len(rows), np.int64), []
+    for k, row in enumerate(rows):
+        at = np.searchsorted(shared, row)
+        known = shared[np.minimum(at, len(shared) - 1)] == row if len(shared) else np.zeros(len(row), bool)
+        own[k] = len(row) - np.count_nonzero(known)
+        places.append((at[known] + len(rows) + 1).astype(np.int32))
+    z, n = np.zeros(len(shared) + len(rows) + 1), np.zeros(len(shared) + len(rows) + 1)
 
     def weight(at: np.ndarray) -> np.ndarray:
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at > 0, L1, 0.0), 0)
@@ -91,16 +101,26 @@ def train(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.nda
     order = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for k in order.permutation(len(rows)):
-            at = np.append(np.int32(0), places[k])
+            at = np.append(np.array([0, k + 1], np.int32), places[k])
             w = weight(at)
-            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, float(w.sum()))))) - toxic[k]
+            total = float(w.sum()) + (int(own[k]) - 1) * float(w[1])
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, total)))) - toxic[k]
             rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - rate * w
             n[at] += g * g
     # Only coordinates beyond L1 have a weight; few of the many do.
-    kept = np.flatnonzero((z[1:] > L1) | (z[1:] < -L1))
-    values = weight(kept + 1)
-    return known[kept[values != 0]], values[values != 0], float(weight(np.array([0]))[0])
+    kept = np.flatnonzero((z > L1) | (z < -L1))
+    kept = kept[kept > 0]
+    values = weight(kept)
+    found, weighs = [shared[kept[kept > len(rows)] - len(rows) - 1]], [values[kept > len(rows)]]
+    for c, v in zip(kept[kept <= len(rows)], values):
+        alone = np.setdiff1d(rows[c - 1], shared, assume_unique=True)
+        found.append(alone)
+        weighs.append(np.full(len(alone), v))
+    hashes, values = np.concatenate(found), np.concatenate(weighs)
+    by_hash = np.argsort(hashes)
+    by_hash = by_hash[values[by_hash] != 0]
+    return hashes[by_hash], values[by_hash], float(weight(np.array([0]))[0])
 
 
 def _sample(labelled: DataFrame, toxic: int, bound: int) -> DataFrame:
@@ -126,16 +146,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["label_id", "toxic", "row"])
 
     def fitted(table: pa.Table) -> pa.Table:
-        # The rows stay in the Arrow buffer; distinct ones, in a fixed order.
-        packed, classes = table.column("row").combine_chunks(), table.column("toxic").to_numpy()
-        ends, data = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1], packed.buffers()[2]
-        texts = {(i, hashlib.blake2b(memoryview(data)[a:b]).digest()): k for k, (i, a, b) in enumerate(zip(table.column("label_id").to_pylist(), ends[:-1], ends[1:]))}
+        # The rows stay in the Arrow buffers; distinct ones, in a fixed order.
+        classes, rows = table.column("toxic").to_numpy(), []
+        for packed in table.column("row").chunks:
+            ends = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+            data = packed.buffers()[2]
+            rows += [np.frombuffer(data, np.int32, (b - a) // 4, a) if b > a else np.empty(0, np.int32) for a, b in zip(ends[:-1], ends[1:])]
+        texts = {(i, hashlib.blake2b(row).digest()): k for k, (i, row) in enumerate(zip(table.column("label_id").to_pylist(), rows))}
         order = [texts[key] for key in sorted(texts)]
         toxic = classes[order]
         if toxic.min() == toxic.max():
             return pa.table({"feature": pa.array([], pa.int64()), "weight": pa.array([], pa.float64())})
-        rows = [np.frombuffer(data, np.int32, (ends[k + 1] - ends[k]) // 4, ends[k]) for k in order]
-        known, values, intercept = train(rows, toxic)
+        known, values, intercept = train([rows[k] for k in order], toxic)
         return pa.table({"feature": pa.array(np.append(known.astype(np.int64), -1)), "weight": pa.array(np.append(values, intercept))})
 
     one = texts.mapInArrow(featured, "label_id long, toxic int, row binary").groupBy(F.lit("sample").alias("sample"))
