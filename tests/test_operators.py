@@ -140,3 +140,18 @@ def test_positions_and_ends(spark):
     assert [(r.position, r.left.v, r.right.v if r.right else None) for r in found] == [(3, 3, 4), (4, 4, 3), (998, 998, None), (999, 999, None)]
     assert sorted(r.v for r in dq.first_and_last(df).collect()) == [0, 999]
     assert dq.first_and_last(df.limit(1)).count() == 1 and dq.numbered(df.limit(0)).count() == 0
+
+
+def test_rows_are_not_shuffled_by_their_few_files(spark):
+    """Whatever the size of the rows, the numbered files are broadcast."""
+    rows = [(str(k % 7), dt.datetime(2020, 1, 1 + k % 3), f"f{k % 4}" if k % 5 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, "k string, ingested_at timestamp, ingest_file_name string")
+    want = sorted(map(tuple, dedupe_earliest(df, ["k"]).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dedupe_earliest(df, ["k"])
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
