@@ -34,24 +34,44 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None, by: Sequen
     return wide.unpivot(list(by), cols, "column_name", "nulls")
 
 
+# Columns whose three flags fit one 64-bit mask.
+MASKED = 21
+
+
 def string_hygiene(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Untrimmed, blank and literal-``null`` values per string column (D3).
 
     ``(*by, column_name, untrimmed, blank, null_literal)``; NULLs count as
-    none of them.  One scan: the columns are stacked into
-    ``(column_name, value)`` rows (an in-stage Expand) and aggregated with
-    three buffers per group, which stays inside whole-stage codegen where a
-    57-buffer wide aggregate does not.
+    none of them.  A row's flags are packed into masks, three bits a column,
+    and rows with equal masks are counted; only the distinct masks are then
+    unfolded into columns, so a row stays one row and a group one buffer.
     """
     cols = [c for c in (columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
             if c not in by]
-    long = df.select(*by, *cols).unpivot(list(by), cols, "column_name", "v")
-    v = F.col("v")
-    return long.groupBy(*by, "column_name").agg(
-        _count_if(v != F.trim(v)).alias("untrimmed"),
-        _count_if(F.trim(v) == "").alias("blank"),
-        _count_if(F.lower(F.trim(v)) == "null").alias("null_literal"),
-    )
+
+    def mask(some: Sequence[str]) -> Column:
+        out = F.lit(0).cast("bigint")
+        for i, c in enumerate(some):
+            v, t = F.col(c), F.trim(F.col(c))
+            for j, flag in enumerate((v != t, t == "", F.lower(t) == "null")):
+                out = out + F.when(flag, F.lit(1 << (3 * i + j)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        return out
+
+    chunks = [cols[i : i + MASKED] for i in range(0, len(cols), MASKED)]
+    masks = [f"_mask{k}" for k in range(len(chunks))]
+    rows = df.select(*by, *[mask(some).alias(m) for m, some in zip(masks, chunks)])
+    counted = rows.groupBy(*by, *masks).agg(F.count(F.lit(1)).alias("_rows"))
+    flags = [
+        F.struct(F.lit(c).alias("column_name"), F.shiftright(m, 3 * i).bitwiseAND(F.lit(7).cast("bigint")).alias("flags"))
+        for m, some in zip(masks, chunks)
+        for i, c in enumerate(some)
+    ]
+    long = counted.select(*by, "_rows", F.inline(F.array(*flags)))
+
+    def total(bit: int) -> Column:
+        return F.sum(F.when(F.col("flags").bitwiseAND(F.lit(bit).cast("bigint")) != 0, F.col("_rows")).otherwise(F.lit(0).cast("bigint")))
+
+    return long.groupBy(*by, "column_name").agg(total(1).alias("untrimmed"), total(2).alias("blank"), total(4).alias("null_literal"))
 
 
 def length_violations(df: DataFrame, expected: Mapping[str, Iterable[int]]) -> DataFrame:

@@ -155,3 +155,23 @@ def test_rows_are_not_shuffled_by_their_few_files(spark):
         assert sorted(map(tuple, out.collect())) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_string_hygiene_keeps_a_row_one_row(spark):
+    """More columns than a mask holds, with groups, a null one too."""
+    values = ["", "  ", "null", " NULL ", " a", "a", None, "b "]
+    columns = [f"c{i}" for i in range(50)]
+    rows = [("g" if k % 3 else None, *[values[(k * (i + 1) + i) % 8] for i in range(50)]) for k in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ["g", *columns]))
+    found = dq.string_hygiene(df, columns, by=["g"])
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == ["g", "column_name", "untrimmed", "blank", "null_literal"]
+    want = {}
+    for g, *row in rows:
+        for c, v in zip(columns, row):
+            n = want.setdefault((g, c), [0, 0, 0])
+            if v is not None:
+                t = v.strip(" ")
+                n[0], n[1], n[2] = n[0] + (v != t), n[1] + (t == ""), n[2] + (t.lower() == "null")
+    assert {(r[0], r[1]): list(r[2:]) for r in found.collect()} == want
+    assert dq.string_hygiene(df.limit(0), columns, by=["g"]).collect() == []
