@@ -92,3 +92,17 @@ def test_values_wider_than_their_field_fail(spark):
         fixed_width_lines(fit.withColumn(FIXED_WIDTH_LAYOUT[0][0], F.lit("7" * 500))).collect()
     long = spark.range(1).select(_zeros(F.lit(1234567890), 9).alias("a"), _zeros(F.lit(12), 5).alias("b")).first()
     assert tuple(long) == ("1234567890", "00012")
+
+
+def test_fields_are_cut_from_blocks_of_a_line(spark, tmp_path):
+    """No field is looked for from the start of its line; fields may overlap,
+    cross a block's edge or hold characters of several bytes."""
+    line = "".join(chr(0x4E00 + i) if i % 3 else chr(97 + i % 26) for i in range(400))
+    (tmp_path / "a.txt").write_text(line + "\n" + line[:250] + "\n", encoding="utf-8")
+    layout = [("all", 1, 400), ("last", 391, 10), ("edge", 79, 4), ("mid", 155, 90), ("one", 81, 1), ("two", 82, 1), ("three", 83, 2)]
+    df = read_fixed_width(spark, str(tmp_path), layout, clean=False, lineage=False, keep_rejects=True)
+    for row in df.collect():
+        whole = row["_corrupt_record"] or line
+        assert all(row[n] == whole[s - 1 : s - 1 + k] for n, s, k in layout)
+    plan = read_fixed_width(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring(value#") <= 6
