@@ -175,3 +175,17 @@ def test_string_hygiene_keeps_a_row_one_row(spark):
                 n[0], n[1], n[2] = n[0] + (v != t), n[1] + (t == ""), n[2] + (t.lower() == "null")
     assert {(r[0], r[1]): list(r[2:]) for r in found.collect()} == want
     assert dq.string_hygiene(df.limit(0), columns, by=["g"]).collect() == []
+
+
+def test_splits_are_bounded_unless_the_caller_set_them(spark):
+    from ordertide.session import configure
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        assert configure(spark).conf.get(key) == "32m"
+        spark.conf.set(key, "77m")
+        assert configure(spark).conf.get(key) == "77m"
+    finally:
+        spark.conf.set(key, before)
