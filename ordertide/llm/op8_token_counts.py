@@ -32,8 +32,9 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import accumulate, chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -102,6 +103,16 @@ def split(text: str) -> Iterator[list[str]]:
     yield _SPLIT.findall(text, at)
 
 
+def leaves_of(text: str, counter: Counter) -> tuple[list[int], list[int]]:
+    """Lengths and token counts of the pre-tokens of ``text``."""
+    lengths: list[int] = []
+    tokens: list[int] = []
+    for pieces in split(text):
+        lengths += map(len, pieces)
+        tokens += counter.counts(pieces)
+    return lengths, tokens
+
+
 class TokenTree:
     """Segment tree over a text's pre-tokens; ``kept`` are the lengths and
     token counts of its pre-tokens, if they are known."""
@@ -109,17 +120,12 @@ class TokenTree:
     def __init__(self, text: str, counter: Counter, kept: tuple[list[int], list[int]] | None = None):
         self.text, self.counter = text, counter
         self.encoded = 0  # pre-tokens encoded by edits
-        lengths, tokens = kept or ([], [])
-        if kept is None:
-            for pieces in split(text):
-                lengths += map(len, pieces)
-                tokens += counter.counts(pieces)
-        self._build(lengths, tokens)
+        self._build(*(kept or leaves_of(text, counter)))
 
     @property
     def leaves(self) -> tuple[list[int], list[int]]:
         """Lengths and token counts of all pre-tokens."""
-        return [n for x in self.leaf_lengths for n in x], [n for x in self.leaf_tokens for n in x]
+        return list(chain.from_iterable(self.leaf_lengths)), list(chain.from_iterable(self.leaf_tokens))
 
     def _build(self, lengths: list[int], tokens: list[int]) -> None:
         starts = range(0, max(len(lengths), 1), LEAF)
@@ -224,24 +230,44 @@ EDITS = "array<struct<start:long,length:long,text:string>>"
 TREE = "doc_id long, text string, lengths array<int>, tokens array<int>, n_tokens long"
 COUNTS = "pretokens long, tokens_before long, reencoded long"
 ROWS = 256  # rows in Python at a time, and of a written batch
+NUMBERS = pa.list_(pa.int32())
+
+
+def _array(values: tuple, kind: pa.DataType) -> pa.Array:
+    """An Arrow array; lists of numbers go through one flat numpy array."""
+    if kind != NUMBERS:
+        return pa.array(values, kind)
+    ends = list(accumulate(map(len, values), initial=0))
+    flat = np.fromiter(chain.from_iterable(values), np.int32, ends[-1])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
+def _values(column: pa.Array) -> list:
+    """The values of an Arrow array; lists of numbers from their flat array."""
+    kind = column.type
+    if not pa.types.is_list(kind) or kind.value_type != NUMBERS.value_type or column.null_count or column.values.null_count:
+        return column.to_pylist()
+    ends = column.offsets.to_numpy().tolist()
+    flat = column.values.slice(ends[0], ends[-1] - ends[0]).to_numpy().tolist()
+    return [flat[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:])]
 
 
 def _trees(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     while some := list(islice(rows, ROWS)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+        yield pa.RecordBatch.from_arrays([_array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[tuple]]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
-            yield zip(*[c.slice(at, ROWS).to_pylist() for c in batch.columns])
+            yield zip(*[_values(c.slice(at, ROWS)) for c in batch.columns])
 
 
 _TREE_FIELDS = [
     ("doc_id", pa.int64()),
     ("text", pa.string()),
-    ("lengths", pa.list_(pa.int32())),
-    ("tokens", pa.list_(pa.int32())),
+    ("lengths", NUMBERS),
+    ("tokens", NUMBERS),
     ("n_tokens", pa.int64()),
 ]
 _COUNT_FIELDS = [("pretokens", pa.int64()), ("tokens_before", pa.int64()), ("reencoded", pa.int64())]
@@ -259,8 +285,8 @@ def build_trees(docs: DataFrame, ranks: bytes, path: str) -> DataFrame:
         def rows() -> Iterator[tuple]:
             for part in _parts(batches):
                 for doc_id, text in part:
-                    tree = TokenTree(text or "", counter)
-                    yield doc_id, text, *tree.leaves, tree.total
+                    lengths, tokens = leaves_of(text or "", counter)
+                    yield doc_id, text, lengths, tokens, sum(tokens)
 
         yield from _trees(rows(), schema)
 

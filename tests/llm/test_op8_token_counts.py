@@ -100,3 +100,15 @@ def test_query(spark, sf_dir):
     encoding = O._encoding(RANKS)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     assert rows == {r["doc_id"]: len(encoding.encode_ordinary(r["text"])) for r in docs}
+
+
+def test_lists_of_numbers_go_through_flat_arrays():
+    """Also of a slice, of empty lists and with nulls."""
+    lists = [[], [1, 2], [3], [], [2**31 - 1, 0]]
+    column = O._array(tuple(lists), O.NUMBERS)
+    assert column.to_pylist() == lists and column.type == O.NUMBERS
+    assert [O._values(column.slice(a, 2)) for a in range(4)] == [lists[a : a + 2] for a in range(4)]
+    assert O._values(column.slice(5)) == [] and O._array((), O.NUMBERS).to_pylist() == []
+    assert O._values(O.pa.array([[1, None], None], O.NUMBERS)) == [[1, None], None]
+    text, counter = "it's some text " * 200, O.Counter(RANKS)
+    assert O.leaves_of(text, counter) == O.TokenTree(text, counter).leaves
