@@ -122,7 +122,8 @@ class Chains:
 
 
 def _columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    return zip(*[batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names])
+    for piece in C.pieces(batch):
+        yield from zip(*[piece.column(piece.schema.get_field_index(n)).to_pylist() for n in names])
 
 
 def chain_read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +182,14 @@ def chain_owned_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield batch_of(done)
 
 
+def directory_table(spark: SparkSession, global_depth: int, buckets: list[tuple[int, int]]) -> DataFrame:
+    """The doubled directory as (slot, bucket).  From an Arrow table Spark
+    makes a local relation; a list of rows would go through a job whose Python
+    workers every executor keeps beside those of the Arrow steps."""
+    slots, numbers = zip(*directory_rows(global_depth, buckets))
+    return spark.createDataFrame(pa.table({"slot": pa.array(slots, pa.int64()), "bucket": pa.array(numbers, pa.int64())}))
+
+
 def _in_bucket(rows: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
     """``rows`` with the bucket that the directory names for their key.  Spark
     broadcasts the directory (at most 2^MAX_DEPTH rows) only if it is small."""
@@ -203,8 +212,7 @@ def build_index(docs: DataFrame, path: str, bucket_keys: int = BUCKET_KEYS, key_
     entries = spark.read.parquet(f"{path}/entries")
     counted = C.cut(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
     depth, buckets = build_directory(counted, "key", bucket_keys)
-    slots = spark.createDataFrame(directory_rows(depth, buckets), "slot long, bucket long")
-    slots.write.parquet(f"{path}/directory")
+    directory_table(spark, depth, buckets).write.parquet(f"{path}/directory")
     directory = spark.read.parquet(f"{path}/directory")
     entries = _in_bucket(entries, directory, depth)
 
@@ -222,7 +230,8 @@ def build_index(docs: DataFrame, path: str, bucket_keys: int = BUCKET_KEYS, key_
     owned = T.StructType([*[T.StructField(c, long) for c in ("bucket", "key", "chain")], T.StructField("sha", T.StringType()), id_field, read[3]])
     links = rows.filter("_maybe").select("key", "text", "doc_id").mapInArrow(chain_read_rows, read)
     dealt = _in_bucket(links, directory, depth).repartition("bucket").sortWithinPartitions("bucket", "key")
-    dealt.mapInArrow(chain_owned_keys, owned).write.mode("append").parquet(f"{path}/links")
+    with C.small_batches(spark):
+        dealt.mapInArrow(chain_owned_keys, owned).write.mode("append").parquet(f"{path}/links")
     return entries, spark.read.parquet(f"{path}/links")
 
 

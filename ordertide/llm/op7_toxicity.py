@@ -32,7 +32,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +73,12 @@ def document_features(texts: list[bytes]) -> Iterator[np.ndarray | None]:
         yield features(words, tuple(stems)) if len(words) else None
 
 
+def features_of(texts: pa.Array) -> Iterator[np.ndarray | None]:
+    """``document_features`` of a column, holding copies of a piece of it."""
+    for piece in C.pieces(texts):
+        yield from document_features(piece.to_pylist())
+
+
 def train(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over documents: (features, weights, intercept), the
     weights that L1 leaves at zero left out."""
@@ -142,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             none = np.empty(0, np.int32)
-            rows = [(none if f is None else f).tobytes() for f in document_features(batch.column(2).to_pylist())]
+            rows = [(none if f is None else f).tobytes() for f in features_of(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["label_id", "toxic", "row"])
 
     def fitted(table: pa.Table) -> pa.Table:
@@ -162,7 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
 
     one = texts.mapInArrow(featured, "label_id long, toxic int, row binary").groupBy(F.lit("sample").alias("sample"))
     # The bounded sample is one group; its non-zero weights come back.
-    found = one.applyInArrow(fitted, "feature long, weight double").toPandas().sort_values("feature")
+    with C.small_batches(docs.sparkSession):
+        found = one.applyInArrow(fitted, "feature long, weight double").toPandas().sort_values("feature")
     prior = math.log((total1 + 0.5) / (total0 + 0.5)) if total1 + total0 else -3.0
     if not len(found):
         return Weights(np.empty(0, np.int32), np.empty(0, np.float32), min(prior, -1.0))
@@ -173,23 +179,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
 
 
 def scorer(spark: SparkSession, weights: Weights):
-    """Pandas UDF text -> score; null counts as empty."""
+    """Arrow UDF text -> score; null counts as empty."""
     shared = spark.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         known, values, intercept = shared.value
         seen = np.zeros(1 << 20, bool)  # most features are unknown: one look each
         seen[known & 0xFFFFF] = True
         out = []
-        for row in document_features(list(texts)):
+        for row in features_of(texts):
             total = intercept
             if row is not None and len(known):
                 row = row[seen[row & 0xFFFFF]]
                 at = np.minimum(np.searchsorted(known, row), len(known) - 1)
                 total += float(values[at[known[at] == row]].sum())
             out.append(1 / (1 + math.exp(-max(-35.0, min(35.0, total)))))
-        return pd.Series(out)
+        return pa.array(out, pa.float64())
 
     return lambda text: score(F.lower(F.coalesce(text, F.lit(""))).cast("binary"))
 

@@ -58,7 +58,7 @@ def sketch_rows(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n (set size), s1 and s2 (set hash), regs (registers)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in C.pieces(whole)):
             n, s1, s2, regs = [], [], [], []
             for words in word_hashes(_texts(batch.column(1))):
                 found = shingles(words, width)
@@ -79,7 +79,7 @@ def band_rows(reps: DataFrame) -> DataFrame:
     """(key, id): one row per band of every representative."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in C.pieces(whole)):
             if not batch.num_rows:
                 continue
             regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, H.REGISTERS)
@@ -109,7 +109,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     threshold = percent / 100
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in C.pieces(whole)):
             if not batch.num_rows:
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, H.REGISTERS) for k in (3, 5))
@@ -205,7 +205,12 @@ def confirmed(members: DataFrame, texts: DataFrame, width: int, percent: int, am
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    rows = C.cut(sketch_rows(docs, width))
+
+    def cut(df: DataFrame) -> DataFrame:
+        with C.small_batches(docs.sparkSession):
+            return C.cut(df)
+
+    rows = cut(sketch_rows(docs, width))
     classes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("id"))
     found = C.cut(rows.join(classes.withColumnRenamed("id", "rep"), ["n", "s1", "s2"]).select("doc_id", "n", "rep"))
     reps = rows.withColumnRenamed("doc_id", "id").join(classes, ["n", "s1", "s2", "id"]).select("id", "n", "regs")
@@ -213,10 +218,10 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     bands = band_rows(reps)
     counted = bands.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
-    shared = C.cut(bands.join(counted, "key"))
+    shared = cut(bands.join(counted, "key"))
     hubs = C.cut(hubs_of(shared))
     pairs = shared.join(hubs, "key").filter("id <> pivot").select("pivot", "id").distinct()
-    pairs = C.cut(estimated(pairs, reps, percent))
+    pairs = cut(estimated(pairs, reps, percent))
 
     raw = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     sizes = reps.select("id", "n")
@@ -230,7 +235,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     first = near.select("pivot", "id", F.lit(1).alias("side"))
     members = heads.unionByName(first).withColumn("label", F.col("side").cast("long")).join(sizes, "id")
     members = C.cut(members)
-    links = C.cut(confirmed(members, texts_of(members), width, percent, among=False).distinct())
+    links = cut(confirmed(members, texts_of(members), width, percent, among=False).distinct())
     labels = C.components(links, "a", "b")
 
     # Keys whose documents are not in one component yet, by their pivots.
@@ -246,7 +251,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     rest = C.cut(cluster.join(sizes, "id").select("pivot", "id", "n", "label", "side"))
     open_ = rest.groupBy("pivot").agg(F.sum("side").alias("outside"), F.count(F.lit(1)).alias("all")).filter("outside > 0 AND all > 1")
     rest = C.cut(rest.join(C.cut(open_.select("pivot")), "pivot"))
-    more = C.cut(confirmed(rest, texts_of(rest), width, percent, among=True).distinct())
+    more = cut(confirmed(rest, texts_of(rest), width, percent, among=True).distinct())
     labels = C.components(links.unionByName(more), "a", "b").withColumnRenamed("node", "rep")
 
     grouped = found.join(labels, "rep", "left").select("doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
